@@ -112,11 +112,8 @@ def basename(path: Column) -> Column:
 
 def file_ext(path: Column, tarballs: bool = True) -> Column:
     """Extension with its dot; ``.tar.gz`` counts as one; none for dot files."""
-    name = basename(path)
-    plain = F.when(name.isin(".", ".."), F.lit("")).otherwise(F.regexp_extract(name, r".(\.[^.]*)$", 1))
-    if not tarballs:
-        return plain
-    return F.when(path.endswith(".tar.gz"), F.lit(".tar.gz")).otherwise(plain)
+    ending = r"(\.tar\.gz|\.[^./]*)" if tarballs else r"(\.[^./]*)"
+    return F.regexp_extract(path, "[^/]" + ending + "/*$", 1)
 
 
 def mime_of(ext: Column, extensions: Mapping[str, str] = MIME_EXTENSIONS) -> Column:

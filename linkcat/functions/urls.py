@@ -8,11 +8,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from linkcat.config import CATALOG_PREFIX, DEFAULT, Catalog
-from linkcat.functions.mime import basename, file_ext, literal_map
+from linkcat.functions.mime import basename, literal_map
 
 IS_URL = r"^(?:\w+:)?//(?:[^\s.]+\.\S{2}|localhost[:?\d]*)\S*$"
 URL_HOST = r"^(?:[A-Za-z][\w+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)"
 URL_PATH = r"^(?:[A-Za-z][\w+.-]*:)?//[^/?#]*([^?#]*)"
+URL_SEGMENT = r"^(?:[A-Za-z][\w+.-]*:)?//[^/?#]*/?([^/?#]*)"
+CURIE_SEGMENT = r"^(?:[^:/]*:)?/?([^/?#]*)"
 REPO = r"^(?:(?:https?|git|ssh)://(?:www\.|git@)?|git@)?({host})[:/]([\w.-]+)/([\w.-]+?)(?:\.git)?(?:/tree/([\w./-]+?))?/?$"
 GITHUB = REPO.format(host=r"github(?:\.com)?")
 BITBUCKET = REPO.format(host=r"bitbucket(?:\.org)?")
@@ -69,8 +71,7 @@ def url_host(url: Column) -> Column:
 
 def url_path(url: Column) -> Column:
     """Path of an absolute URL, ``/`` when empty."""
-    path = F.regexp_extract(url, URL_PATH, 1)
-    return F.when(path == "", F.lit("/")).otherwise(path)
+    return F.regexp_replace(F.regexp_extract(url, URL_PATH, 1), "^$", "/")
 
 
 def strip_slashes(path: Column) -> Column:
@@ -108,10 +109,14 @@ def namespace_of(
     ref: Column, catalog: Catalog = DEFAULT, is_catalog_host: Callable[[Column], Column] | None = None
 ) -> Column:
     """First path segment of a catalog URL or CURIE; NULL for foreign hosts."""
-    url = resolve_curie(ref, catalog)["url"]
-    segment = F.split_part(strip_slashes(url_path(url)), F.lit("/"), F.lit(1))
-    host = url_host(url)
+    absolute = ref.rlike(IS_URL)
+    hosts = {name: iri.partition("//")[2].split("/")[0].split(":")[0] for name, iri in catalog.context_prefixes.items()}
+    prefix_host = F.try_element_at(literal_map(hosts), F.split_part(ref, F.lit(":"), F.lit(1)))
+    host = (
+        F.when(absolute, url_host(ref)).when(ref.contains(":"), prefix_host).otherwise(F.lit(catalog.hostname)))
     ours = is_catalog_host(host) if is_catalog_host else host.isin(*catalog.catalog_hosts)
+    segment = F.when(absolute, F.regexp_extract(ref, URL_SEGMENT, 1)).otherwise(
+        F.regexp_extract(ref, CURIE_SEGMENT, 1))
     return F.when(ours, segment)
 
 
@@ -122,29 +127,28 @@ def doc_root(ref: Column, catalog: Catalog = DEFAULT, base: str = "") -> Column:
     return F.concat(F.lit(f"{base.rstrip('/')}/"), below) if base else below
 
 
-def slug(path: Column, ext: Column) -> Column:
+def slug(path: Column, tarballs: bool = True) -> Column:
     """Id from a file name: extension off, spaces to dashes, lower case, ``p`` when empty."""
-    name = basename(path)
-    stem = F.when(
-        (ext != "") & name.endswith(ext) & (name != ext),
-        F.substring(name, F.lit(1), F.length(name) - F.length(ext)),
-    ).otherwise(name)
-    clean = F.lower(F.replace(F.regexp_replace(stem, r"^\s+|\s+$", ""), F.lit(" "), F.lit("-")))
-    return F.when(clean == "", F.lit("p")).otherwise(clean)
+    ending = r"(?<=.)(\.tar\.gz|\.[^.]*)$" if tarballs else r"(?<=.)\.[^.]*$"
+    stem = F.regexp_replace(F.regexp_replace(basename(path), ending, ""), r"^\s+|\s+$", "")
+    return F.regexp_replace(F.lower(F.replace(stem, F.lit(" "), F.lit("-"))), "^$", "p")
+
+
+def below_namespace(name: Column, namespace: Column) -> Column:
+    """Name below a namespace; without one the name itself."""
+    return F.concat(F.regexp_replace(F.concat(F.coalesce(namespace, F.lit("")), F.lit("/")), "^/$", ""), name)
 
 
-def slug_id(path: Column, namespace: Column | None = None, ext: Column | None = None) -> Column:
+def slug_id(path: Column, namespace: Column | None = None) -> Column:
     """Slug below a namespace; the prefix is added after the empty-name fallback."""
-    name = slug(path, file_ext(path) if ext is None else ext)
-    if namespace is None:
-        return name
-    return F.when(F.coalesce(namespace, F.lit("")) == "", name).otherwise(F.concat(namespace, F.lit("/"), name))
+    name = slug(path)
+    return name if namespace is None else below_namespace(name, namespace)
 
 
 def url_slug_id(url: Column, namespace: Column | None = None) -> Column:
     """Slug of a URL's path; only the last extension is removed."""
-    path = url_path(url)
-    return slug_id(path, namespace, file_ext(path, tarballs=False))
+    name = slug(F.regexp_extract(url, URL_PATH, 1), tarballs=False)
+    return name if namespace is None else below_namespace(name, namespace)
 
 
 def relative_path(path: Column, root: str) -> Column:

@@ -26,7 +26,7 @@ def glob_regex(pattern: str) -> str:
             out.append(r"(?:(?!\.)[^/]+/)*")
             i += 3
         elif rest[0] == "*":
-            out.append(r"(?!\.)[^/]*" if i == 0 or pattern[i - 1] == "/" else "[^/]*")
+            out.append(r"(?!\.)(?=[^/])[^/]*" if i == 0 or pattern[i - 1] == "/" else "[^/]*")
             i += 1
         elif rest[0] == "?":
             out.append("[^/]")

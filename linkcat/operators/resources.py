@@ -19,6 +19,7 @@ from linkcat.operators import paths
 from linkcat.operators.ids import assign_unique_ids
 from linkcat.operators.skew import MIN_ROWS
 from linkcat.operators.vocab import family_of
+from linkcat.session import durable
 
 FIELDS = (
     "base", "type", "family", "source_kind", "source_rank", "spec_ord", "ref",
@@ -49,9 +50,9 @@ def describe_files(
 ) -> Described:
     """Resources of matched paths (``path, length, mtime, spec_ord, type``) over a file listing."""
     path, is_dir = F.col("path"), F.col("path").endswith("/")
-    ext = F.when(is_dir, F.lit("")).otherwise(urls.file_ext(path))
-    guessed = mime.patch_mime(path, mime.mime_of(ext))
-    typed = matches.withColumn("_mime", F.when(is_dir, F.lit(mime.OCTET_STREAM)).otherwise(guessed)).withColumn(
+    guessed = matches.withColumn("_mime", mime.mime_of(mime.file_ext(path)))
+    typed = guessed.withColumn(
+        "_mime", F.when(is_dir, F.col("_mime")).otherwise(mime.patch_mime(path, F.col("_mime")))).withColumn(
         "type", mime.resource_class(F.col("type"), F.col("_mime"))).withColumn("family", family_of(F.col("type")))
     refused = is_dir & (F.col("family") == "software")
     rejects = typed.filter(refused).select(
@@ -66,7 +67,7 @@ def describe_files(
     software = F.col("family") == "software"
     place = F.lit(namespace).cast("string") if namespace else None
     resources = kept.join(languages, "path", "left").select(
-        urls.slug_id(path, place, ext).alias("base"), "type", "family",
+        urls.slug_id(path, place).alias("base"), "type", "family",
         F.lit("file").alias("source_kind"), F.lit(0).alias("source_rank"), "spec_ord", path.alias("ref"),
         F.when(~is_dir, path).alias("file_path"),
         _null().alias("content_url"), _null().alias("code_repository"),
@@ -143,8 +144,11 @@ def route_specs(specs: DataFrame, catalog: Catalog = DEFAULT) -> tuple[DataFrame
 def wrap(
     files: DataFrame, web: DataFrame, reserved: DataFrame | None = None, min_rows: int = MIN_ROWS
 ) -> DataFrame:
-    """File resources followed by URL resources, with ids unique across both."""
-    every = files.select(*FIELDS).unionByName(web.select(*FIELDS))
+    """File resources followed by URL resources, with ids unique across both.
+
+    Naming reads its candidates several times, so the described rows are stored first.
+    """
+    every = durable(files.select(*FIELDS).unionByName(web.select(*FIELDS)))
     return assign_unique_ids(every, ["source_rank", "spec_ord", "ref"], reserved, min_rows=min_rows)
 
 

@@ -8,6 +8,7 @@ from linkcat.functions import headers, mime, text, urls
 from linkcat.operators import documents, ids, paths, resources
 from linkcat.plans import views
 from linkcat.plans.registry import query
+from linkcat.session import durable
 
 # SQL building blocks over the benchmark tables.
 PAGE_URL = r"""
@@ -51,7 +52,7 @@ SELECT namespace, 'WebPage' AS class, count(*) AS n, count(DISTINCT id) AS n_ids
 def page_classes(spark, sf):
     """Pages classified, named uniquely and counted by namespace and class."""
     pages = views.pages(spark, sf)
-    ext = urls.file_ext(urls.url_path(F.col("url")))
+    ext = mime.file_ext(urls.url_path(F.col("url")))
     kind = mime.mime_of(F.when(ext == "", F.lit("html")).otherwise(ext))
     named = ids.assign_unique_ids(
         pages.withColumn("class", mime.resource_class(F.lit(None).cast("string"), kind)).withColumn(
@@ -185,7 +186,7 @@ FROM ({FILE_TYPES})""")
 def file_types(spark, sf):
     """Extension, media type, class and language of each file."""
     path = F.col("path")
-    ext = urls.file_ext(path)
+    ext = mime.file_ext(path)
     kind = mime.patch_mime(path, mime.mime_of(ext))
     return views.files(spark, sf).select(
         "path", ext.alias("ext"), kind.alias("mime"),
@@ -340,7 +341,7 @@ def _listing(spark, sf):
 
 
 SPECS = [("src1/**/*.csv", None), ("src[2-4]/en/doc-?.c", None), ("*/{fr,de}/*.py", "Code"), ("src7/es", "Code"),
-         ("**/README", None), ("src9/**/*", None)]
+         ("**/README", None), ("src7/**/*", None)]
 MATCHED = rf"""
 WITH listed AS (SELECT path FROM ({FILES}) UNION ALL
   SELECT replace(path, 'README', 'JSONLD') FROM ({FILES}) WHERE doc_id % 8 = 7),
@@ -348,7 +349,7 @@ alldirs AS (SELECT DISTINCT unnest(list_transform(range(1, len(string_split(path
   lambda n: array_to_string(string_split(path, '/')[1:n], '/') || '/')) AS path FROM listed),
 every AS (SELECT path FROM listed UNION ALL SELECT path FROM alldirs),
 matched AS (SELECT path, spec_ord FROM every JOIN (VALUES (0, '^src1/(.*/)?[^/]*\.csv$'), (1, '^src[2-4]/en/doc-[^/]\.c$'),
-  (2, '^[^/]+/(fr|de)/[^/]*\.py$'), (3, '^src7/es/$'), (4, '^(.*/)?README$'), (5, '^src9/(.*/)?[^/]+/?$')) s(spec_ord, re)
+  (2, '^[^/]+/(fr|de)/[^/]*\.py$'), (3, '^src7/es/$'), (4, '^(.*/)?README$'), (5, '^src7/(.*/)?[^/]+/?$')) s(spec_ord, re)
   ON regexp_matches(path, re) WHERE NOT regexp_matches(path, '(^|/)JSONLD$'))"""
 
 
@@ -552,9 +553,10 @@ def appended_parts(spark, sf):
 def manifest_lines(spark, sf):
     """JSON text of documents with their described files, as ordered lines."""
     described = _described(spark, sf)
+    described = described._replace(resources=durable(described.resources), parts=durable(described.parts))
     of = lambda c: F.concat(F.lit("mydoc/"), F.split_part(c, F.lit("/"), F.lit(1)))
     heads = described.resources.select(of("ref").alias("doc_id")).distinct().select(
         "doc_id", *[F.lit("").alias(c) for c in ("type", *documents.HEAD)], F.lit(None).cast("string").alias("code_repository"))
-    named = ids.assign_unique_ids(described.resources, ["spec_ord", "ref"]).withColumn("doc_id", of("ref"))
+    named = durable(ids.assign_unique_ids(described.resources, ["spec_ord", "ref"]).withColumn("doc_id", of("ref")))
     parts = described.parts.withColumnRenamed("bundle", "ref").withColumn("doc_id", of("ref"))
     return documents.document_lines(documents.assemble_document(heads), named, parts)
