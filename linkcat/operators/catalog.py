@@ -142,17 +142,18 @@ def get(stored: DataFrame, requests: DataFrame, catalog: Catalog = DEFAULT) -> t
     The latest version (or one in the asked range) answers; documents without versions answer
     requests that ask for none.
     """
-    asked = parse_requests(requests, catalog)
-    versions = resolve_ranges(stored.select(*KEY), asked)
+    asked = parse_requests(requests, catalog).select("request", "doc_id", "range")
+    answers = resolve_ranges(stored.select(*KEY), asked).select(
+        F.col("doc_id").alias("_d"), F.col("range").alias("_r"), "version")
     chosen = asked.join(
-        versions, (asked["doc_id"] == versions["doc_id"]) & asked["range"].eqNullSafe(versions["range"]), "left"
-    ).select("request", asked["doc_id"], asked["range"], versions["version"])
-    bodies = stored.withColumnRenamed("doc_id", "_doc").withColumnRenamed("version", "_version")
+        answers, (F.col("doc_id") == F.col("_d")) & F.col("range").eqNullSafe(F.col("_r")), "left"
+    ).select("request", "doc_id", "range", "version")
+    bodies = stored.select(*[F.col(c).alias(f"_{c}") for c in STORED if c in stored.columns])
     found = chosen.join(
         bodies,
-        (F.col("doc_id") == F.col("_doc")) & F.col("version").eqNullSafe(F.col("_version"))
+        (F.col("doc_id") == F.col("_doc_id")) & F.col("version").eqNullSafe(F.col("_version"))
         & (F.col("version").isNotNull() | F.col("range").isNull()),
-    ).drop("_doc", "_version", "range")
+    ).select("request", "doc_id", "version", F.col("_body").alias("body"))
     missing = requests.join(found.select("request").distinct(), "request", "left_anti").withColumn(
         "reason", F.lit("not found"))
     return found, missing

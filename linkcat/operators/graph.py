@@ -1,12 +1,13 @@
 """Documents as statements: expand, flatten, compact, N-Quads and graph patterns.
 
 Statements are rows ``(doc columns, subject, predicate, object, object_kind, datatype,
-lang)`` with ``object_kind`` iri, blank or literal. Inline contexts are read from the
+lang)`` with ``object_kind`` iri, blank, literal or number (one with a fraction). Inline contexts are read from the
 document's own row, so turning documents into statements needs no shuffle.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -17,7 +18,6 @@ from linkcat.config import DEFAULT, RDF_TYPE, XSD, Catalog
 from linkcat.functions import digest
 from linkcat.functions.mime import literal_map
 from linkcat.operators.nodes import as_array, as_object, node_iri, text_at, walk_values
-from linkcat.operators.skew import MIN_ROWS, row_numbers
 
 STATEMENT = ("subject", "predicate", "object", "object_kind", "datatype", "lang")
 UNSUPPORTED_KEYS = ("@list", "@set", "@reverse", "@nest", "@included")
@@ -64,10 +64,27 @@ def expand_name(name: Column, catalog: Catalog = DEFAULT) -> Column:
 
 
 def double_lexical(value: Column) -> Column:
-    """Canonical lexical form of an xsd:double."""
-    text = F.format_string("%.15E", value)
-    mantissa = F.regexp_replace(F.split_part(text, F.lit("E"), F.lit(1)), r"(\.\d+?)0*$", "$1")
-    return F.concat(mantissa, F.lit("E"), F.split_part(text, F.lit("E"), F.lit(2)).cast("int").cast("string"))
+    """Canonical xsd:double with the 16 significant digits of the exact binary value.
+
+    Between 1 and 2^53 the fraction is taken apart exactly; outside, the shortest digits that
+    name the number are used.
+    """
+    size = F.abs(value)
+    fraction = ((size - F.floor(size)) * F.lit(float(1 << 52))).cast("bigint").cast("decimal(20,0)") / F.lit(
+        1 << 52).cast("decimal(20,0)")
+    exact = F.floor(size).cast("decimal(18,0)") + fraction.cast("decimal(20,18)")
+    tens = F.length(F.floor(size).cast("bigint").cast("string")) - 1
+    scale = F.rpad(F.lit("1"), 16 - tens, F.lit("0")).cast("decimal(17,0)")
+    digits = F.floor(exact * scale + F.lit(0.5).cast("decimal(2,1)")).cast("string")
+    inside = (size >= 1) & (size < float(1 << 53))
+    shortest = F.format_string("%.15E", size)
+    plain = F.when(
+        inside, F.concat(F.substring(digits, 1, 1), F.lit("."), F.substring(digits, 2, 20))
+    ).otherwise(F.split_part(shortest, F.lit("E"), F.lit(1)))
+    exponent = F.when(inside, tens + F.length(digits) - 16).otherwise(
+        F.split_part(shortest, F.lit("E"), F.lit(2)).try_cast("int"))
+    mantissa = F.regexp_replace(plain, r"(\.\d+?)0*$", "$1")
+    return F.concat(F.when(value < 0, F.lit("-")).otherwise(F.lit("")), mantissa, F.lit("E"), exponent.cast("string"))
 
 
 def expand(docs: DataFrame, catalog: Catalog = DEFAULT) -> DataFrame:
@@ -87,29 +104,33 @@ def expand(docs: DataFrame, catalog: Catalog = DEFAULT) -> DataFrame:
     is_node = F.col("is_object") & ~is_value
     scalar = F.when(is_value, F.try_variant_get(value, "$['@value']", "variant")).otherwise(value)
     kind = F.when(is_node, F.lit("OBJECT")).otherwise(F.schema_of_variant(scalar))
-    string = scalar.try_cast("string")
+    rows = rows.withColumn("_variant", scalar).withColumn("_kind", kind).filter("_kind <> 'VOID'")
+    kind, string = F.col("_kind"), F.col("_variant").try_cast("string")
     ref = F.when(is_node, node_iri(F.col("id"), catalog)).when(
         is_ref & ~is_value & (kind == "STRING"), node_iri(string, catalog))
     type_name = F.when(prop == "@type", expand_name(
         F.coalesce(F.try_element_at("_terms", string)["iri"], string), catalog))
-    iri = F.coalesce(type_name, ref)
     declared = F.when(is_value, expand_name(text_at(value, "$['@type']"), catalog))
+    rows = rows.withColumn("_iri", F.coalesce(type_name, ref)).withColumn("_declared", declared).withColumn(
+        "_number", F.when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"), F.col("_variant").try_cast("double")))
+    iri, declared, number = F.col("_iri"), F.col("_declared"), F.col("_number")
+    # A number without a fraction is an integer however it was written.
+    whole = (kind == "BIGINT") | ((number == F.floor(number)) & (F.abs(number) < 1e18))
+    fractional = number.isNotNull() & ~whole & declared.isNull()
     datatype = F.coalesce(
         declared,
-        F.when(kind == "BIGINT", F.lit(XSD + "integer"))
-        .when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"), F.lit(XSD + "double"))
+        F.when(whole, F.lit(XSD + "integer")).when(number.isNotNull(), F.lit(XSD + "double"))
         .when(kind == "BOOLEAN", F.lit(XSD + "boolean")),
     )
-    literal = F.when(
-        kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"), double_lexical(scalar.try_cast("double"))
-    ).otherwise(string)
-    return rows.filter(kind != "VOID").select(
+    literal = F.when(fractional, F.to_json("_variant")).when(
+        number.isNotNull() & whole, number.cast("bigint").cast("string")).otherwise(string)
+    return rows.select(
         *keep,
         node_iri(F.col("owner"), catalog).alias("subject"),
         predicate.alias("predicate"),
         F.coalesce(iri, literal).alias("object"),
-        F.when(iri.isNull(), F.lit("literal")).when(iri.startswith("_:"), F.lit("blank"))
-        .otherwise(F.lit("iri")).alias("object_kind"),
+        F.when(iri.startswith("_:"), F.lit("blank")).when(iri.isNotNull(), F.lit("iri"))
+        .when(fractional, F.lit("number")).otherwise(F.lit("literal")).alias("object_kind"),
         F.when(iri.isNull(), datatype).alias("datatype"),
         F.when(is_value, text_at(value, "$['@language']")).alias("lang"),
     )
@@ -122,15 +143,15 @@ def statements(docs: DataFrame, catalog: Catalog = DEFAULT) -> DataFrame:
 
 def compact_iri(iri: Column, catalog: Catalog = DEFAULT, vocab: bool = True) -> Column:
     """Shortest name of an IRI: a vocabulary term, else a CURIE of the longest prefix, else itself."""
-    longest_first = sorted(catalog.context_prefixes.items(), key=lambda p: -len(p[1]))
-    out = iri
-    for prefix, origin in reversed(longest_first):
-        rest = F.substring(iri, F.lit(len(origin) + 1), F.length(iri))
-        out = F.when(iri.startswith(origin), F.concat(F.lit(prefix + ":"), rest)).otherwise(out)
+    names = {origin: prefix + ":" for prefix, origin in catalog.context_prefixes.items()}
     if vocab:
-        term = F.substring(iri, F.lit(len(catalog.vocab) + 1), F.length(iri))
-        out = F.when(iri.startswith(catalog.vocab), term).otherwise(out)
-    return F.when(iri == RDF_TYPE, F.lit("@type")).otherwise(out) if vocab else out
+        names[catalog.vocab] = ""
+    longest_first = sorted(names, key=len, reverse=True)
+    pattern = "^(" + "|".join(re.escape(o) for o in longest_first) + ")"
+    origin = F.regexp_extract(iri, pattern, 1)
+    named = F.concat(F.try_element_at(literal_map(names), origin), F.substring(iri, F.length(origin) + 1, F.length(iri)))
+    short = F.coalesce(named, iri)
+    return F.when(iri == RDF_TYPE, F.lit("@type")).otherwise(short) if vocab else short
 
 
 def compact(rows: DataFrame, catalog: Catalog = DEFAULT) -> DataFrame:
@@ -169,15 +190,17 @@ def nquad_line() -> Column:
         .when(F.col("datatype").isNotNull(), F.concat(F.lit("^^<"), "datatype", F.lit(">")))
         .otherwise(F.lit(""))
     )
-    literal = F.concat(F.lit('"'), escape_literal(F.col("object")), F.lit('"'), tail)
-    obj = F.when(F.col("object_kind") == "literal", literal).otherwise(name(F.col("object")))
+    lexical = F.when(F.col("object_kind") == "number", double_lexical(F.col("object").try_cast("double"))).otherwise(
+        escape_literal(F.col("object")))
+    literal = F.concat(F.lit('"'), lexical, F.lit('"'), tail)
+    obj = F.when(F.col("object_kind").isin("literal", "number"), literal).otherwise(name(F.col("object")))
     return F.concat_ws(" ", name(F.col("subject")), name(F.col("predicate")), obj, F.lit("."))
 
 
-def to_quads(docs: DataFrame, catalog: Catalog = DEFAULT, min_rows: int = MIN_ROWS) -> DataFrame:
+def to_quads(docs: DataFrame, catalog: Catalog = DEFAULT) -> DataFrame:
     """N-Quads lines of each document, blank nodes under canonical labels, as a set."""
     keep = [c for c in docs.columns if c != "body"]
-    labelled = label_blank_nodes(statements(docs, catalog), keep, min_rows)
+    labelled = label_blank_nodes(statements(docs, catalog), keep)
     return labelled.select(*keep, nquad_line().alias("line")).distinct()
 
 
@@ -186,11 +209,12 @@ def order_graph(quads: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFram
     return quads.orderBy(*keys, "line")
 
 
-def label_blank_nodes(rows: DataFrame, doc_keys: Sequence[str], min_rows: int = MIN_ROWS) -> DataFrame:
+def label_blank_nodes(rows: DataFrame, doc_keys: Sequence[str]) -> DataFrame:
     """Canonical blank labels from what each blank node states and is stated about.
 
     Every blank node gets the order-free digest of its statements, itself read as ``_:a`` and
     other blank nodes as ``_:z``; digests are ranked within the document, ties by first label.
+    A document was one row, which bounds its label map.
     """
     masked = lambda c, me: F.when(c == me, F.lit("_:a")).when(c.startswith("_:"), F.lit("_:z")).otherwise(c)
     object_text = F.when(F.col("object_kind") == "blank", masked(F.col("object"), F.col("_me"))).otherwise(
@@ -198,39 +222,41 @@ def label_blank_nodes(rows: DataFrame, doc_keys: Sequence[str], min_rows: int =
     mentions = F.array_distinct(F.array_compact(F.array(
         F.when(F.col("subject").startswith("_:"), F.col("subject")),
         F.when(F.col("object_kind") == "blank", F.col("object")))))
-    labels = (
+    hashed = (
         rows.withColumn("_me", F.explode(mentions))
         .groupBy(*doc_keys, "_me")
         .agg(digest.set_digest(F.concat_ws(" ", masked(F.col("subject"), F.col("_me")), "predicate", object_text))
              .alias("_hash"))
     )
-    labels = row_numbers(labels, doc_keys, ["_hash", "_me"], "_rank", min_rows).select(
-        *doc_keys, "_me", F.concat(F.lit("_:c14n"), (F.col("_rank") - 1).cast("string")).alias("_label"))
-    for name in ("subject", "object"):
-        is_blank = F.col(name).startswith("_:") & ((F.lit(name) == "subject") | (F.col("object_kind") == "blank"))
-        rows = (
-            rows.withColumn("_me", F.when(is_blank, F.col(name)).otherwise(F.lit("")))
-            .join(labels, [*doc_keys, "_me"], "left")
-            .withColumn(name, F.coalesce("_label", name)).drop("_me", "_label")
-        )
-    return rows
+    ranked = F.transform(
+        F.array_sort(F.collect_list(F.struct("_hash", "_me"))),
+        lambda x, i: F.struct(x["_me"], F.concat(F.lit("_:c14n"), i.cast("string"))))
+    labels = hashed.groupBy(*doc_keys).agg(F.map_from_entries(ranked).alias("_labels"))
+    relabelled = lambda c: F.coalesce(F.try_element_at("_labels", c), c)
+    return (
+        rows.join(labels, list(doc_keys), "left")
+        .withColumn("subject", relabelled(F.col("subject")))
+        .withColumn("object", F.when(F.col("object_kind") == "blank", relabelled(F.col("object"))).otherwise(F.col("object")))
+        .drop("_labels")
+    )
 
 
 def render_nodes(rows: DataFrame, doc_keys: Sequence[str], expanded: bool) -> DataFrame:
     """One JSON object per node from a statement set; a node never exceeds its document's row."""
     ref = F.to_json(F.struct(F.col("object").alias("@id")))
-    number = F.col("datatype").isin(XSD + "integer", XSD + "boolean", "xsd:integer", "xsd:boolean")
-    bare = F.when(number, F.col("object")).otherwise(F.to_json(F.array("object")).substr(F.lit(2), F.length(F.to_json(F.array("object"))) - 2))
+    native = F.col("datatype").isin(XSD + "integer", XSD + "boolean", "xsd:integer", "xsd:boolean") | (
+        F.col("object_kind") == "number")
+    quoted = F.regexp_extract(F.to_json(F.array("object")), r"(?s)^\[(.*)\]$", 1)
+    bare = F.when(native, F.col("object")).otherwise(quoted)
     typed = F.to_json(F.struct(
-        F.col("object").alias("@value"),
-        F.when(~number, F.col("datatype")).alias("@type"), F.col("lang").alias("@language")))
-    plain = F.col("lang").isNull() & (F.col("datatype").isNull() | number)
+        F.col("object").alias("@value"), F.col("datatype").alias("@type"), F.col("lang").alias("@language")))
+    plain = native | (F.col("lang").isNull() & F.col("datatype").isNull())
     is_type = F.col("predicate").isin(RDF_TYPE, "@type")
     if expanded:
-        whole = F.when(number, F.concat(F.lit('{"@value":'), bare, F.lit("}"))).otherwise(typed)
+        whole = F.when(native, F.concat(F.lit('{"@value":'), bare, F.lit("}"))).otherwise(typed)
     else:
         whole = F.when(plain, bare).otherwise(typed)
-    text = F.when(is_type, bare).when(F.col("object_kind") == "literal", whole).otherwise(ref)
+    text = F.when(is_type, bare).when(F.col("object_kind").isin("literal", "number"), whole).otherwise(ref)
     values = rows.withColumn("_v", text).withColumn(
         "_p", F.when(is_type, F.lit("@type")).otherwise(F.col("predicate")))
     grouped = values.groupBy(*doc_keys, "subject", "_p").agg(F.array_sort(F.collect_list("_v")).alias("_vs"))

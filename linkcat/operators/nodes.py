@@ -13,9 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkcat.config import CATALOG_PREFIX, DEFAULT, Catalog
+from linkcat.functions.mime import literal_map
 from linkcat.functions.urls import IS_URL, strip_slashes
 
 MEDIA_KEYS = ("filePath", "contentUrl", "downloadUrl")
+ABSOLUTE = IS_URL + r"|^(?:_|mailto|urn|tag|doi|tel|data):"
 FIELDS = ("path", "owner", "prop", "value", "kind", "id")
 # Kinds of a found value: an object or array still to open, an object that has been
 # opened, one that must not be opened, and a scalar.
@@ -63,14 +65,10 @@ def is_media(entries: Column, prop: Column) -> Column:
 def node_iri(ref: Column, catalog: Catalog = DEFAULT) -> Column:
     """Absolute IRI of an ``@id``: CURIEs expand, relative ids resolve against the base."""
     prefix = F.split_part(ref, F.lit(":"), F.lit(1))
-    iri = F.lit(None).cast("string")
-    for name, expansion in catalog.context_prefixes.items():
-        iri = F.when(
-            prefix == name, F.concat(F.lit(expansion), F.substring(ref, F.lit(len(name) + 2), F.length(ref)))
-        ).otherwise(iri)
+    origin = F.try_element_at(literal_map(catalog.context_prefixes), prefix)
     return (
-        F.when(ref.rlike(IS_URL) | ref.startswith("_:") | ref.rlike(r"^(mailto|urn|tag|doi|tel|data):"), ref)
-        .when(ref.contains(":"), F.coalesce(iri, ref))
+        F.when(ref.rlike(ABSOLUTE), ref)
+        .when(ref.contains(":"), F.coalesce(F.concat(origin, F.substring(ref, F.length(prefix) + 2, F.length(ref))), ref))
         .otherwise(F.concat(F.lit(catalog.base), strip_slashes(ref)))
     )
 
@@ -86,34 +84,43 @@ def walk_values(
     not opened (``stopped``); the root is always opened.
     """
 
-    def found(path: Column, owner: Column, prop: Column, value: Column, root: bool = False) -> dict[str, Column]:
-        halt = F.coalesce(stop(as_object(value), prop), F.lit(False)) if stop and not root else F.lit(False)
-        kind = (
-            F.when(as_array(value).isNotNull(), F.lit(ARRAY))
-            .when(as_object(value).isNotNull(), F.when(halt, F.lit(STOPPED)).otherwise(F.lit(OBJECT)))
-            .otherwise(F.lit(SCALAR))
-        )
-        label = F.concat(F.lit("_:b"), F.array_join(path, "."))
-        node_id = F.when(kind.isin(OBJECT, STOPPED), F.coalesce(text_at(value, "$['@id']"), label))
-        return dict(zip(FIELDS, (path, owner, prop, value, kind, node_id)))
-
     keep = [c for c in docs.columns if c != "body"]
     none = F.lit(None).cast("string")
-    root = found(F.array().cast("array<string>"), none, none, F.col("body"), root=True)
-    rows = docs.select(*keep, *[root[f].alias(f) for f in FIELDS])
+    rows = docs.select(
+        *keep, F.array().cast("array<string>").alias("path"), none.alias("owner"), none.alias("prop"),
+        F.col("body").alias("value"))
+    rows = rows.withColumn("kind", _kind(F.col("value"), F.col("prop"), None))
+    rows = rows.withColumn("id", _node_id(F.col("kind"), F.col("value"), F.col("path")))
     for _ in range(levels):
-        rows = _open_level(rows, keep, found)
-    rows = rows.withColumn("_x", F.explode(F.when(
-        F.col("kind").isin(OBJECT, ARRAY), _unfold(F.struct(*FIELDS), found)
-    ).otherwise(F.array(F.struct(*FIELDS)))))
-    kind = F.col("_x.kind")
-    return rows.select(
-        *keep, *[F.col(f"_x.{f}") for f in FIELDS if f != "kind"],
-        kind.isin(OPENED, STOPPED).alias("is_object"), (kind == STOPPED).alias("stopped"),
+        rows = _open_level(rows, keep, stop)
+    deep = F.col("kind").isin(OBJECT, ARRAY)
+    rows = rows.withColumn("_x", F.explode_outer(F.when(deep, _unfold(F.struct(*FIELDS), stop))))
+    kind = F.col("_kind")
+    return (
+        rows.select(*keep, *[F.when(deep, F.col(f"_x.{f}")).otherwise(F.col(f)).alias(
+            "_kind" if f == "kind" else f) for f in FIELDS])
+        .withColumn("is_object", kind.isin(OPENED, STOPPED))
+        .withColumn("stopped", kind == STOPPED).drop("_kind")
+    )
+
+
+def _kind(value: Column, prop: Column, stop: Callable[[Column, Column], Column] | None) -> Column:
+    """Kind of a value that has just been found."""
+    halt = F.coalesce(stop(as_object(value), prop), F.lit(False)) if stop else F.lit(False)
+    return (
+        F.when(as_object(value).isNotNull(), F.when(halt, F.lit(STOPPED)).otherwise(F.lit(OBJECT)))
+        .when(as_array(value).isNotNull(), F.lit(ARRAY))
+        .otherwise(F.lit(SCALAR))
     )
 
 
-def _open_level(rows: DataFrame, keep: list[str], found: Callable[..., dict[str, Column]]) -> DataFrame:
+def _node_id(kind: Column, value: Column, path: Column) -> Column:
+    """Id of a found object: its own, else a blank label made from its path."""
+    label = F.concat(F.lit("_:b"), F.array_join(path, "."))
+    return F.when(kind.isin(OBJECT, STOPPED), F.coalesce(text_at(value, "$['@id']"), label))
+
+
+def _open_level(rows: DataFrame, keep: list[str], stop: Callable[[Column, Column], Column] | None) -> DataFrame:
     """Open every container found so far by one level; other rows pass through.
 
     An object yields a row for itself and one per entry, an array one per element.
@@ -124,33 +131,41 @@ def _open_level(rows: DataFrame, keep: list[str], found: Callable[..., dict[str,
         .otherwise(F.array(F.lit(False)))
     )
     rows = rows.withColumn("_open", F.explode(turns)).withColumnRenamed("value", "_value")
-    inside = F.when(F.col("_open"), F.col("_value")).outer()
+    opened = F.col("_open")
+    inside = F.when(opened, F.col("_value")).outer()
     pairs = rows.lateralJoin(rows.sparkSession.tvf.variant_explode_outer(inside)).filter(
-        ~F.col("_open") | (F.col("pos").isNotNull() & (F.coalesce("key", F.lit("")) != "@context")))
+        ~opened | (F.col("pos").isNotNull() & (F.coalesce("key", F.lit("")) != "@context")))
     entry = F.col("key").isNotNull()
-    child = found(
-        F.concat("path", F.array(F.coalesce("key", F.col("pos").cast("string")))),
-        F.when(entry, F.col("id")).otherwise(F.col("owner")),
-        F.when(entry, F.col("key")).otherwise(F.col("prop")),
-        F.col("value"),
-    )
-    own_kind = F.when(F.col("kind") == OBJECT, F.lit(OPENED)).otherwise(F.col("kind"))
-    own = {f: F.col(f) for f in FIELDS} | {"value": F.col("_value"), "kind": own_kind}
-    return pairs.select(*keep, *[F.when(F.col("_open"), child[f]).otherwise(own[f]).alias(f) for f in FIELDS])
-
-
-def _unfold(start: Column, found: Callable[..., dict[str, Column]]) -> Column:
+    step = F.when(opened, F.concat("path", F.array(F.coalesce("key", F.col("pos").cast("string")))))
+    children = pairs.select(
+        *keep, "_open",
+        step.otherwise(F.col("path")).alias("path"),
+        F.when(entry, F.col("id")).otherwise(F.col("owner")).alias("owner"),
+        F.coalesce("key", "prop").alias("prop"),
+        F.when(opened, F.col("value")).otherwise(F.col("_value")).alias("value"),
+        F.when(F.col("kind") == OBJECT, F.lit(OPENED)).otherwise(F.col("kind")).alias("_own"),
+        F.col("id").alias("_id"),
+    ).withColumn("kind", F.when(opened, _kind(F.col("value"), F.col("prop"), stop)).otherwise(F.col("_own")))
+    new_id = _node_id(F.col("kind"), F.col("value"), F.col("path"))
+    return children.withColumn("id", F.when(opened, new_id).otherwise(F.col("_id"))).drop("_open", "_own", "_id")
+
+
+def _unfold(start: Column, stop: Callable[[Column, Column], Column] | None) -> Column:
     """All values below a container as an array, however deep it goes."""
-    as_struct = lambda fields: F.struct(*[fields[f].alias(f) for f in FIELDS])
+    as_struct = lambda *values: F.struct(*[v.alias(f) for f, v in zip(FIELDS, values)])
     is_open = lambda x: x["kind"].isin(OBJECT, ARRAY)
 
+    def found(path: Column, owner: Column, prop: Column, value: Column) -> Column:
+        kind = _kind(value, prop, stop)
+        return as_struct(path, owner, prop, value, kind, _node_id(kind, value, path))
+
     def opened(x: Column) -> Column:
-        me = as_struct({f: x[f] for f in FIELDS} | {"kind": F.lit(OPENED)})
+        me = as_struct(x["path"], x["owner"], x["prop"], x["value"], F.lit(OPENED), x["id"])
         entries = F.filter(F.map_entries(as_object(x["value"])), lambda e: e["key"] != "@context")
-        inner = F.transform(entries, lambda e: as_struct(
-            found(F.concat(x["path"], F.array(e["key"])), x["id"], e["key"], e["value"])))
-        items = F.transform(as_array(x["value"]), lambda v, i: as_struct(
-            found(F.concat(x["path"], F.array(i.cast("string"))), x["owner"], x["prop"], v)))
+        inner = F.transform(entries, lambda e: found(
+            F.concat(x["path"], F.array(e["key"])), x["id"], e["key"], e["value"]))
+        items = F.transform(as_array(x["value"]), lambda v, i: found(
+            F.concat(x["path"], F.array(i.cast("string"))), x["owner"], x["prop"], v))
         return F.when(x["kind"] == OBJECT, F.concat(F.array(me), inner)).otherwise(items)
 
     def step(s: Column, _: Column) -> Column:

@@ -8,6 +8,7 @@ from linkcat.config import CATALOG_PREFIX, DEFAULT
 from linkcat.operators import documents, graph, nodes, vocab
 from linkcat.plans import views
 from linkcat.plans.registry import query
+from linkcat.session import durable
 
 ORDERS = "SELECT *, 'c' || o_custkey || '/o' || o_orderkey AS doc, o_orderkey AS k FROM orders"
 OBJECTS = f"""
@@ -23,6 +24,9 @@ UNION ALL SELECT doc, 'about', 'about', doc || '/customer' FROM o
 UNION ALL SELECT doc, 'author', 'author', doc || '/customer' FROM o"""
 B = "https://catalog.example/"
 S = "http://schema.org/"
+LEXICAL = (
+    r"regexp_replace(split_part(printf('%.15e', object::DOUBLE), 'e', 1), '(\.[0-9]+?)0*$', '\1') || 'E' || "
+    "CAST(split_part(printf('%.15e', object::DOUBLE), 'e', 2) AS INTEGER)")
 TYPE = "http://www.w3.org/1999/02/22-rdf-syntax-ns#type"
 
 
@@ -35,14 +39,13 @@ def _rows() -> str:
     ref = lambda s, p, o, kind="iri", where="true": (s, f"'{S}{p}'", o, f"'{kind}'", "NULL", where)
     typ = lambda s, cls, where="true": (s, f"'{TYPE}'", f"'{S}{cls}'", "'iri'", "NULL", where)
     xsd = "'http://www.w3.org/2001/XMLSchema#"
-    mantissa = r"regexp_replace(split_part(printf('%.15e', o_totalprice), 'e', 1), '(\.[0-9]+?)0*$', '\1')"
-    price = f"{mantissa} || 'E' || CAST(split_part(printf('%.15e', o_totalprice), 'e', 2) AS INTEGER)"
     third = "k % 3 = 0"
     rows = [
         typ(root, "Dataset"),
         lit(root, "version", "'1.' || (k % 7) || '.' || (k % 5)"), lit(root, "name", "'order ' || k"),
         lit(root, "description", "o_orderpriority"), lit(root, "position", "CAST(k AS VARCHAR)", xsd + "integer'"),
-        lit(root, "price", price, xsd + "double'"),
+        (root, f"'{S}price'", "CAST(CAST(o_totalprice AS BIGINT) AS VARCHAR)", "'literal'", xsd + "integer'", "o_totalprice = floor(o_totalprice)"),
+        (root, f"'{S}price'", "CAST(o_totalprice AS VARCHAR)", "'number'", xsd + "double'", "o_totalprice <> floor(o_totalprice)"),
         lit(root, "isAccessibleForFree", "CASE WHEN k % 2 = 0 THEN 'true' ELSE 'false' END", xsd + "boolean'"),
         ref(root, "license", "'http://creativecommons.org/publicdomain/zero/1.0/'"),
         ref(root, "distribution", "'_:bdistribution'", "blank"),
@@ -117,7 +120,7 @@ def document_ids(spark, sf):
 
 
 @query(STATEMENTS + f"""SELECT DISTINCT doc_id, '<' || subject || '> <' || predicate || '> ' ||
-  CASE WHEN object_kind = 'iri' THEN '<' || object || '>' ELSE '"' || object || '"' ||
+  CASE WHEN object_kind = 'iri' THEN '<' || object || '>' ELSE '"' || CASE WHEN object_kind = 'number' THEN {LEXICAL} ELSE object END || '"' ||
     coalesce('^^<' || datatype || '>', '') END || ' .' AS line
 FROM st WHERE NOT starts_with(subject, '_:') AND object_kind <> 'blank'""")
 def named_quads(spark, sf):
@@ -182,7 +185,7 @@ JOIN st e ON e.subject = d.object AND e.predicate = '{TYPE}' AND e.object = '{S}
 WHERE a.predicate = '{S}description' AND a.object = '1-URGENT'""")
 def matched_graph(spark, sf):
     """Urgent orders with an application, and their customers: a basic graph pattern."""
-    rows = graph.statements(views.order_docs(spark, sf)).filter("subject not like '_:%'")
+    rows = durable(graph.statements(views.order_docs(spark, sf)).filter("subject not like '_:%'"))
     return graph.match_bgp(rows, [
         ("?doc", S + "description", "1-URGENT"), ("?doc", S + "author", "?person"), ("?person", S + "name", "?customer"),
         ("?doc", S + "hasPart", "?app"), ("?app", TYPE, S + "SoftwareApplication"),
