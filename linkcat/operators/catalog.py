@@ -12,6 +12,7 @@ from linkcat.functions import urls
 from linkcat.operators import graph, media, nodes
 from linkcat.operators.documents import validate_documents
 from linkcat.operators.versions import resolve_ranges
+from linkcat.session import durable
 
 KEY = ["doc_id", "version"]
 STORED = ("doc_id", "version", "body", "published_at")
@@ -66,11 +67,14 @@ def publish(
     earliest wins; without a version the latest replaces what was there.
     """
     keyed = with_keys(submissions, catalog)
-    valid, _ = validate_documents(keyed, catalog)
+    _, rejects = validate_documents(keyed, catalog)
     at = F.struct("published_at", "submission_id")
 
-    # Narrow rows from here on: bodies are only read again for what gets stored.
-    narrow = valid.select("submission_id", "username", "namespace", *KEY, "published_at")
+    # Bodies are walked once; every later step works on stored narrow rows.
+    rows = durable(
+        keyed.select("submission_id", "username", "namespace", *KEY, "published_at")
+        .join(rejects.select("submission_id", "reason"), "submission_id", "left"))
+    narrow = rows.filter("reason is null").drop("reason")
     owners = (
         narrow.join(maintainers.select("namespace").distinct(), "namespace", "left_anti")
         .groupBy("namespace").agg(F.min_by("username", at).alias("username"))
@@ -105,14 +109,14 @@ def publish(
         .when(F.col("version").isNull(), F.lit("updated"))
         .otherwise(F.lit("conflict"))
     )
-    outcomes = keyed.select("submission_id", *KEY, "namespace", "username")
+    outcomes = rows.select("submission_id", *KEY, "namespace", "username")
     created = flag(new_versions.select("submission_id").unionByName(firsts), "_created")
     for flags in (flag(narrow, "_valid"), flag(eligible, "_eligible"), flag(allowed, "_allowed"), created):
         outcomes = outcomes.join(flags, "submission_id", "left")
     outcomes = outcomes.select("submission_id", *KEY, "namespace", "username", outcome.alias("outcome"))
 
     accepted = new_versions.select("submission_id").unionByName(lasts.select("submission_id"))
-    added = keyed.join(accepted, "submission_id", "left_semi").select(*STORED)
+    added = with_keys(submissions.join(accepted, "submission_id", "left_semi"), catalog).select(*STORED)
     replaced = lasts.select("doc_id")
     kept_versions = stored.filter("version is not null")
     kept_plain = stored.filter("version is null").join(replaced, "doc_id", "left_anti")

@@ -122,7 +122,7 @@ def expand(docs: DataFrame, catalog: Catalog = DEFAULT) -> DataFrame:
         F.when(whole, F.lit(XSD + "integer")).when(number.isNotNull(), F.lit(XSD + "double"))
         .when(kind == "BOOLEAN", F.lit(XSD + "boolean")),
     )
-    literal = F.when(fractional, F.to_json("_variant")).when(
+    literal = F.when(fractional, number.cast("string")).when(
         number.isNotNull() & whole, number.cast("bigint").cast("string")).otherwise(string)
     return rows.select(
         *keep,
@@ -201,7 +201,7 @@ def to_quads(docs: DataFrame, catalog: Catalog = DEFAULT) -> DataFrame:
     """N-Quads lines of each document, blank nodes under canonical labels, as a set."""
     keep = [c for c in docs.columns if c != "body"]
     labelled = label_blank_nodes(statements(docs, catalog), keep)
-    return labelled.select(*keep, nquad_line().alias("line")).distinct()
+    return labelled.select(*keep, nquad_line().alias("line"))
 
 
 def order_graph(quads: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFrame:

@@ -97,7 +97,8 @@ def describe_urls(specs: DataFrame, responses: DataFrame, namespace: str | None
     addressed = specs.withColumn("_repo", urls.repo_address(F.col("id"))).withColumn(
         "url", F.coalesce(F.col("_repo.tarball_url"), F.col("id")))
     is_repo = F.col("_repo").isNotNull()
-    answers = responses.select("url", "status", "headers").dropDuplicates(["url"])
+    answer = F.min_by(F.struct("status", "headers"), F.struct("status", F.to_json("headers")))
+    answers = responses.groupBy("url").agg(answer.alias("_a")).select("url", "_a.*")
     typed = (
         addressed.join(answers, "url", "left")
         .withColumn("_h", headers.parse_headers(F.col("headers")))

@@ -45,7 +45,7 @@ def parse_manifests(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
 def scan_manifests(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """Manifests below ``root`` as documents, and rejects whose text is malformed."""
     texts = (
-        spark.read.option("recursiveFileLookup", "true").option("wholetext", "true").text(root)
+        spark.read.option("recursiveFileLookup", "true").text(root, wholetext=True)
         .withColumn("path", F.col("_metadata.file_path"))
         .filter(F.col("path").rlike(MANIFEST))
     )

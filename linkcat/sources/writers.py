@@ -26,8 +26,10 @@ def write_manifest_lines(lines: DataFrame, path: str, mode: str = "errorifexists
 def write_manifests(docs: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Stored documents as JSON text, one per line, partitioned by namespace."""
     (
-        docs.select(F.split_part("doc_id", F.lit("/"), F.lit(1)).alias("namespace"), F.to_json("body").alias("value"))
-        .write.mode(mode).partitionBy("namespace").text(path)
+        docs.select(
+            F.split_part("doc_id", F.lit("/"), F.lit(1)).alias("namespace"), "doc_id", F.to_json("body").alias("value"))
+        .repartitionByRange("namespace", "doc_id").sortWithinPartitions("namespace", "doc_id")
+        .select("namespace", "value").write.mode(mode).partitionBy("namespace").text(path)
     )
 
 
@@ -52,9 +54,14 @@ def write_clone(contents: DataFrame, path: str, force: bool = False) -> None:
 
 
 def write_catalog(docs: DataFrame, path: str, mode: str = "append") -> None:
-    """Append documents, partitioned by namespace, with sortable versions that scans can prune on."""
+    """Append documents with sortable versions, ranged and sorted by document and version.
+
+    Scans for a document or a range of versions then skip most files by their statistics, and
+    a document with very many versions is spread over files.
+    """
     (
         docs.withColumn("namespace", F.split_part("doc_id", F.lit("/"), F.lit(1)))
         .withColumn("version_key", version_key(F.col("version")))
-        .write.mode(mode).partitionBy("namespace").parquet(path)
+        .repartitionByRange("doc_id", "version_key").sortWithinPartitions("doc_id", "version_key")
+        .write.mode(mode).parquet(path)
     )

@@ -49,7 +49,7 @@ def stream_publish(
     Only versioned documents are accepted, since a stored batch is never rewritten.
     """
     texts = (
-        spark.readStream.schema("value string").option("wholetext", "true").text(inbox)
+        spark.readStream.text(inbox, wholetext=True)
         .select("value", F.col("_metadata.file_path").alias("path"),
                 F.col("_metadata.file_modification_time").alias("published_at"))
     )
