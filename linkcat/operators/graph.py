@@ -18,6 +18,7 @@ from linkcat.config import DEFAULT, RDF_TYPE, XSD, Catalog
 from linkcat.functions import digest
 from linkcat.functions.mime import literal_map
 from linkcat.operators.nodes import as_array, as_object, node_iri, text_at, walk_values
+from linkcat.session import durable
 
 STATEMENT = ("subject", "predicate", "object", "object_kind", "datatype", "lang")
 UNSUPPORTED_KEYS = ("@list", "@set", "@reverse", "@nest", "@included")
@@ -198,9 +199,12 @@ def nquad_line() -> Column:
 
 
 def to_quads(docs: DataFrame, catalog: Catalog = DEFAULT) -> DataFrame:
-    """N-Quads lines of each document, blank nodes under canonical labels, as a set."""
+    """N-Quads lines of each document, blank nodes under canonical labels, as a set.
+
+    Statements are needed for the labels and again for the lines, so they are stored in between.
+    """
     keep = [c for c in docs.columns if c != "body"]
-    labelled = label_blank_nodes(statements(docs, catalog), keep)
+    labelled = label_blank_nodes(durable(statements(docs, catalog)), keep)
     return labelled.select(*keep, nquad_line().alias("line"))
 
 
