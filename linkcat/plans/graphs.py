@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from linkcat.config import CATALOG_PREFIX, DEFAULT
 from linkcat.operators import documents, graph, nodes, vocab
 from linkcat.plans import views
+from linkcat.plans.describe import LANES, TEXT_DIGEST
 from linkcat.plans.registry import query
 from linkcat.session import durable
 
@@ -135,7 +136,21 @@ def quad_counts(spark, sf):
     return graph.to_quads(views.order_docs(spark, sf)).groupBy("doc_id").agg(F.count("*").alias("n_lines"))
 
 
-@query()
+_MASK = "CASE WHEN {0} = me THEN '_:a' WHEN starts_with({0}, '_:') THEN '_:z' ELSE {0} END"
+
+
+@query(STATEMENTS + f""", d AS (SELECT DISTINCT * FROM st),
+me AS (SELECT doc_id, subject AS me, d.* EXCLUDE (doc_id) FROM d WHERE starts_with(subject, '_:')
+  UNION ALL SELECT doc_id, object, d.* EXCLUDE (doc_id) FROM d WHERE object_kind = 'blank' AND object <> subject),
+hashed AS (SELECT doc_id, me, {TEXT_DIGEST} AS digest FROM (SELECT doc_id, me, count(*) AS n, {LANES} FROM (
+  SELECT doc_id, me, sha256({_MASK.format('subject')} || ' ' || predicate || ' ' || CASE WHEN object_kind = 'blank'
+    THEN {_MASK.format('object')} ELSE object_kind || '^' || object || '^' || coalesce(datatype, '') || '^' END) AS h FROM me) GROUP BY 1, 2)),
+lab AS (SELECT doc_id, me, '_:c14n' || (row_number() OVER (PARTITION BY doc_id ORDER BY digest, me) - 1) AS label FROM hashed)
+SELECT d.doc_id, coalesce(a.label, '<' || subject || '>') || ' <' || predicate || '> ' || CASE object_kind WHEN 'blank' THEN b.label
+  WHEN 'iri' THEN '<' || object || '>' ELSE '"' || CASE WHEN object_kind = 'number' THEN {LEXICAL} ELSE object END || '"'
+  || coalesce('^^<' || datatype || '>', '') END || ' .' AS line
+FROM d LEFT JOIN lab a ON a.doc_id = d.doc_id AND a.me = subject
+LEFT JOIN lab b ON b.doc_id = d.doc_id AND b.me = object AND object_kind = 'blank'""")
 def normalized_documents(spark, sf):
     """Order documents as canonical N-Quads in order."""
     return graph.order_graph(graph.to_quads(views.order_docs(spark, sf)))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -23,12 +24,14 @@ BLOBS = "sha1_hex string, size bigint, content binary, batch_id bigint"
 
 
 def _earlier(spark: SparkSession, path: str, schema: str, batch: int) -> DataFrame:
-    """What earlier batches stored."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    exists = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(folder)
-    if not exists:
-        return spark.createDataFrame([], schema).drop(BATCH)
-    return spark.read.schema(schema).parquet(path).filter(F.col(BATCH) < batch).drop(BATCH)
+    """What earlier batches stored; nothing before the first."""
+    try:
+        stored = spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        stored = spark.createDataFrame([], schema)
+    return stored.filter(F.col(BATCH) < batch).drop(BATCH)
 
 
 def _replace_batch(df: DataFrame, path: str, batch: int) -> None:
