@@ -187,7 +187,7 @@ def contextless_documents(spark, sf):
 @query(STATEMENTS + f"SELECT DISTINCT doc_id, subject FROM st WHERE predicate = '{TYPE}' AND object = '{S}SoftwareApplication'")
 def matched_pattern(spark, sf):
     """Statements that type a node as an application."""
-    rows = graph.statements(views.order_docs(spark, sf))
+    rows = durable(graph.statements(views.order_docs(spark, sf)))
     return graph.match_pattern(rows, predicate=TYPE, object=S + "SoftwareApplication").select("doc_id", "subject")
 
 
