@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from linkcat.functions import headers, mime, text, urls
 from linkcat.operators import documents, ids, paths, resources
+from linkcat.operators.skew import row_numbers
 from linkcat.plans import views
 from linkcat.plans.registry import query
 from linkcat.session import durable
@@ -539,8 +540,6 @@ SELECT 'c' || o_custkey AS doc_id, CAST(p AS BIGINT) AS pos, part FROM (
   WHERE o_orderkey % 2 = 1)""")
 def appended_parts(spark, sf):
     """Parts appended to documents that already have some."""
-    from linkcat.operators.skew import row_numbers
-
     orders = views.table(spark, sf, "orders").select(
         views.text("c", F.col("o_custkey")).alias("doc_id"), "o_orderkey", "o_orderdate")
     old = row_numbers(orders.filter("o_orderkey % 2 = 0"), ["doc_id"], ["o_orderkey"], "pos").select(
@@ -549,7 +548,32 @@ def appended_parts(spark, sf):
     return documents.add_parts(old, new, ["o_orderdate", "o_orderkey"])
 
 
-@query()
+MEDIA = """CASE WHEN is_dir THEN '' ELSE '"filePath":"' || ref || '",' END || '"encodingFormat":"' || encoding_format || '",'
+  || CASE WHEN is_dir THEN '' ELSE '"contentSize":' || content_size || ',' END || '"dateModified":"' || date_modified || '"}}'"""
+
+
+@query(f"""
+WITH num AS (SELECT *, ref LIKE '%/' AS is_dir, row_number() OVER (PARTITION BY base ORDER BY spec_ord, ref) - 1 AS j FROM ({FILE_RESOURCES})),
+gaps AS (SELECT base, n - row_number() OVER (PARTITION BY base ORDER BY n) AS free FROM (
+  SELECT DISTINCT regexp_extract(base, '^(.*)-([1-9][0-9]*)$', 1) AS base,
+    CAST(regexp_extract(base, '^(.*)-([1-9][0-9]*)$', 2) AS BIGINT) AS n FROM num WHERE regexp_matches(base, '-[1-9][0-9]*$'))),
+skips AS (SELECT num.ref, count(gaps.free) AS skip FROM num LEFT JOIN gaps ON gaps.base = num.base AND gaps.free < num.j GROUP BY 1),
+named AS (SELECT num.*, 'mydoc/' || split_part(ref, '/', 1) AS doc_id, CASE WHEN j = 0 THEN base ELSE base || '-' || (j + skip) END AS id
+  FROM num JOIN skips USING (ref)),
+res AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY id) AS k, '{{"@id":"' || id || '","@type":"' || type || '"' || CASE family
+  WHEN 'software' THEN ',"fileFormat":"' || encoding_format || '","filePath":"' || ref || '","fileSize":' || content_size
+    || ',"dateModified":"' || date_modified || '","operatingSystem":"Linux","processorRequirements":"x64"}}'
+  WHEN 'dataset' THEN ',"distribution":{{"@type":"DataDownload",' || {MEDIA}
+  ELSE coalesce(CASE WHEN contains(languages, '|') THEN ',"programmingLanguage":[{{"name":"' || replace(languages, '|', '"}},{{"name":"') || '"}}]'
+    ELSE ',"programmingLanguage":{{"name":"' || languages || '"}}' END, '') || ',"encoding":{{"@type":"MediaObject",' || {MEDIA} END AS json FROM named),
+parts AS (SELECT res.doc_id, k, row_number() OVER (PARTITION BY dir ORDER BY path) AS s, '{{"@type":"MediaObject","filePath":"' || path || '","contentSize":'
+  || length || ',"dateModified":"' || strftime(mtime, '%Y-%m-%dT%H:%M:%S.000Z') || '"}}' AS json FROM ({DIRS}) JOIN res ON res.ref = dir)
+SELECT doc_id, 0 AS pos, 0 AS sub, '{{"@context":"https://catalog.example","@id":"' || doc_id || '","@type":"CreativeWork","version":"0.0.0",'
+  || '"license":"http://creativecommons.org/publicdomain/zero/1.0/","hasPart":[' AS line FROM res GROUP BY 1
+UNION ALL SELECT doc_id, k, 0, CASE WHEN k > 1 THEN ',' ELSE '' END || CASE WHEN is_dir THEN left(json, length(json) - 2) || ',"hasPart":[' ELSE json END FROM res
+UNION ALL SELECT doc_id, k, s, CASE WHEN s > 1 THEN ',' ELSE '' END || json FROM parts
+UNION ALL SELECT doc_id, k, max(s) + 1, ']}}}}' FROM parts GROUP BY 1, 2
+UNION ALL SELECT doc_id, max(k) + 1, 0, ']}}' FROM res GROUP BY 1""")
 def manifest_lines(spark, sf):
     """JSON text of documents with their described files, as ordered lines."""
     described = _described(spark, sf)
