@@ -61,6 +61,25 @@ def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers:
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U64))
 
 
+class PrefixSums:
+    """Prefix sums of one array under both word bases, for hashes of many overlapping runs."""
+
+    def __init__(self, values: np.ndarray):
+        self.sums, self.down = [], []
+        for powers in (_WORDS, _SECOND):
+            up, down = powers.to(len(values) + 1)
+            sums = np.zeros(len(values) + 1, U64)
+            np.cumsum((values + U64(1)) * up[: len(values)], out=sums[1:])
+            self.sums.append(sums)
+            self.down.append(down)
+
+
+def run_hashes_at(prefix: PrefixSums, starts: np.ndarray, ends: np.ndarray, which: int) -> np.ndarray:
+    """As ``run_hashes`` of the array behind ``prefix``."""
+    sums = prefix.sums[which]
+    return mix((sums[ends] - sums[starts]) * prefix.down[which][starts] + (ends - starts).astype(U64))
+
+
 class Words:
     """The words of a slice of texts.
 
