@@ -31,8 +31,8 @@ from linkcat.llm.registry import query, table
 
 WIDTH = 20
 MINIMISER = 3
-BUCKET_BYTES = 8 << 20
-SLICE_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 SAMPLE = 20_000
 #: A minimiser with as many super-k-mers in the sample is frequent.
 FREQUENT = 50
@@ -159,6 +159,12 @@ def _sampled(width: int):
     return run
 
 
+def _word_hashes(text: bytes) -> np.ndarray:
+    """Hashes of the words of a payload, each followed by one space."""
+    data = np.frombuffer(text, np.uint8)
+    return tx.Words(data, np.array([0, len(data)]), np.arange(256) != 0x20).hashes()
+
+
 def _bucket(width: int):
     """The repeated windows of one bucket, as runs of window starts."""
     def run(_: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
@@ -178,9 +184,7 @@ def _bucket(width: int):
             texts.append(raw[at:])
         ids, keys, place, size = (np.concatenate(x).astype(np.int64) for x in sent_fields)
         done = [np.concatenate(x).astype(np.int64) for x in fields]
-        data = np.frombuffer(b"".join(texts), np.uint8)
-        words = tx.Words(data, np.array([0, len(data)]), np.arange(256) != 0x20)
-        hashes = words.hashes()
+        hashes = np.concatenate([_word_hashes(part) for part in texts])
         first = np.concatenate([[0], np.cumsum(size + width - 1)]) if len(size) else np.zeros(1, np.int64)
         start, one = tx.shingles(hashes, first, width)
         _, two = tx.shingles(hashes, first, width, second=True)
