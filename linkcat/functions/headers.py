@@ -15,6 +15,12 @@ def header(headers: Column, name: str) -> Column:
     return F.try_element_at(headers, F.lit(name))
 
 
+def failure(status: Column, url: Column) -> Column:
+    """Why a URL counts as dead: no response, or an error status; NULL if it answered."""
+    return F.when(status.isNull(), F.concat(F.lit("no response from "), url)).when(
+        status >= 400, F.concat(F.lit("status "), status.cast("string"), F.lit(" from "), url))
+
+
 def http_date(value: Column) -> Column:
     """Timestamp of an HTTP date; the day name carries no information."""
     return F.try_to_timestamp(F.substring(value, 6, 100), F.lit(HTTP_DATE))

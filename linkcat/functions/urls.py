@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from linkcat.config import CATALOG_PREFIX, DEFAULT, Catalog
 from linkcat.functions.mime import basename, literal_map
 
-IS_URL = r"^(?:\w+:)?//(?:[^\s.]+\.\S{2}|localhost[:?\d]*)\S*$"
+SCHEME = r"(?:[A-Za-z][A-Za-z0-9+.-]*:)?"
+USER = r"(?:[^\s/?#@]+@)?"
+# A host is this machine, or names joined by dots of which the last has two characters or more.
+HOST = r"(?:localhost|(?:[^\s/?#:.]+\.)+[^\s/?#:.]{2,}\.?)"
+AFTER_HOST = r"(?::\d*)?(?:[/?#]\S*)?"
+IS_URL = "^" + SCHEME + "//" + USER + HOST + AFTER_HOST + "$"
 URL_HOST = r"^(?:[A-Za-z][\w+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)"
 URL_PATH = r"^(?:[A-Za-z][\w+.-]*:)?//[^/?#]*([^?#]*)"
 URL_SEGMENT = r"^(?:[A-Za-z][\w+.-]*:)?//[^/?#]*/?([^/?#]*)"

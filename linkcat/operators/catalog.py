@@ -11,7 +11,7 @@ from linkcat.config import DEFAULT, Catalog
 from linkcat.functions import urls
 from linkcat.operators import graph, media, nodes
 from linkcat.operators.documents import validate_documents
-from linkcat.operators.versions import resolve_ranges
+from linkcat.operators.versions import only_documents, resolve_ranges
 from linkcat.session import durable
 
 KEY = ["doc_id", "version"]
@@ -19,11 +19,19 @@ STORED = ("doc_id", "version", "body", "published_at")
 
 
 class Published(NamedTuple):
-    """The catalog after publishing, an outcome per submission, and the new maintainers."""
+    """The catalog after publishing, an outcome per submission, and the new maintainers.
+
+    ``added`` and ``replaced`` (documents whose unversioned row goes) are the change alone, for a store that
+    is not rewritten. ``media`` and ``files`` say what was archived for the added documents, if digests were given.
+    """
 
     catalog: DataFrame
     outcomes: DataFrame
     maintainers: DataFrame
+    added: DataFrame
+    replaced: DataFrame
+    media: DataFrame | None = None
+    files: DataFrame | None = None
 
 
 def with_keys(submissions: DataFrame, catalog: Catalog = DEFAULT) -> DataFrame:
@@ -59,9 +67,12 @@ def publish(
     files: DataFrame | None = None,
     responses: DataFrame | None = None,
     catalog: Catalog = DEFAULT,
+    digested: DataFrame | None = None,
 ) -> Published:
     """Publish submissions ``(submission_id, username, body, published_at)``.
 
+    ``files`` and ``digested`` (see ``media.archive``) may name the ``submission_id`` that a path belongs to.
+
     Outcomes: invalid, forbidden, missing_media, conflict, created, updated. A namespace nobody
     maintains goes to the first valid publisher. Of several submissions of one version the
     earliest wins; without a version the latest replaces what was there.
@@ -116,12 +127,17 @@ def publish(
     outcomes = outcomes.select("submission_id", *KEY, "namespace", "username", outcome.alias("outcome"))
 
     accepted = new_versions.select("submission_id").unionByName(lasts.select("submission_id"))
-    added = with_keys(submissions.join(accepted, "submission_id", "left_semi"), catalog).select(*STORED)
+    accepted_rows = with_keys(submissions.join(accepted, "submission_id", "left_semi"), catalog)
+    added = accepted_rows.select(*STORED)
     replaced = lasts.select("doc_id")
     kept_versions = stored.filter("version is not null")
     kept_plain = stored.filter("version is null").join(replaced, "doc_id", "left_anti")
     after = kept_versions.unionByName(kept_plain.select(*kept_versions.columns)).select(*STORED).unionByName(added)
-    return Published(after, outcomes, grants)
+    if digested is None:
+        return Published(after, outcomes, grants, added, replaced)
+    found = nodes.media_nodes(accepted_rows.select("submission_id", *KEY, "body"))
+    return Published(after, outcomes, grants, added, replaced,
+                     media.archive(found, digested).drop("submission_id"), media.archived_files(found, digested).drop("submission_id", "path"))
 
 
 def unpublish(stored: DataFrame, removals: DataFrame) -> DataFrame:
@@ -147,7 +163,9 @@ def get(stored: DataFrame, requests: DataFrame, catalog: Catalog = DEFAULT) -> t
     requests that ask for none.
     """
     asked = parse_requests(requests, catalog).select("request", "doc_id", "range")
-    answers = resolve_ranges(stored.select(*KEY), asked).select(
+    stored = only_documents(stored, asked)
+    keys = stored.select(*[c for c in (*KEY, "version_key") if c in stored.columns])
+    answers = resolve_ranges(keys, asked).select(
         F.col("doc_id").alias("_d"), F.col("range").alias("_r"), "version")
     chosen = asked.join(
         answers, (F.col("doc_id") == F.col("_d")) & F.col("range").eqNullSafe(F.col("_r")), "left"

@@ -40,16 +40,35 @@ def context_terms(body: Column) -> Column:
     ))
 
 
-def unsupported(docs: DataFrame) -> DataFrame:
-    """Documents that use JSON-LD features outside the supported subset, with a reason."""
+def _lacks_context() -> Column:
+    return F.try_variant_get("body", "$['@context']", "variant").isNull()
+
+
+def _unsupported_reason() -> Column:
+    """Feature of a body that is outside the supported subset, else NULL."""
     contexts = as_array(F.try_variant_get("body", "$['@context']", "variant"))
     several = F.size(F.filter(contexts, lambda c: as_object(c).isNotNull())) > 1
     text = F.to_json("body")
     quoted = [F.when(text.contains(f'"{k}":'), F.lit(f"uses {k}")) for k in UNSUPPORTED_KEYS]
     nested = F.when(
         F.regexp_count(text, F.lit('"@context":')) > 1, F.lit("nested context"))
-    reason = F.coalesce(*quoted, nested, F.when(several, F.lit("several inline contexts")))
-    return docs.withColumn("reason", reason).filter("reason is not null")
+    return F.coalesce(*quoted, nested, F.when(several, F.lit("several inline contexts")))
+
+
+def unsupported(docs: DataFrame) -> DataFrame:
+    """Documents that use JSON-LD features outside the supported subset, with a reason."""
+    return docs.withColumn("reason", _unsupported_reason()).filter("reason is not null")
+
+
+def split_supported(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Documents that the operators below read in full, and the others as rejects with a reason.
+
+    Both sides are row-wise tests of the body, so nothing is shuffled.
+    """
+    keep = [c for c in docs.columns if c != "body"]
+    reason = F.coalesce(F.when(_lacks_context(), F.lit("no context")), _unsupported_reason())
+    judged = docs.withColumn("reason", reason)
+    return judged.filter("reason is null").drop("reason"), judged.filter("reason is not null").select(*keep, "reason")
 
 
 def expand_name(name: Column, catalog: Catalog = DEFAULT) -> Column:
@@ -89,7 +108,11 @@ def double_lexical(value: Column) -> Column:
 
 
 def expand(docs: DataFrame, catalog: Catalog = DEFAULT) -> DataFrame:
-    """Statements of each document, one per occurrence, with absolute IRIs."""
+    """Statements of each document, one per occurrence, with absolute IRIs.
+
+    Documents that use unsupported features give none instead of wrong ones; ``split_supported`` names them.
+    """
+    docs = docs.filter(_unsupported_reason().isNull())
     keep = [c for c in docs.columns if c != "body"]
     with_terms = docs.withColumn("_terms", context_terms(F.col("body")))
     values = walk_values(with_terms, stop=lambda entries, _: F.map_contains_key(entries, "@value"))
@@ -182,10 +205,18 @@ def escape_literal(text: Column) -> Column:
     return text
 
 
+def escape_iri(iri: Column) -> Column:
+    """IRI with the characters that N-Quads forbids between angle brackets as code points."""
+    odd = iri.rlike(r'[\x00-\x20<>"{}|^`\\]')
+    coded = F.array_join(F.transform(F.split(iri, ""), lambda c: F.when(
+        c.rlike(r'[\x00-\x20<>"{}|^`\\]'), F.concat(F.lit("\\u"), F.lpad(F.hex(F.ascii(c)), 4, "0"))).otherwise(c)), "")
+    return F.when(odd, coded).otherwise(iri)
+
+
 def nquad_line() -> Column:
     """N-Quads line of a statement."""
     name = lambda c: F.when(c.startswith("_:"), F.regexp_replace(c, r"[^\w:]", "_")).otherwise(
-        F.concat(F.lit("<"), c, F.lit(">")))
+        F.concat(F.lit("<"), escape_iri(c), F.lit(">")))
     tail = (
         F.when(F.col("lang").isNotNull(), F.concat(F.lit("@"), "lang"))
         .when(F.col("datatype").isNotNull(), F.concat(F.lit("^^<"), "datatype", F.lit(">")))
@@ -268,12 +299,13 @@ def render_nodes(rows: DataFrame, doc_keys: Sequence[str], expanded: bool) -> Da
     wrapped = F.concat(F.lit("["), joined, F.lit("]"))
     if not expanded:
         wrapped = F.when(F.size("_vs") == 1, joined).otherwise(wrapped)
-    entry = F.concat(F.lit('"'), F.col("_p"), F.lit('":'), wrapped)
+    text_of = lambda c: F.regexp_extract(F.to_json(F.array(c)), r"(?s)^\[(.*)\]$", 1)
+    entry = F.concat(text_of(F.col("_p")), F.lit(":"), wrapped)
     return (
         grouped.groupBy(*doc_keys, F.col("subject").alias("id"))
         .agg(F.array_join(F.array_sort(F.collect_list(entry)), ",").alias("_body"))
         .select(*doc_keys, "id", F.concat(
-            F.lit('{"@id":"'), "id", F.lit('",'), "_body", F.lit("}")).alias("node"))
+            F.lit('{"@id":'), text_of(F.col("id")), F.lit(","), "_body", F.lit("}")).alias("node"))
     )
 
 
@@ -291,8 +323,7 @@ def as_profile(docs: DataFrame, profile: str = "compacted", catalog: Catalog = D
 
 def without_context(docs: DataFrame) -> DataFrame:
     """Documents that carry no context and so are no JSON-LD: rejects."""
-    return docs.filter(F.try_variant_get("body", "$['@context']", "variant").isNull()).withColumn(
-        "reason", F.lit("no context"))
+    return docs.filter(_lacks_context()).withColumn("reason", F.lit("no context"))
 
 
 def match_pattern(

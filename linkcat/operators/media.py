@@ -10,11 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkcat.config import DEFAULT, Catalog
-from linkcat.functions import digest, mime, urls
+from linkcat.functions import digest, headers, mime, urls
 from linkcat.operators.nodes import as_object, part_list, text_at
 from linkcat.operators.vocab import RANGES, family_of
 
 MAX_FILE_BYTES = 1 << 30
+OWNERS = ("doc_id", "version", "submission_id")
+DIGESTS = ("sha1_hex", "sha1_b64", "md5_b64", "size")
 MEDIA_CLASSES = ("MediaObject", "ImageObject", "VideoObject", "AudioObject", "DataDownload")
 
 
@@ -40,7 +42,7 @@ def media_files(media: DataFrame) -> DataFrame:
     own = text_at(value, "$.filePath")
     part = lambda p: F.struct(
         text_at(p, "$.filePath").alias("file_path"),
-        media_type(text_at(p, "$['@type']"), F.lit("encoding")).alias("file_type"), F.lit(True).alias("is_part"))
+        media_type(text_at(p, "$['@type']"), F.lit("hasPart")).alias("file_type"), F.lit(True).alias("is_part"))
     whole = F.array(F.struct(
         own.alias("file_path"), media_type(F.col("type"), F.col("prop")).alias("file_type"),
         F.lit(False).alias("is_part")))
@@ -49,12 +51,45 @@ def media_files(media: DataFrame) -> DataFrame:
     return media.withColumn("_f", F.explode(files)).select("*", "_f.*").drop("_f")
 
 
+def file_keys(media: DataFrame, files: DataFrame) -> list[str]:
+    """Columns that say whose file a path is, as far as both sides have them.
+
+    A listing without any of them is one folder that all documents share.
+    """
+    return [c for c in OWNERS if c in media.columns and c in files.columns]
+
+
+def split_duplicates(files: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Files that are the only ones of their owner and path, and the others as rejects with a reason.
+
+    The hidden columns of a file travel as one struct, so a row is never mixed from two files.
+    """
+    others = [c for c in files.columns if c not in (*keys, "path")]
+    grouped = files.groupBy(*keys, "path").agg(F.count("*").alias("_n"), F.any_value(F.struct(*others)).alias("_file"))
+    rejects = grouped.filter("_n > 1").select(*keys, "path", F.lit("listed more than once").alias("reason"))
+    return grouped.filter("_n = 1").select(*keys, "path", "_file.*"), rejects
+
+
+def join_owned(named: DataFrame, known: DataFrame, owners: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``file_path`` and the owner; documents without a version have a version of their own."""
+    there = known.select(*[F.col(c).alias(f"_k_{c}" if c in (*owners, "file_path") else c) for c in known.columns])
+    same = F.col("file_path") == F.col("_k_file_path")
+    for c in owners:
+        same = same & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+    return named.join(there, same, how).drop("_k_file_path", *[f"_k_{c}" for c in owners])
+
+
 def refresh_media(media: DataFrame, files: DataFrame) -> DataFrame:
-    """Current size and time of every file media names; ``found`` tells whether it exists."""
-    known = files.select(
-        F.col("path").alias("file_path"), F.col("length").alias("content_size"), F.col("mtime").alias("date_modified"))
+    """Current size and time of every file media names; ``found`` tells whether it exists.
+
+    Files that name their document (``doc_id``, ``version`` or ``submission_id``) are only those of that document.
+    """
+    keys = file_keys(media, files)
+    unique, _ = split_duplicates(files.select(*keys, "path", "length", "mtime"), keys)
+    known = unique.select(
+        *keys, F.col("path").alias("file_path"), F.col("length").alias("content_size"), F.col("mtime").alias("date_modified"))
     return (
-        media_files(media).join(known, "file_path", "left")
+        join_owned(media_files(media), known, keys, "left")
         .withColumn("found", F.col("content_size").isNotNull())
         .withColumn("size_property", size_property(F.col("file_type")))
     )
@@ -65,9 +100,8 @@ def check_links(media: DataFrame, responses: DataFrame, catalog: Catalog = DEFAU
     url = urls.resolve_curie(media_url(F.col("value")), catalog)["url"]
     answered = responses.select("url", "status").groupBy("url").agg(F.max("status").alias("status"))
     reason = (
-        F.when(F.col("url").isNull(), F.lit("no file and no valid URL"))
-        .when(F.col("status").isNull(), F.concat(F.lit("no response: "), "url"))
-        .when(F.col("status") >= 400, F.concat(F.lit("could not HEAD "), "url"))
+        F.when(F.col("url").isNull(), F.lit("names neither a file nor a URL"))
+        .otherwise(headers.failure(F.col("status"), F.col("url")))
     )
     return media.withColumn("url", url).join(answered, "url", "left").withColumn("reason", reason)
 
@@ -94,36 +128,37 @@ def content_addresses(digested: DataFrame) -> DataFrame:
 def archive(media: DataFrame, digested: DataFrame, uploaded_at: Column | None = None) -> DataFrame:
     """What publishing adds to every media node: checksum, format, address and upload time.
 
-    ``digested`` has ``path, sha1_hex, sha1_b64, md5_b64, size`` (and ``mtime``). A bundle gets the
-    order-free digest of its files. Nodes with a file missing are left to ``check_links``.
+    ``digested`` has ``path, sha1_hex, sha1_b64, md5_b64, size`` and, unless all documents share one
+    folder, the ``doc_id``, ``version`` or ``submission_id`` that a path belongs to; see ``split_duplicates``
+    for paths that occur twice. A bundle gets the order-free digest of its files. Nodes with a file
+    missing are left to ``check_links``.
     """
     keys = [c for c in media.columns if c not in ("owner", "value", "id", "type", "prop")]
-    known = digested.select(
-        F.col("path").alias("file_path"), "sha1_hex", "sha1_b64", "md5_b64", "size")
+    owners = file_keys(media, digested)
+    unique, _ = split_duplicates(digested.select(*owners, "path", *DIGESTS), owners)
+    known = unique.select(*owners, F.col("path").alias("file_path"), F.struct("path", *DIGESTS).alias("_file"))
     named = media_files(media.withColumn("type", media_type(F.col("type"), F.col("prop"))))
-    joined = named.withColumn(
-        "declared", F.coalesce(text_at(F.col("value"), "$.encodingFormat"), text_at(F.col("value"), "$.fileFormat"))
-    ).join(known, "file_path", "left")
+    declared = F.coalesce(text_at(F.col("value"), "$.encodingFormat"), text_at(F.col("value"), "$.fileFormat"))
+    joined = join_owned(named.withColumn("declared", declared), known, owners, "left")
     per_node = joined.groupBy(*keys, "type", "is_part").agg(
         F.count("*").alias("n_files"),
-        F.count("sha1_hex").alias("n_found"),
-        F.sum("size").alias("size"),
+        F.count("_file").alias("n_found"),
+        F.sum("_file.size").alias("size"),
         F.max("declared").alias("declared"),
-        F.max("file_path").alias("_path"),
-        F.max("sha1_hex").alias("_sha1"), F.max("sha1_b64").alias("_sha1_b64"), F.max("md5_b64").alias("_md5"),
-        digest.set_digest(F.concat_ws(":", "file_path", "sha1_hex")).alias("_bundle"),
+        F.any_value("_file").alias("_file"),
+        digest.set_digest(F.concat_ws(":", "file_path", "_file.sha1_hex")).alias("_bundle"),
     ).filter("n_found = n_files")
     bundle = F.col("is_part")
-    sha1 = F.when(bundle, F.col("_bundle")).otherwise(F.col("_sha1"))
-    path = F.when(~bundle, F.col("_path"))
+    sha1 = F.when(bundle, F.col("_bundle")).otherwise(F.col("_file.sha1_hex"))
+    path = F.when(~bundle, F.col("_file.path"))
     is_media = F.col("type").isin(*MEDIA_CLASSES)
     content_type = mime.content_type_at_publish(F.col("declared"), path, bundle)
     by_path = F.when(bundle, F.lit(mime.GTAR)).otherwise(mime.mime_lookup(path))
     return per_node.select(
         *keys, "type", "size", path.alias("file_path"),
         sha1.alias("sha1_hex"),
-        F.when(bundle, F.base64(F.unhex("_bundle"))).otherwise(F.col("_sha1_b64")).alias("sha1_b64"),
-        F.when(~bundle, F.col("_md5")).alias("md5_b64"),
+        F.when(bundle, F.base64(F.unhex("_bundle"))).otherwise(F.col("_file.sha1_b64")).alias("sha1_b64"),
+        F.when(~bundle, F.col("_file.md5_b64")).alias("md5_b64"),
         content_type.alias("content_type"),
         (is_media & mime.is_gzip_encoded(by_path)).alias("gzip_encoded"),
         F.when(family_of(F.col("type")) == "software", F.lit("downloadUrl")).otherwise(F.lit("contentUrl"))
@@ -136,18 +171,25 @@ def archive(media: DataFrame, digested: DataFrame, uploaded_at: Column | None =
 def new_blobs(blobs: DataFrame, stored: DataFrame) -> DataFrame:
     """Blobs whose address the store lacks, one per address; ``blobs`` has ``path, sha1_hex, content``.
 
-    The copy to keep is chosen on paths and hashes alone, so equal contents never meet.
+    The copy to keep is chosen on owners, paths and hashes alone, so equal contents never meet.
     """
-    fresh = blobs.select("path", "sha1_hex").join(stored.select("sha1_hex").distinct(), "sha1_hex", "left_anti")
-    kept = fresh.groupBy("sha1_hex").agg(F.min("path").alias("path")).select("path")
-    return blobs.join(kept, "path", "left_semi")
+    owners = [c for c in OWNERS if c in blobs.columns]
+    fresh = blobs.select(*owners, "path", "sha1_hex").join(stored.select("sha1_hex").distinct(), "sha1_hex", "left_anti")
+    kept = fresh.groupBy("sha1_hex").agg(F.min(F.struct("path", *owners)).alias("_k")).select("sha1_hex", "_k.*")
+    same = [F.col(f"b.{c}").eqNullSafe(F.col(f"k.{c}")) for c in (*owners, "path", "sha1_hex")]
+    whole = same[-1] & same[-2]
+    for condition in same[:-2]:
+        whole &= condition
+    return blobs.alias("b").join(kept.alias("k"), whole, "left_semi")
 
 
 def archived_files(media: DataFrame, digested: DataFrame) -> DataFrame:
     """Stored object of every file a media node names, bundle parts included."""
     keys = [c for c in media.columns if c not in ("owner", "value", "id", "type", "prop")]
-    known = digested.select(F.col("path").alias("file_path"), "sha1_hex", "size")
-    return media_files(media).join(known, "file_path").select(*keys, "file_path", "sha1_hex", "size")
+    owners = file_keys(media, digested)
+    unique, _ = split_duplicates(digested.select(*owners, "path", "sha1_hex", "size"), owners)
+    known = unique.withColumnRenamed("path", "file_path")
+    return join_owned(media_files(media), known, owners).select(*keys, "file_path", "sha1_hex", "size")
 
 
 def join_clone(files: DataFrame, stored: DataFrame) -> DataFrame:

@@ -14,26 +14,48 @@ from pyspark.sql import functions as F
 
 from linkcat.functions import digest, mime, urls
 
-MANIFEST = r"(^|/)JSONLD$"
+MANIFEST_NAME = "JSONLD"
+MANIFEST = rf"(^|/){MANIFEST_NAME}$"
 
 
-def glob_regex(pattern: str) -> str:
-    """Regular expression of a path glob; ``*`` and ``**`` skip dot names."""
+def _choices(text: str) -> tuple[list[str], int] | None:
+    """Alternatives of the brace group ``text`` starts with and its length; None if it has no two of them."""
+    depth, start, found = 0, 1, []
+    for i, c in enumerate(text):
+        depth += (c == "{") - (c == "}")
+        if (c == "," and depth == 1) or depth == 0:
+            found.append(text[start:i])
+            start = i + 1
+        if depth == 0:
+            return (found, i + 1) if len(found) > 1 else None
+    return None
+
+
+def glob_regex(pattern: str, begins: bool = True) -> str:
+    """Regular expression of a path glob; ``*`` and ``**`` skip dot names.
+
+    ``**`` stands for any number of directories where it is a whole part of the path, elsewhere for ``*``.
+    ``begins`` tells whether the pattern starts a part of the path.
+    """
     out, i = [], 0
     while i < len(pattern):
         rest = pattern[i:]
-        if rest.startswith("**/"):
+        first = pattern[i - 1] == "/" if i else begins
+        if first and rest.startswith("**/"):
             out.append(r"(?:(?!\.)[^/]+/)*")
             i += 3
-        elif rest[0] == "*":
-            out.append(r"(?!\.)(?=[^/])[^/]*" if i == 0 or pattern[i - 1] == "/" else "[^/]*")
-            i += 1
+        elif first and rest == "**":
+            out.append(r"(?:(?!\.)[^/]+/)*(?!\.)[^/]+")
+            i += 2
+        elif stars := re.match(r"\*+", rest):
+            out.append(r"(?!\.)(?=[^/])[^/]*" if first else "[^/]*")
+            i += stars.end()
         elif rest[0] == "?":
             out.append("[^/]")
             i += 1
-        elif group := re.match(r"\{([^{}]*)\}", rest):
-            out.append("(?:" + "|".join(glob_regex(x) for x in group[1].split(",")) + ")")
-            i += group.end()
+        elif rest[0] == "{" and (group := _choices(rest)):
+            out.append("(?:" + "|".join(glob_regex(x, first) for x in group[0]) + ")")
+            i += group[1]
         elif group := re.match(r"\[!?[^\]/]+\]", rest):
             out.append(group[0].replace("[!", "[^"))
             i += group.end()

@@ -86,7 +86,7 @@ def reject_failed(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Responses that answered, and the failed ones with a reason."""
     failed = F.col("status").isNull() | (F.col("status") >= 400)
     return responses.filter(~failed), responses.filter(failed).withColumn(
-        "reason", F.concat(F.lit("could not HEAD "), "url"))
+        "reason", headers.failure(F.col("status"), F.col("url")))
 
 
 def describe_urls(specs: DataFrame, responses: DataFrame, namespace: str | None = None) -> Described:
@@ -108,7 +108,7 @@ def describe_urls(specs: DataFrame, responses: DataFrame, namespace: str | None
     )
     reason = (
         F.when(is_repo & (F.col("family") != "code"), F.lit("repositories must be of type Code or a subclass"))
-        .when(F.col("status").isNull() | (F.col("status") >= 400), F.concat(F.lit("could not HEAD "), "url"))
+        .otherwise(headers.failure(F.col("status"), F.col("url")))
     )
     typed = typed.withColumn("_reason", reason)
     rejects = typed.filter("_reason is not null").select(F.col("id").alias("ref"), F.col("_reason").alias("reason"))

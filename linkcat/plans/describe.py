@@ -506,7 +506,7 @@ def described_urls(spark, sf):
 @query("""
 SELECT CASE WHEN page_id % 10 = 3 THEN 'https://github.com/acme/tool' || (page_id % 7) || '-' || page_id || '.git' ELSE url END AS ref,
   CASE WHEN page_id % 10 = 3 AND page_id % 9 IN (4, 5) THEN 'repositories must be of type Code or a subclass'
-    ELSE 'could not HEAD ' || CASE WHEN page_id % 10 = 3
+    ELSE 'status 404 from ' || CASE WHEN page_id % 10 = 3
       THEN 'https://api.github.com/repos/acme/tool' || (page_id % 7) || '-' || page_id || '/tarball/master' ELSE url END END AS reason
 FROM pages WHERE page_id % 17 = 6 OR (page_id % 10 = 3 AND page_id % 9 IN (4, 5))""")
 def rejected_urls(spark, sf):

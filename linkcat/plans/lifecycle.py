@@ -234,7 +234,8 @@ def search_any(spark, sf):
 @query(f"""SELECT doc_id, '1.0.0' AS version, 2 AS n_terms FROM ({WORDS}) WHERE list_has_all(terms, ['src3', 'fr'])""")
 def search_all(spark, sf):
     """Documents with all of the keywords, from the index."""
-    return search.search_index(search.index_terms(views.searchable(spark, sf)), ["src3", "FR"], mode="all")
+    found = search.search_index(search.index_terms(views.searchable(spark, sf)), ["src3", "FR"], mode="all")
+    return found.select("doc_id", "version", "n_terms")
 
 
 @query(f"SELECT term, count(*) AS n FROM (SELECT unnest(terms) AS term FROM ({WORDS})) GROUP BY 1")

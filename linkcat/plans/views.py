@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from linkcat.config import DEFAULT
 from linkcat.functions import urls
 from linkcat.operators.media import checksums
-from linkcat.operators.nodes import spread
 
 CONTEXT = DEFAULT.context
 
@@ -143,8 +142,9 @@ def order_body() -> Column:
 
 def order_docs(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as documents ``(doc_id, body)``."""
-    orders = spread(table(spark, sf, "orders"))
-    return orders.select(order_doc_id().alias("doc_id"), order_body().alias("body"))
+    rows = table(spark, sf, "orders")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))  # opening bodies takes longer than moving these rows
+    return rows.repartition(parts, "o_orderkey").select(order_doc_id().alias("doc_id"), order_body().alias("body"))
 
 
 def order_files(spark: SparkSession, sf: str) -> DataFrame:
@@ -161,6 +161,40 @@ def order_files(spark: SparkSession, sf: str) -> DataFrame:
         text(F.col("path"), " ", F.col("o_custkey"), " ", F.col("o_orderpriority")).alias("content"))
 
 
+def line_doc_id() -> Column:
+    """Id of an order whose items are parts of the document."""
+    return text("n", F.col("l_orderkey") % 25, "/o", F.col("l_orderkey"))
+
+
+def line_docs(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders with their line items as parts ``(doc_id, version, body, published_at)``; all name the same relative paths."""
+    item = F.struct(
+        F.concat(line_doc_id(), F.lit("/l"), F.col("l_linenumber").cast("string")).alias("@id"), F.lit("Dataset").alias("@type"),
+        text("part ", F.col("l_partkey")).alias("name"),
+        F.struct(text("items/", F.col("l_linenumber"), ".csv").alias("filePath")).alias("distribution"))
+    items = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
+        F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", item.alias("item")))).alias("items"))
+    orders = table(spark, sf, "orders").join(items, F.col("o_orderkey") == F.col("l_orderkey"))
+    body = F.to_variant_object(F.struct(
+        F.lit(CONTEXT).alias("@context"), line_doc_id().alias("@id"), F.lit("Dataset").alias("@type"), F.lit("1.0.0").alias("version"),
+        F.col("o_orderpriority").alias("name"), text("clerk of ", F.col("o_custkey")).alias("description"),
+        F.array(F.lit("order"), F.lower("o_orderstatus")).alias("keywords"),
+        F.struct(F.lit("data.csv").alias("filePath")).alias("distribution"),
+        F.col("items.item").alias("hasPart")))
+    return orders.select(line_doc_id().alias("doc_id"), F.lit("1.0.0").alias("version"), body.alias("body"),
+                         F.col("o_orderdate").cast("timestamp").alias("published_at"))
+
+
+def line_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of the orders with items: ``data.csv`` of each order and one file per item, keyed by document."""
+    items = table(spark, sf, "lineitem").select(
+        line_doc_id().alias("doc_id"), text("items/", F.col("l_linenumber"), ".csv").alias("path"),
+        text(F.col("l_partkey"), ",", F.col("l_suppkey")).alias("content")).groupBy("doc_id", "path").agg(F.min("content").alias("content"))
+    whole = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n")).select(
+        line_doc_id().alias("doc_id"), F.lit("data.csv").alias("path"), text(F.col("l_orderkey"), " has ", F.col("n")).alias("content"))
+    return whole.unionByName(items)
+
+
 def event_versions(spark: SparkSession, sf: str) -> DataFrame:
     """Events as publications: document of a user, version from the event."""
     k = F.regexp_extract("props", r'"k": (\d+)', 1).cast("bigint")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,17 +21,25 @@ def local_session(cores: str = "8", app: str = "linkcat", memory: str = "12g") -
     )
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint, in the folder the cluster names.
+def _shared(spark: SparkSession) -> str:
+    """The folder for intermediate results that the cluster names; only a local session may get one of its own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="linkcat-checkpoint-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
 
-    Only a local session may fall back to a folder of its own.
-    """
+def durable(df: DataFrame) -> DataFrame:
+    """Cut lineage with a reliable checkpoint in the shared folder."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="linkcat-checkpoint-")
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(_shared(df.sparkSession))
     return df.checkpoint()
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder below the shared one."""
+    return f"{_shared(spark).rstrip('/')}/{uuid.uuid4()}"

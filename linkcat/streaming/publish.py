@@ -20,10 +20,23 @@ from linkcat.sources.readers import parse_manifests
 
 BATCH = "batch_id"
 DOCUMENTS = "doc_id string, version string, body variant, published_at timestamp, batch_id bigint"
+GRANTS = "namespace string, username string, batch_id bigint"
 BLOBS = "sha1_hex string, size bigint, content binary, batch_id bigint"
 
 
-def _earlier(spark: SparkSession, path: str, schema: str, batch: int) -> DataFrame:
+def _latest_rows(docs: DataFrame) -> DataFrame:
+    """Stored documents; of those without a version the row of the latest batch."""
+    plain = docs.filter("version is null").select("doc_id", BATCH).groupBy("doc_id").agg(F.max(BATCH).alias(BATCH))
+    return docs.filter("version is not null").unionByName(
+        docs.filter("version is null").join(plain, ["doc_id", BATCH], "left_semi")).drop(BATCH)
+
+
+def read_published(spark: SparkSession, store: str) -> DataFrame:
+    """The catalog that ``stream_publish`` has stored so far."""
+    return _latest_rows(spark.read.schema(DOCUMENTS).parquet(f"{store}/documents"))
+
+
+def _earlier(spark: SparkSession, path: str, schema: str, batch: int, keep_batch: bool = False) -> DataFrame:
     """What earlier batches stored; nothing before the first."""
     try:
         stored = spark.read.schema(schema).parquet(path)
@@ -31,7 +44,8 @@ def _earlier(spark: SparkSession, path: str, schema: str, batch: int) -> DataFra
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         stored = spark.createDataFrame([], schema)
-    return stored.filter(F.col(BATCH) < batch).drop(BATCH)
+    earlier = stored.filter(F.col(BATCH) < batch)
+    return earlier if keep_batch else earlier.drop(BATCH)
 
 
 def _replace_batch(df: DataFrame, path: str, batch: int) -> None:
@@ -47,9 +61,11 @@ def stream_publish(
     username: str,
     catalog: Catalog = DEFAULT,
 ) -> StreamingQuery:
-    """Publish manifests as they arrive in ``inbox``; new (document, version) pairs go to ``store``.
+    """Publish manifests as they arrive in ``inbox``.
 
-    Only versioned documents are accepted, since a stored batch is never rewritten.
+    Below ``store``, every batch adds to ``documents``, ``outcomes``, ``rejects`` (texts that are no JSON) and
+    ``maintainers`` (namespaces that went to their first publisher). A stored batch is never rewritten: a document
+    without a version is added again, and ``read_published`` takes the row of the latest batch.
     """
     texts = (
         spark.readStream.text(inbox, wholetext=True)
@@ -59,14 +75,17 @@ def stream_publish(
 
     def run(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        docs, _ = parse_manifests(batch)
+        docs, malformed = parse_manifests(batch)
         submissions = docs.select(
             F.col("path").alias("submission_id"), F.lit(username).alias("username"), "body", "published_at")
-        before = _earlier(session, store, DOCUMENTS, number)
-        result = lifecycle.publish(submissions, before, maintainers(), catalog=catalog)
-        won = result.outcomes.filter("outcome = 'created' and version is not null").select("submission_id")
-        added = lifecycle.with_keys(submissions, catalog).join(won, "submission_id", "left_semi")
-        _replace_batch(added.select(*lifecycle.STORED), store, number)
+        before = _latest_rows(_earlier(session, f"{store}/documents", DOCUMENTS, number, keep_batch=True))
+        granted = _earlier(session, f"{store}/maintainers", GRANTS, number)
+        known = maintainers().select("namespace", "username").unionByName(granted).distinct()
+        result = lifecycle.publish(submissions, before, known, catalog=catalog)
+        _replace_batch(result.added.select(*lifecycle.STORED), f"{store}/documents", number)
+        _replace_batch(result.outcomes, f"{store}/outcomes", number)
+        _replace_batch(malformed, f"{store}/rejects", number)
+        _replace_batch(result.maintainers.join(known, ["namespace", "username"], "left_anti"), f"{store}/maintainers", number)
 
     return (
         texts.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)

@@ -5,8 +5,8 @@ from linkcat.operators import documents, ids, paths, resources
 from linkcat.sources import readers
 from pyspark.sql import functions as F
 
-T0 = datetime.datetime(2014, 6, 16, 13, 38, 20)
-TREE = [("JSONLD", 751), ("data.csv", 16), ("src/lib.h", 18), ("src/main.c", 17), ("scripts/test.r", 16), ("README.md", 50), ("LICENSE", 17)]
+T0 = datetime.datetime(2019, 3, 2, 4, 5, 6)
+TREE = [("JSONLD", 90), ("wells.csv", 41), ("pump/valve.go", 12), ("pump/motor.go", 23), ("tools/check.pl", 8), ("README.md", 5), ("LICENSE", 33)]
 
 
 def listing(spark, rows=TREE):
@@ -16,22 +16,22 @@ def listing(spark, rows=TREE):
 def test_golden_paths(spark):
     files = listing(spark)
     every = paths.exclude_manifests(paths.with_directories(files))
-    matches = paths.prune_parent_dirs(paths.match_specs(every, [("**/*.csv", None), ("src", "Code")]))
+    matches = paths.prune_parent_dirs(paths.match_specs(every, [("**/*.csv", None), ("pump", "Code")]))
     described = resources.describe_files(matches, files)
     got = {r["base"]: r for r in described.resources.collect()}
-    assert set(got) == {"data", "src"}
-    data, src = got["data"], got["src"]
+    assert set(got) == {"wells", "pump"}
+    data, src = got["wells"], got["pump"]
     assert (data["type"], data["family"], data["file_path"], data["content_size"], data["encoding_format"]) == (
-        "Dataset", "dataset", "data.csv", 16, "text/csv")
+        "Dataset", "dataset", "wells.csv", 41, "text/csv")
     assert (src["type"], src["programming_language"], src["encoding_format"], src["file_path"]) == (
-        "Code", ["c"], "application/x-gtar", None)
-    assert sorted((r["file_path"], r["content_size"]) for r in described.parts.collect()) == [("src/lib.h", 18), ("src/main.c", 17)]
+        "Code", ["go"], "application/x-gtar", None)
+    assert sorted((r["file_path"], r["content_size"]) for r in described.parts.collect()) == [("pump/motor.go", 23), ("pump/valve.go", 12)]
     assert described.rejects.count() == 0
 
 
 def test_golden_json(spark):
     files = listing(spark)
-    matches = paths.match_specs(paths.with_directories(files), [("data.csv", None), ("src", "Code"), ("scripts/test.r", "SoftwareApplication")])
+    matches = paths.match_specs(paths.with_directories(files), [("wells.csv", None), ("pump", "Code"), ("tools/check.pl", "SoftwareApplication")])
     described = resources.describe_files(matches, files, "cw", "Linux 1", "x64")
     named = ids.assign_unique_ids(described.resources, ["spec_ord", "ref"]).withColumn("doc_id", F.lit("cw"))
     heads = spark.createDataFrame([("cw", "", "", "A doc", "MIT", "a, b", "bob", "b@x.example", "", None)],
@@ -40,33 +40,33 @@ def test_golden_json(spark):
     parts = described.parts.withColumnRenamed("bundle", "ref").withColumn("doc_id", F.lit("cw"))
     lines = documents.document_lines(documents.assemble_document(heads), named, parts)
     doc = json.loads("\n".join(r["line"] for r in lines.orderBy("doc_id", "pos", "sub").collect()))
-    when = "2014-06-16T13:38:20.000Z"
+    when = "2019-03-02T04:05:06.000Z"
     assert doc["@type"] == "CreativeWork" and doc["version"] == "0.0.0" and doc["license"] == {"name": "MIT"}
     assert doc["keywords"] == ["a", "b"] and doc["accountablePerson"]["email"] == "mailto:b@x.example"
     by_id = {p["@id"]: p for p in doc["hasPart"]}
-    assert by_id["cw/data"] == {"@id": "cw/data", "@type": "Dataset", "distribution": {
-        "@type": "DataDownload", "filePath": "data.csv", "encodingFormat": "text/csv", "contentSize": 16, "dateModified": when}}
-    assert by_id["cw/src"] == {"@id": "cw/src", "@type": "Code", "programmingLanguage": {"name": "c"}, "encoding": {
+    assert by_id["cw/wells"] == {"@id": "cw/wells", "@type": "Dataset", "distribution": {
+        "@type": "DataDownload", "filePath": "wells.csv", "encodingFormat": "text/csv", "contentSize": 41, "dateModified": when}}
+    assert by_id["cw/pump"] == {"@id": "cw/pump", "@type": "Code", "programmingLanguage": {"name": "go"}, "encoding": {
         "@type": "MediaObject", "encodingFormat": "application/x-gtar", "dateModified": when, "hasPart": [
-            {"@type": "MediaObject", "filePath": "src/lib.h", "contentSize": 18, "dateModified": when},
-            {"@type": "MediaObject", "filePath": "src/main.c", "contentSize": 17, "dateModified": when}]}}
-    assert by_id["cw/test"] == {"@id": "cw/test", "@type": "SoftwareApplication", "fileFormat": "text/x-r", "filePath": "scripts/test.r",
-                                "fileSize": 16, "dateModified": when, "operatingSystem": "Linux 1", "processorRequirements": "x64"}
+            {"@type": "MediaObject", "filePath": "pump/motor.go", "contentSize": 23, "dateModified": when},
+            {"@type": "MediaObject", "filePath": "pump/valve.go", "contentSize": 12, "dateModified": when}]}}
+    assert by_id["cw/check"] == {"@id": "cw/check", "@type": "SoftwareApplication", "fileFormat": "application/x-perl", "filePath": "tools/check.pl",
+                                "fileSize": 8, "dateModified": when, "operatingSystem": "Linux 1", "processorRequirements": "x64"}
 
 
 def test_directory_of_software_is_rejected(spark):
     files = listing(spark)
-    matches = paths.match_specs(paths.with_directories(files), [("src", "MobileApplication"), ("LICENSE", None)])
+    matches = paths.match_specs(paths.with_directories(files), [("pump", "MobileApplication"), ("LICENSE", None)])
     described = resources.describe_files(matches, files)
-    assert [r["ref"] for r in described.rejects.collect()] == ["src/"]
+    assert [r["ref"] for r in described.rejects.collect()] == ["pump/"]
     (kept,) = described.resources.collect()
     assert (kept["type"], kept["encoding_format"], kept["base"]) == ("CreativeWork", "text/plain", "license")
 
 
 def test_pruning_is_per_input(spark):
     every = paths.exclude_manifests(paths.with_directories(listing(spark)))
-    got = paths.prune_parent_dirs(paths.match_specs(every, [("**/*", None), ("src", "Code")]))
-    assert {(r["spec_ord"], r["path"]) for r in got.collect() if r["path"].endswith("/")} == {(1, "src/")}
+    got = paths.prune_parent_dirs(paths.match_specs(every, [("**/*", None), ("pump", "Code")]))
+    assert {(r["spec_ord"], r["path"]) for r in got.collect() if r["path"].endswith("/")} == {(1, "pump/")}
     assert paths.duplicate_paths(got).count() == 0
 
 
@@ -75,6 +75,9 @@ def test_globs(spark):
     hit = lambda glob, path: bool(re.fullmatch(paths.glob_regex(glob), path))
     assert hit("*.csv", "a.csv") and not hit("*.csv", "b/a.csv") and not hit("*.csv", ".csv")
     assert hit("**/*.csv", "a.csv") and hit("**/*.csv", "x/y/a.csv") and not hit("**/*.csv", ".x/a.csv")
+    assert hit("src/**", "src/a") and hit("src/**", "src/x/y.c") and not hit("src/**", "srcs/a") and not hit("src/**", "src/.git/a")
+    assert hit("a/**/b/*.c", "a/b/x.c") and hit("a/**/b/*.c", "a/q/r/b/x.c") and not hit("a**", "a/b") and hit("a**", "ab")
+    assert hit("{a,b{1,2}}.c", "b2.c") and hit("{a,b{1,2}}.c", "a.c") and not hit("{a,b{1,2}}.c", "b.c") and hit("x{}", "x{}")
     assert hit("a?[0-9].{c,h}", "ab3.h") and not hit("a?[!0-9].{c,h}", "ab3.h")
 
 
@@ -87,27 +90,31 @@ def test_wrap_golden_repository(spark):
         ("http://x.example/code", 200, {"content-type": "text/x-python", "content-encoding": "gzip", "content-length": "9"}),
         ("http://x.example/gone", 404, {})], "url string, status int, headers map<string,string>")
     described = resources.describe_urls(specs, responses, "ns")
-    files = resources.describe_files(paths.match_specs(listing(spark), [("data.csv", None)]), listing(spark), "ns").resources
+    files = resources.describe_files(paths.match_specs(listing(spark), [("wells.csv", None)]), listing(spark), "ns").resources
     rows = resources.wrap(files, described.resources).withColumn("json", resources.resource_json())
     got = {r["id"]: json.loads(r["json"]) for r in rows.collect()}
     assert got["tool"] == {"@id": "tool", "@type": "Code", "codeRepository": "https://github.com/acme/tool", "encoding": {
         "@type": "MediaObject", "contentUrl": tar, "encodingFormat": "application/x-gzip"}}
-    assert got["ns/data"]["@type"] == "Dataset" and got["ns/data-1"]["@type"] == "Readme"
+    assert got["ns/wells"]["@type"] == "Dataset" and got["ns/data"]["@type"] == "Readme"
     assert got["ns/code"]["encoding"]["encoding"] == {"@type": "MediaObject", "encodingFormat": "gzip", "contentSize": 9}
     assert got["ns/code"]["programmingLanguage"] == {"name": "python"} and "contentSize" not in got["ns/code"]["encoding"]
-    assert [r["reason"] for r in described.rejects.collect()] == ["could not HEAD http://x.example/gone"]
+    assert [r["reason"] for r in described.rejects.collect()] == ["status 404 from http://x.example/gone"]
 
 
 def test_scans(spark, tmp_path):
-    (tmp_path / "src").mkdir()
-    (tmp_path / "src" / "main.c").write_text('#include "lib.h"')
+    (tmp_path / "pump").mkdir()
+    (tmp_path / "pump" / "motor go.go").write_text("package pump")
     (tmp_path / "JSONLD").write_text('{"@context": "https://catalog.example",\n "@id": "a"}')
-    (tmp_path / "src" / "JSONLD").write_text("{broken")
+    (tmp_path / "pump" / "JSONLD").write_text("{broken")
     files = readers.scan_files(spark, str(tmp_path))
-    assert sorted((r["path"], r["length"]) for r in files.filter("path like '%main.c'").collect()) == [("src/main.c", 16)]
-    assert readers.scan_blobs(spark, str(tmp_path)).filter("path = 'src/main.c'").first()["content"] == b'#include "lib.h"'
+    assert sorted((r["path"], r["length"]) for r in files.filter("path like '%.go'").collect()) == [("pump/motor go.go", 12)]
+    blobs, large = readers.scan_blobs(spark, str(tmp_path))
+    assert blobs.filter("path like '%.go'").first()["content"] == b"package pump" and large.count() == 0
+    fits, large = readers.scan_blobs(spark, str(tmp_path), limit=11)
+    assert {r["path"]: r["reason"] for r in large.collect()}["pump/motor go.go"] == "too large for one row" and "content" not in large.columns
+    assert fits.count() + large.count() == 3
     good, bad = readers.scan_manifests(spark, str(tmp_path))
-    assert [r["path"] for r in good.collect()] == ["JSONLD"] and [r["path"] for r in bad.collect()] == ["src/JSONLD"]
+    assert [r["path"] for r in good.collect()] == ["JSONLD"] and [r["path"] for r in bad.collect()] == ["pump/JSONLD"]
 
 
 def test_tree_and_digest(spark):

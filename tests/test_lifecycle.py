@@ -46,7 +46,7 @@ def test_publish(spark):
 
 
 def fixture_files(spark):
-    rows = [("data.csv", '"a","b"\n1,2\n3,4\n'), ("src/lib.h", '#include "smtg.h"\n'), ("src/main.c", '#include "lib.h"\n')]
+    rows = [("gauges/2021.csv", "t,h\n1,2\n"), ("model/fit.py", "import plot\n"), ("model/plot.py", "x = 1\n")]
     return spark.createDataFrame([(p, bytearray(t.encode()), len(t), T(0)) for p, t in rows], "path string, content binary, length bigint, mtime timestamp")
 
 
@@ -56,7 +56,7 @@ def test_missing_media(spark):
     grants = spark.createDataFrame([], "namespace string, username string")
     held = {"filePath": "lost.pdf"}
     got = catalog.publish(subs(
-        spark, ("u", MANIFEST), ("u", doc("p", distribution={"filePath": "data.csv"})), ("u", doc("q", encoding={**held, "contentUrl": "http://x.example/a.pdf"})),
+        spark, ("u", MANIFEST), ("u", doc("p", distribution={"filePath": "gauges/2021.csv"})), ("u", doc("q", encoding={**held, "contentUrl": "http://x.example/a.pdf"})),
         ("u", doc("r", encoding={**held, "contentUrl": "http://x.example/b.pdf"})), ("u", doc("s", encoding={"contentUrl": "http://x.example/unseen"}))),
         spark.createDataFrame([], EMPTY), grants, files, responses)
     assert [r["outcome"] for r in got.outcomes.orderBy("submission_id").collect()] == [
@@ -67,29 +67,29 @@ def test_archive_and_clone(spark, docs, tmp_path):
     files = fixture_files(spark)
     blobs = media.checksums(files.withColumn("bytes", F.col("content"))).withColumnRenamed("bytes", "content")
     sums = {r["path"]: r for r in blobs.collect()}
-    raw = sums["data.csv"]["content"]
-    assert sums["data.csv"]["sha1_b64"] == base64.b64encode(hashlib.sha1(raw).digest()).decode()
-    assert sums["data.csv"]["md5_b64"] == base64.b64encode(hashlib.md5(raw).digest()).decode() and sums["data.csv"]["size"] == len(raw) == 16
+    raw = sums["gauges/2021.csv"]["content"]
+    assert sums["gauges/2021.csv"]["sha1_b64"] == base64.b64encode(hashlib.sha1(raw).digest()).decode()
+    assert sums["gauges/2021.csv"]["md5_b64"] == base64.b64encode(hashlib.md5(raw).digest()).decode() and sums["gauges/2021.csv"]["size"] == len(raw) == 8
     found = nodes.media_nodes(docs(MANIFEST))
     kept = {r["p"]: r for r in media.archive(found, blobs).withColumn("p", F.array_join("path", ".")).collect()}
-    assert set(kept) == {"distribution", "hasPart.0.encoding"}
-    assert kept["distribution"]["address"] == "r/" + hashlib.sha1(raw).hexdigest() and kept["distribution"]["gzip_encoded"]
-    assert kept["hasPart.0.encoding"]["content_type"] == "application/x-gtar" and kept["hasPart.0.encoding"]["size"] == 35
+    assert set(kept) == {"distribution.0", "hasPart.0.encoding"}
+    assert kept["distribution.0"]["address"] == "r/" + hashlib.sha1(raw).hexdigest() and kept["distribution.0"]["gzip_encoded"]
+    assert kept["hasPart.0.encoding"]["content_type"] == "application/x-gtar" and kept["hasPart.0.encoding"]["size"] == 18
     lost = media.refresh_media(found, files).filter("not found")
-    assert {r["file_path"] for r in lost.collect()} == {"article/pone.pdf", "img/daftpunk.jpg", "app/app.zip"}
+    assert {r["file_path"] for r in lost.collect()} == {"build/viewer.apk", "film/flood.webm"}
 
     store = str(tmp_path / "blobs")
     writers.write_blobs(blobs, store)
     writers.write_blobs(blobs, store, spark.read.parquet(store))
     stored = spark.read.parquet(store)
     assert stored.count() == 3
-    published = docs(MANIFEST).select(F.lit("cw-test").alias("doc_id"), F.lit(None).cast("string").alias("version"), "body")
-    plan = clone.clone(published, blobs, spark.createDataFrame([("ldr:cw-test",)], "request string"))
+    published = docs(MANIFEST).select(F.lit("tides").alias("doc_id"), F.lit(None).cast("string").alias("version"), "body")
+    plan = clone.clone(published, blobs, spark.createDataFrame([("ldr:tides",)], "request string"))
     contents = clone.clone_contents(plan, stored)
     got = {r["target_path"]: bytes(r["content"]) for r in contents.collect()}
-    home = "catalog.example/cw-test/"
-    assert set(got) == {home + p for p in ("JSONLD", "data.csv", "src/lib.h", "src/main.c")}
-    assert got[home + "data.csv"] == raw and json.loads(got[home + "JSONLD"])["@id"] == "cw-test"
+    home = "catalog.example/tides/"
+    assert set(got) == {home + p for p in ("JSONLD", "gauges/2021.csv", "model/fit.py", "model/plot.py")}
+    assert got[home + "gauges/2021.csv"] == raw and json.loads(got[home + "JSONLD"])["@id"] == "tides"
     out = str(tmp_path / "clone")
     writers.write_clone(contents, out)
     with pytest.raises(Exception):
@@ -97,17 +97,62 @@ def test_archive_and_clone(spark, docs, tmp_path):
     writers.write_clone(contents, out, force=True)
 
 
+def test_files_belong_to_documents(spark, docs):
+    """Two documents name the same relative path; neither sees the other's file, and a path listed twice is no file."""
+    text = lambda i: json.dumps({"@context": "https://catalog.example", "@id": i, "distribution": {"filePath": "data.csv"}, "encoding": {"filePath": "twice"}})
+    both = docs(text("a"), text("b"))
+    rows = [("d0", "data.csv", b"abc"), ("d1", "data.csv", b"vwxyz"), ("d0", "twice", b"1"), ("d0", "twice", b"2")]
+    files = spark.createDataFrame([(d, p, bytearray(c), len(c), T(0)) for d, p, c in rows], "doc_id string, path string, content binary, length bigint, mtime timestamp")
+    sums = media.checksums(files)
+    kept = {r["doc_id"]: r for r in media.archive(nodes.media_nodes(both), sums).collect()}
+    for d, raw in (("d0", b"abc"), ("d1", b"vwxyz")):
+        assert (kept[d]["size"], kept[d]["sha1_hex"]) == (len(raw), hashlib.sha1(raw).hexdigest())
+        assert kept[d]["md5_b64"] == base64.b64encode(hashlib.md5(raw).digest()).decode()
+    _, twice = media.split_duplicates(files, ["doc_id"])
+    assert [tuple(r) for r in twice.collect()] == [("d0", "twice", "listed more than once")]
+    seen = {(r["doc_id"], r["file_path"]): r["content_size"] for r in media.refresh_media(nodes.media_nodes(both), files).collect()}
+    assert seen == {("d0", "data.csv"): 3, ("d1", "data.csv"): 5, ("d0", "twice"): None, ("d1", "twice"): None}
+
+
+def test_publish_archives_and_clone_reads_back(spark):
+    """Publishing gives blobs, media and files; a clone needs nothing else."""
+    files = spark.createDataFrame([(i, "data.csv", bytearray(c), len(c), T(0)) for i, c in ((0, b"one"), (1, b"second"))],
+                                  "submission_id int, path string, content binary, length bigint, mtime timestamp")
+    blobs = media.checksums(files.withColumn("bytes", F.col("content"))).withColumnRenamed("bytes", "content")
+    none = spark.createDataFrame([], "url string, status int")
+    got = catalog.publish(subs(spark, ("ann", doc("a/x", "1.0.0", distribution={"filePath": "data.csv"})), ("ann", doc("a/y", distribution={"filePath": "data.csv"}))),
+                          spark.createDataFrame([], EMPTY), spark.createDataFrame([("a", "ann")], "namespace string, username string"), files, none, digested=blobs)
+    assert got.added.count() == 2 and got.replaced.count() == 1
+    assert {(r["doc_id"], r["size"]) for r in got.media.collect()} == {("a/x", 3), ("a/y", 6)}
+    store = media.new_blobs(blobs, blobs.limit(0)).select("sha1_hex", "content")
+    plan = clone.clone(got.added, got.files, spark.createDataFrame([("ldr:a/x",), ("ldr:a/y",)], "request string"))
+    back = {r["target_path"]: bytes(r["content"]) for r in clone.clone_contents(plan, store).collect()}
+    assert back["catalog.example/a/x/data.csv"] == b"one" and back["catalog.example/a/y/data.csv"] == b"second" and len(back) == 4
+
+
+def test_get_reads_only_asked_documents(spark, tmp_path):
+    writers.write_catalog(subs(spark, *[("u", doc(f"d{i}", "1.0.0")) for i in range(20)]).select(
+        F.concat(F.lit("d"), F.col("submission_id")).alias("doc_id"), F.lit("1.0.0").alias("version"), "body", "published_at"), str(tmp_path / "c"))
+    stored = readers.scan_catalog(spark, str(tmp_path / "c"))
+    found, _ = catalog.get(stored, spark.createDataFrame([("ldr:d3?version=^1.0.0",)], "request string"))
+    assert [r["doc_id"] for r in found.collect()] == ["d3"]
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    scans = [s for s in plan.split("FileScan")[1:]]
+    assert scans and all("doc_id" in s.split("PushedFilters")[1][:200] for s in scans)
+
+
 def test_sizes_split(spark):
-    fits, large = media.split_by_size(fixture_files(spark), limit=17)
+    fits, large = media.split_by_size(fixture_files(spark), limit=8)
     assert fits.count() == 2 and large.first()["reason"] == "too large for one row"
 
 
 def test_write_and_read(spark, docs, tmp_path):
     from linkcat.operators import graph
-    published = docs(MANIFEST).select(F.lit("cw-test").alias("doc_id"), F.lit("1.0.0").alias("version"), "body", F.lit(T(0)).alias("published_at"))
+    published = docs(MANIFEST).select(F.lit("tides").alias("doc_id"), F.lit("1.0.0").alias("version"), "body", F.lit(T(0)).alias("published_at"))
     writers.write_catalog(published, str(tmp_path / "catalog"))
     back = readers.scan_catalog(spark, str(tmp_path / "catalog"))
-    assert (back.first()["doc_id"], back.first()["namespace"]) == ("cw-test", "cw-test")
+    assert (back.first()["doc_id"], back.first()["namespace"]) == ("tides", "tides")
     from linkcat.operators.versions import resolve_range
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     ranged = resolve_range(back, "^1.0.0")
@@ -117,7 +162,9 @@ def test_write_and_read(spark, docs, tmp_path):
     assert "GreaterThanOrEqual(version_key" in pushed and "LessThan(version_key" in pushed
     assert "body" not in plan.split("ReadSchema")[1]
     writers.write_manifests(published, str(tmp_path / "manifests"))
-    assert json.loads(spark.read.text(str(tmp_path / "manifests")).first()["value"])["@id"] == "cw-test"
+    assert json.loads(spark.read.text(str(tmp_path / "manifests")).first()["value"])["@id"] == "tides"
+    good, bad = readers.scan_manifest_lines(spark, str(tmp_path / "manifests"))
+    assert good.count() == 1 and bad.count() == 0
     quads = graph.to_quads(docs(MANIFEST))
     writers.write_nquads(quads, str(tmp_path / "quads"))
     assert spark.read.text(str(tmp_path / "quads")).count() == quads.count()

@@ -17,8 +17,8 @@ def test_row_numbers_with_hot_keys(spark):
     got = skew.row_numbers(df, ["k"], ["o", "p"], "n", min_rows=100)
     plain = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("o", "p")).cast("bigint"))
     assert got.exceptAll(plain).count() == 0 and got.count() == 3000
-    bucketed, hot = skew.split_hot(df, ["k"], ["o", "p"], min_rows=100)
-    assert hot and bucketed.filter("k = 'hot'").select(skew.BUCKET).distinct().count() > 3
+    bucketed = skew.split_hot(df, ["k"], ["o", "p"], min_rows=100)
+    assert bucketed.filter("k = 'hot'").select(skew.BUCKET).distinct().count() > 3
 
 
 def test_last_before_with_hot_keys(spark):
@@ -30,7 +30,19 @@ def test_last_before_with_hot_keys(spark):
     assert got.exceptAll(plain).count() == 0 and got.filter("v is not null").count() > 1000
 
 
-def greedy(rows, reserved):
+def test_more_hot_keys_than_any_list_holds(spark):
+    rows = spark.range(36_000).select((F.col("id") % 1200).alias("k"), F.hash("id").alias("o"), "id")
+    got = skew.split_hot(rows, ["k"], ["o", "id"], min_rows=2)
+    assert got.groupBy("k").agg(F.count_distinct(skew.BUCKET).alias("n")).filter("n < 2").count() == 0
+
+
+def test_null_keys_are_a_key(spark):
+    rows = spark.range(3000).select(F.lit(None).cast("string").alias("k"), F.hash("id").alias("o"), "id")
+    got = skew.row_numbers(rows, ["k"], ["o", "id"], "n", min_rows=100)
+    assert {r["n"] for r in got.collect()} == set(range(1, 3001))
+
+
+def served_first(rows, reserved):
     """First occurrences in order, then the rest in order, each the first free name."""
     taken, out, seen = set(reserved), {}, set()
     first, rest = [], []
@@ -57,12 +69,12 @@ names = st.sampled_from(["x", "x-1", "x-2", "x-1-1", "x-3", "y", "y-1", "y-01",
 
 @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(names, min_size=1, max_size=40), st.lists(names, max_size=4))
-def test_unique_ids_match_greedy(spark, bases, reserved):
+def test_unique_ids_match_served_first(spark, bases, reserved):
     rows = [(i, b) for i, b in enumerate(bases)]
     df = spark.createDataFrame(rows, "o int, base string")
     held = spark.createDataFrame([(r,) for r in reserved], "id string")
     got = {r["o"]: r["id"] for r in ids.assign_unique_ids(df, ["o"], held).collect()}
-    assert got == greedy(rows, reserved)
+    assert got == served_first(rows, reserved)
     assert len(set(got.values())) == len(rows) and not set(got.values()) & set(reserved)
 
 
@@ -71,7 +83,7 @@ def test_unique_ids_with_hot_base(spark):
     rows = [(i, rng.choice(["index"] * 6 + ["index-7", "index-8", "readme", "index-7-1"])) for i in range(1500)]
     df = spark.createDataFrame(rows, "o int, base string").repartition(4)
     got = {r["o"]: r["id"] for r in ids.assign_unique_ids(df, ["o"], min_rows=50).collect()}
-    assert got == greedy(rows, [])
+    assert got == served_first(rows, [])
 
 
 def test_ranges_with_hot_document(spark):
