@@ -18,9 +18,7 @@ from __future__ import annotations
 import unicodedata
 from collections import Counter
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
-import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -37,15 +35,6 @@ SAMPLE = 40_000
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-@lru_cache(1)
-def _unsure() -> regex.Pattern:
-    """Characters that Unicode 3.2 doesn't assign: their classes depend on the library's Unicode tables."""
-    known = np.array([unicodedata.ucd_3_2_0.category(chr(c)) != "Cn" for c in range(0x110000)])
-    edges = np.flatnonzero(np.diff(known.astype(np.int8), prepend=1, append=1))
-    ranges = [f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)]
-    return regex.compile(f"[{''.join(ranges)}]")
-
-
 class PreTokenizer:
     """Pre-tokens of a text, as a tokenizer file's own library gives them."""
 
@@ -54,7 +43,7 @@ class PreTokenizer:
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
         self.find = regex.compile(PATTERN).findall
-        self.unsure = _unsure().search
+        self.safe: set[str] = set()
 
     def __call__(self, text: str) -> tuple[list[str], int]:
         """The pre-tokens, and the number of special tokens between them."""
@@ -64,10 +53,16 @@ class PreTokenizer:
         return [token for part in parts for token in self.part(part)], len(parts) - 1
 
     def part(self, text: str) -> list[str]:
-        if text.isascii() or not self.unsure(text):
+        if text.isascii() or self.known(text):
             return self.find(text)
         return [text[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
 
+    def known(self, text: str) -> bool:
+        """Whether Unicode 3.2 assigns all characters; the classes of others depend on the library's own tables."""
+        new = set(text) - self.safe
+        self.safe.update(c for c in new if unicodedata.ucd_3_2_0.category(c) != "Cn")
+        return new <= self.safe
+
     def pieces(self, tokens: list[str]) -> list[int]:
         """The number of pieces of each pre-token."""
         return [len(e.ids) for e in self.tokenizer.encode_batch(tokens, add_special_tokens=False)]
