@@ -39,7 +39,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("piece_bpe_32k.model")
-    both = sentencepiece_viterbi.decode(sentencepiece_viterbi.encode(docs, path), path)
+    both = sentencepiece_viterbi.encode_and_decode(docs, path)
     whole = F.translate(F.coalesce("row.text", F.lit("")), "▁", " ")
     return both.select("row.doc_id", "row.lang", "row.source", "ids", F.size("ids").cast("long").alias("n_ids"), (F.col("decoded") == whole).alias("round_trip"))
 

@@ -39,7 +39,10 @@ from linkcat.llm.registry import query, table
 SPACE = 0x2581
 _NEVER = np.int64(1 << 40)
 #: A worker remembers the ids of about so many distinct words.
-WORDS = 600_000
+WORDS = 250_000
+#: A worker remembers the stability of pairs of pieces in a table of so many bits.
+PAIR_BITS = 20
+SLICE_BYTES = 2 << 20
 
 
 class Pieces:
@@ -92,9 +95,8 @@ class Pieces:
         later = np.maximum(self.rank[np.maximum(self.left, 0)], self.rank[np.maximum(self.right, 0)])
         if (later[self.left >= 0] > self.rank[self.left >= 0]).any():
             raise ValueError("a piece is merged before its parts")
-        self.words: dict[tuple[int, int], np.ndarray] = {}
-        self.known_pairs: np.ndarray = np.zeros(0, np.int64)
-        self.known_stable: np.ndarray = np.zeros(0, bool)
+        self.words: dict[int, bytes] = {}
+        self.pair_key, self.pair_stable = np.full(1 << PAIR_BITS, -1), np.zeros(1 << PAIR_BITS, bool)
 
     def _last_merge(self, text: str, ids: dict[str, int]) -> tuple[int, int] | None:
         """The two pieces whose merge makes ``text``, if merging by rank makes it at all."""
@@ -116,19 +118,14 @@ class Pieces:
 
     def stable(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether merging the characters of both pieces by rank leaves the border between them."""
-        pair, back = np.unique(a.astype(np.int64) * self.n + b, return_inverse=True)
-        at = np.minimum(np.searchsorted(self.known_pairs, pair), max(len(self.known_pairs) - 1, 0))
-        have = self.known_pairs[at] == pair if len(self.known_pairs) else np.zeros(len(pair), bool)
-        out = np.zeros(len(pair), bool)
-        out[have] = self.known_stable[at[have]]
-        new = pair[~have]
-        if len(new):
-            out[~have] = self._undo(new // self.n, new % self.n)
-            if len(self.known_pairs) > 4_000_000:
-                self.known_pairs, self.known_stable = np.zeros(0, np.int64), np.zeros(0, bool)
-            at = np.searchsorted(self.known_pairs, new)
-            self.known_pairs, self.known_stable = np.insert(self.known_pairs, at, new), np.insert(self.known_stable, at, out[~have])
-        return out[back]
+        pair = a.astype(np.int64) * self.n + b
+        slot = (tx.mix(pair.view(np.uint64)) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+        out, new = self.pair_stable[slot], self.pair_key[slot] != pair
+        if new.any():
+            once, back = np.unique(pair[new], return_inverse=True)
+            out[new] = self._undo(once // self.n, once % self.n)[back]
+            self.pair_key[slot[new]], self.pair_stable[slot[new]] = pair[new], out[new]
+        return out
 
     def _undo(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Go back in time on both sides of the border; a merge across it that would have come first breaks the pair.
@@ -215,7 +212,7 @@ class Pieces:
         _, chosen, of = np.unique(tx.mix(one) ^ two, return_index=True, return_inverse=True)
         if (one != one[chosen[of]]).any() or (two != two[chosen[of]]).any():
             _, chosen, of = np.unique(np.stack([one, two], 1), axis=0, return_index=True, return_inverse=True)
-        names = list(zip(one[chosen].tolist(), two[chosen].tolist(), strict=True))
+        names = [a << 64 | b for a, b in zip(one[chosen].tolist(), two[chosen].tolist(), strict=True)]
         ids = [self.words.get(name) for name in names]
         new = np.array([i for i, x in enumerate(ids) if x is None], np.int64)
         if len(new):
@@ -225,9 +222,9 @@ class Pieces:
             at = np.concatenate([[0], np.cumsum(size)])
             small = flat[np.repeat(begin[chosen[new]] - at[:-1], size) + np.arange(at[-1])]
             for i, found in zip(new.tolist(), self._search(small, at), strict=True):
-                ids[i] = self.words[names[i]] = found
-        count = np.array([len(x) for x in ids])
-        every = np.concatenate(ids)
+                ids[i] = self.words[names[i]] = found.tobytes()
+        count = np.array([len(x) // 4 for x in ids])
+        every = np.frombuffer(b"".join(ids), np.int32)
         start = np.cumsum(count) - count
         n = count[of]
         total = np.concatenate([[0], np.cumsum(n)])
@@ -295,19 +292,29 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
-def encode(docs: DataFrame, path: str, *, text: str = "text") -> DataFrame:
-    """Each row as the struct ``row`` with ``ids``; ``path`` is the model file, the same on all machines."""
+def _encoder(path: str, back: bool):
     def start():
         model = pieces(path)
 
         def work(texts: pa.Array) -> dict[str, pa.Array]:
             found = model.encode_all([t or "" for t in texts.to_pylist()])
             at = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
-            return {"ids": pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(found) if found else [], pa.int32()))}
+            out = {"ids": pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(found) if found else [], pa.int32()))}
+            return out | {"decoded": pa.array([model.decode(x) for x in found], pa.string())} if back else out
 
         return work
 
-    return tx.add_columns(docs, "ids array<int>", start, text)
+    return start
+
+
+def encode(docs: DataFrame, path: str, *, text: str = "text") -> DataFrame:
+    """Each row as the struct ``row`` with ``ids``; ``path`` is the model file, the same on all machines."""
+    return tx.add_columns(docs, "ids array<int>", _encoder(path, back=False), text, SLICE_BYTES)
+
+
+def encode_and_decode(docs: DataFrame, path: str, *, text: str = "text") -> DataFrame:
+    """Each row as the struct ``row`` with ``ids`` and the text they decode to, ``decoded``, in one pass."""
+    return tx.add_columns(docs, "ids array<int>, decoded string", _encoder(path, back=True), text, SLICE_BYTES)
 
 
 def decode(encoded: DataFrame, path: str, *, ids: str = "ids") -> DataFrame:
@@ -329,8 +336,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("piece_bpe_32k.model")
-    encoded = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
-    both = decode(encoded, path)
+    both = encode_and_decode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
     whole = F.coalesce("row.text", F.lit(""))
     return both.select("row.doc_id", F.size("ids").cast("long").alias("n_ids"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"), (F.translate(whole, "▁", " ") == F.col("decoded")).alias("round_trip"))

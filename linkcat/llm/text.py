@@ -162,8 +162,8 @@ def binary_array(data: np.ndarray, offsets: np.ndarray, kind: pa.DataType | None
     return pa.Array.from_buffers(kind, len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
 
 
-def add_columns(docs: DataFrame, fields: str, fn: Callable[[], Callable[[pa.Array], dict[str, pa.Array]]], text: str = "text") -> DataFrame:
-    """Rows as the struct ``row``, with the columns ``fields`` that ``fn()`` works out for slices of the texts.
+def add_columns(docs: DataFrame, fields: str, fn: Callable[[], Callable[[pa.Array], dict[str, pa.Array]]], text: str = "text", limit: int = SLICE_BYTES) -> DataFrame:
+    """Rows as the struct ``row``, with the columns ``fields`` that ``fn()`` works out for slices of ``limit`` bytes of text.
 
     ``fn`` runs once in each task. Rows are neither dropped nor reordered; a null text is worked on as empty. Since the
     input sits in a struct, its columns may have the names of ``fields``.
@@ -178,7 +178,7 @@ def add_columns(docs: DataFrame, fields: str, fn: Callable[[], Callable[[pa.Arra
             rows = batch.column(0)
             texts = rows.field(text)
             _, offsets = buffers(texts)
-            for low, high in slices(offsets):
+            for low, high in slices(offsets, limit):
                 found = work(texts.slice(low, high - low))
                 yield pa.RecordBatch.from_arrays([rows.slice(low, high - low), *(found[f.name] for f in added.fields)], ["row", *added.names])
 

@@ -40,6 +40,8 @@ def test_pieces_are_the_librarys(spark):
     model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     assert {r["doc_id"]: r["ids"] for r in got} == {d: model.encode(t or "") for d, t, _ in rows}
     assert {r["doc_id"]: r["decoded"] for r in got} == {d: (t or "").replace("▁", " ") for d, t, _ in rows}
+    both = sentencepiece_viterbi.encode_and_decode(docs, PIECES).select("row.doc_id", "ids", "decoded").collect()
+    assert sorted(map(str, both)) == sorted(map(str, got))
     assert sentencepiece_viterbi.encode(docs.limit(0), PIECES).count() == 0
 
 
