@@ -16,7 +16,7 @@ def components(links: DataFrame) -> DataFrame:
     whatever its shape. A neighbour list is never collected: rounds are minima and equi-joins.
     """
     a, b = links.columns
-    links = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
+    links = durable(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct())
     before = None
     while True:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))

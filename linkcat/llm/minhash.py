@@ -5,8 +5,9 @@ is the smallest ``pi(sigma(shingle) + k)``, that is ``pi`` shifted circularly by
 a link counts once the Jaccard similarity of the two full shingle sets confirms it.
 
 Equal sets are one class from the start. In every bucket (equal band) the member that collides most is compared with
-all others; what then still lies in different components of one bucket is compared too, so no pair of a bucket is left
-open, while members of one component are never paired again.
+all others; what then still lies in different components of one bucket is compared too, unless they share none of their
+rarest elements, which rules similarity out. So no pair of a bucket is left open, and members of one component are never
+paired again.
 
 With 30 bands of 4 rows a pair of similarity 0.8 shares no band with a probability of 1.4e-7.
 
@@ -25,6 +26,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from linkcat.llm import text as tx
 from linkcat.llm.components import components
@@ -149,6 +151,42 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "left", "right").mapInArrow(_similar(percent), "a long, b long")
 
 
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each element of the sets."""
+    for batch in batches:
+        data, at = tx.buffers(batch.column("elements"))
+        ids = np.repeat(np.asarray(batch.column("id")), np.diff(at) // 8)
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.frombuffer(data.tobytes(), np.int64))], ["id", "x"])
+
+
+def _open_pairs(grouped: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs of bucket members in different components that may still be similar.
+
+    A set of ``n`` elements that is similar to one of its bucket, of ``least`` elements or more, has at least ``a`` elements
+    in common with it, so among its ``n - a + 1`` rarest elements there is one that is also among the other's rarest. Pairs are
+    made on these elements only, and for each element only with sets outside its largest component.
+    """
+    parts = grouped.groupBy("band", "component").agg(F.count("*").alias("k"), F.min("n").alias("least"))
+    mixed = parts.groupBy("band").agg(F.count("*").alias("parts"), F.min("least").alias("least")).where("parts > 1")
+    open_ = grouped.join(mixed.select("band", "least"), "band").groupBy("rep").agg(
+        F.any_value("n").alias("n"), F.any_value("component").alias("component"), F.min("least").alias("least"))
+    common = F.greatest(F.ceil(percent * F.col("n") / 100), F.ceil(percent * (F.col("n") + F.col("least")) / (100 + percent)))
+    open_ = durable(open_.select(F.col("rep").alias("id"), "n", "component", (F.col("n") - common + 1).alias("prefix")))
+    here = sets.join(open_.select("id"), "id", "left_semi").mapInArrow(_elements, "id long, x long")
+    frequency = here.groupBy("x").agg(F.count("*").alias("f"))
+    order = Window.partitionBy("id").orderBy("f", "x")
+    ranked = here.join(frequency, "x").withColumn("place", F.row_number().over(order))
+    rare = durable(ranked.join(open_, "id").where("place <= prefix and f > 1").select("x", "id", "n", "component"))
+    shares = rare.groupBy("x", "component").agg(F.count("*").alias("k")).groupBy("x").agg(
+        F.max_by("component", "k").alias("most"), F.count("*").alias("parts")).where("parts > 1")
+    able = rare.join(shares.select("x", "most"), "x")
+    a, b = able.where("component <> most").alias("a"), able.alias("b")
+    sizes = F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent
+    once = (F.col("b.component") == F.col("b.most")) | (F.col("a.id") < F.col("b.id"))
+    pairs = a.join(b, (F.col("a.x") == F.col("b.x")) & (F.col("a.component") != F.col("b.component")) & sizes & once)
+    return pairs.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text", width: int = 4, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles``, ``component_id`` (smallest id reachable over links), ``kept``.
 
@@ -177,14 +215,7 @@ def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
 
     grouped = members.join(components(links).withColumnRenamed("id", "rep"), "rep", "left").select(
         "band", "rep", "n", F.coalesce("component", "rep").alias("component"))
-    parts = grouped.groupBy("band", "component").agg(F.count("*").alias("k"))
-    mixed = parts.groupBy("band").agg(F.max_by("component", "k").alias("most"), F.count("*").alias("parts")).where("parts > 1")
-    open_ = grouped.join(mixed, "band")
-    x, y = open_.where("component <> most").alias("x"), open_.alias("y")
-    near = (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
-    once = (F.col("y.component") == F.col("y.most")) | (F.col("x.rep") < F.col("y.rep"))
-    rest = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.component") != F.col("y.component")) & near & once)
-    rest = rest.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    rest = _open_pairs(grouped, sets, percent)
     done = nominated.unionByName(nominated.select(F.col("b").alias("a"), F.col("a").alias("b")))
     more = _confirm(rest.join(done, ["a", "b"], "left_anti"), sets, percent)
 
