@@ -177,6 +177,9 @@ def _open_pairs(grouped: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     order = Window.partitionBy("id").orderBy("f", "x")
     ranked = here.join(frequency, "x").withColumn("place", F.row_number().over(order))
     rare = durable(ranked.join(open_, "id").where("place <= prefix and f > 1").select("x", "id", "n", "component"))
+    # Elements of the same sets make the same pairs (those around one changed word do), so one of them is enough.
+    same = rare.groupBy("x").agg(F.count("*").alias("k"), F.bit_xor(F.xxhash64("id")).alias("g"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("h"))
+    rare = rare.join(same.where("k > 1").groupBy("k", "g", "h").agg(F.min("x").alias("x")).select("x"), "x")
     shares = rare.groupBy("x", "component").agg(F.count("*").alias("k")).groupBy("x").agg(
         F.max_by("component", "k").alias("most"), F.count("*").alias("parts")).where("parts > 1")
     able = rare.join(shares.select("x", "most"), "x")
