@@ -28,7 +28,7 @@ from linkcat.llm import text as tx
 from linkcat.llm.registry import query, table
 from linkcat.llm.toxicity import is_held_out
 
-SAMPLE = 8_000
+SAMPLE = 4_000
 BUCKETS = 1 << 16
 EPOCHS, BATCH, RATE = 12, 256, 0.02
 SHAPE = 12
@@ -65,7 +65,16 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     shape[:, 9] = np.log1p(words.counts) / 10
     shape[:, 10] = size / most / 20
     shape[:, 11] = words.counts == 0
-    return bucket, value, first, shape
+    return bucket.astype(np.int32), value, first, shape
+
+
+def sample_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``features`` of all texts, worked out slice by slice."""
+    _, offsets = tx.buffers(texts)
+    parts = [features(texts.slice(low, high - low)) for low, high in tx.slices(offsets)]
+    size = np.concatenate([np.diff(first) for _, _, first, _ in parts])
+    bucket, value, shape = (np.concatenate([p[i] for p in parts]) for i in (0, 1, 3))
+    return bucket, value, np.concatenate([[0], np.cumsum(size)]), shape
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
@@ -104,7 +113,7 @@ def train(texts: pa.Array, ratings: np.ndarray, seed: int = 3) -> Model:
     model = Model(np.zeros(BUCKETS), np.zeros(SHAPE), np.zeros(SHAPE), np.ones(SHAPE), np.zeros(m), grades.astype(np.float64))
     if not m:
         return model
-    bucket, value, first, shape = features(texts)
+    bucket, value, first, shape = sample_features(texts)
     model.mean, model.spread = shape.mean(0), shape.std(0) + 1e-3
     level = np.searchsorted(grades, ratings)
     above = np.clip(np.array([(level > j).mean() for j in range(m)]), 1e-3, 1 - 1e-3)

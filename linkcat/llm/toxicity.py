@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from linkcat.llm import text as tx
 from linkcat.llm.registry import query, table
 
-SAMPLE = 6_000
+SAMPLE = 4_000
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 16, 16, 8, (1, 2, 3)
 PREFIXES = (4, 6, 8)
 EPOCHS, BATCH, RATE = 4, 128, 0.003
@@ -49,6 +49,14 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, first
 
 
+def sample_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """``features`` of all texts, worked out slice by slice."""
+    _, offsets = tx.buffers(texts)
+    parts = [features(texts.slice(low, high - low)) for low, high in tx.slices(offsets)]
+    size = np.concatenate([np.diff(first) for _, first in parts])
+    return np.concatenate([ids for ids, _ in parts]), np.concatenate([[0], np.cumsum(size)])
+
+
 @dataclass
 class Model:
     """Weights of the classifier; ``thresholds`` by language, ``threshold`` for all others."""
@@ -95,17 +103,18 @@ class Model:
         return 1 / (1 + np.exp(-z))
 
 
-def _association(ids: np.ndarray, first: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """How far each bucket's number of texts with label 1 exceeds chance, in standard deviations."""
-    text = np.repeat(np.arange(len(y)), np.diff(first))
-    out = np.zeros(BUCKETS + 1, np.float32)
-    p = y.mean()
-    for j in range(ids.shape[1]):
-        pairs = np.unique(text.astype(np.int64) * (BUCKETS + 1) + ids[:, j])
-        t, b = pairs // (BUCKETS + 1), pairs % (BUCKETS + 1)
-        n, hits = np.bincount(b, minlength=BUCKETS + 1), np.bincount(b, y[t], BUCKETS + 1)
-        z = (hits - n * p) / np.sqrt(n * p * (1 - p) + 1)
-        out = np.where(np.abs(z) > np.abs(out), z, out)
+def _association(ids: np.ndarray, first: np.ndarray, y: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """How far each bucket's number of texts with label 1 exceeds chance among the texts ``part``, in standard deviations."""
+    kinds = ids.shape[1]
+    n, hits = np.zeros((kinds, BUCKETS + 1)), np.zeros((kinds, BUCKETS + 1))
+    for i in part.tolist():
+        for j in range(kinds):
+            seen = np.unique(ids[first[i] : first[i + 1], j])
+            n[j, seen] += 1
+            hits[j, seen] += y[i]
+    p = y[part].mean()
+    z = (hits - n * p) / np.sqrt(n * p * (1 - p) + 1)
+    out = np.take_along_axis(z, np.abs(z).argmax(0)[None], 0)[0].astype(np.float32)
     out[BUCKETS] = 0
     return out
 
@@ -120,7 +129,7 @@ def train(texts: pa.Array, y: np.ndarray, langs: list[str | None], seed: int = 7
     if len(y) < 8 or not 0 < y.sum() < len(y):
         model.scale, model.threshold = (0.0, -30.0), 1.0
         return model
-    ids, first = features(texts)
+    ids, first = sample_features(texts)
     size = np.diff(first)
     held = np.arange(len(y)) % 4 == 3
     fit = np.flatnonzero(~held)
@@ -130,7 +139,7 @@ def train(texts: pa.Array, y: np.ndarray, langs: list[str | None], seed: int = 7
         begin = np.concatenate([[0], np.cumsum(size[part])])
         return ids[np.repeat(first[part] - begin[:-1], size[part]) + np.arange(begin[-1])], begin
 
-    model.embed[:, 0] = np.clip(_association(*rows(fit), y[fit]) / 4, -2, 4)
+    model.embed[:, 0] = np.clip(_association(ids, first, y, fit) / 4, -2, 4)
     for w, weights in zip(WIDTHS, model.conv, strict=True):
         weights[:, 0, : FILTERS // 2] = np.abs(weights[:, 0, : FILTERS // 2]) + 0.3 / w
     model.bias -= 1.0
