@@ -5,7 +5,9 @@
 * A graph links every centroid with its nearest ones; a batched best-first search over it finds the centroids near a vector.
 * Every vector is indexed: in the list of its nearest centroid, and, if it lies near a boundary, in those of other
   centroids that are hardly farther and not nearly the same as one already taken.
-* A query reads the lists whose centroid is at most ``PROBE`` times as far as its nearest centroid.
+* A query reads all lists whose centroid is at most so many times as far as its nearest centroid. The ratio is fitted: with
+  it, a share of ``TARGET`` of the true neighbours of ``TRIED`` sampled queries, found by brute force in blocks, is read.
+* The nearest ``LEAST`` lists are read first; the other lists give only what is no worse than the best ``k + 1`` of these.
 
 Inner products are searched as distances: a vector gets one more coordinate that brings all to the same length, a
 query gets 0 there. Equal vectors are indexed once, with their ``k + 1`` smallest ids, and equal queries are searched once;
@@ -36,10 +38,10 @@ from linkcat.session import durable
 #: Vectors a list should hold, most lists, and vectors of the sample for each list.
 LIST_SIZE, LISTS, SAMPLE = 256, 16_384, 16
 NEIGHBOURS, BEAM = 32, 128
-#: Boundary vectors: most copies, and how much farther their other centroids may be.
-COPIES, NEAR = 6, 1.12
-#: Lists that a query reads: at least, at most, and how much farther their centroid may be.
-LEAST, MOST, PROBE = 8, 64, 1.3
+#: Boundary vectors: most copies, how much farther their other centroids may be, and how far apart, as shares of the vector's distances.
+COPIES, NEAR, APART = 6, 1.12, 0.7
+#: Lists that a query reads at least; the share of true neighbours to be read, the queries to fit that on, and a distance under which none is told apart.
+LEAST, TARGET, TRIED, FLOOR = 8, 0.99, 256, 0.05
 #: A chunk of a list has about so many vectors.
 CHUNK = 8_192
 
@@ -78,6 +80,7 @@ class Graph:
     near: np.ndarray
     entry: np.ndarray
     longest: float
+    probe: float = float("inf")
 
     @classmethod
     def build(cls, centre: np.ndarray, longest: float) -> Graph:
@@ -161,18 +164,33 @@ class Graph:
         ids, d = self.nearest(self.embed(x, False), COPIES)
         keep = (ids >= 0) & (d <= NEAR * d[:, :1] + 1e-6)
         for j in range(1, ids.shape[1]):
-            for i in range(j):  # a centroid nearer to one already taken than to the vector adds nothing
+            for i in range(j):  # a centroid much nearer to one already taken than to the vector adds little
                 apart = np.linalg.norm(self.centre[ids[:, j]] - self.centre[ids[:, i]], axis=1)
-                keep[:, j] &= ~keep[:, i] | (apart >= d[:, j])
+                keep[:, j] &= ~keep[:, i] | (apart >= APART * d[:, j])
         row, col = np.nonzero(keep)
         return row, ids[row, col]
 
-    def lists_for(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Query and list of every list to read."""
-        ids, d = self.nearest(self.embed(x, True), MOST)
-        keep = (ids >= 0) & ((d <= PROBE * d[:, :1]) | (np.arange(ids.shape[1]) < LEAST))
-        row, col = np.nonzero(keep)
-        return row, ids[row, col]
+    def ratios(self, x: np.ndarray) -> np.ndarray:
+        """For each query how many times as far as its nearest centroid every centroid is."""
+        d = np.sqrt(_distances(self.embed(x, True), self.centre))
+        return d / np.maximum(d.min(1, keepdims=True), FLOOR)
+
+    def _near_and_all(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ratio = self.ratios(x)
+        near = np.ones(ratio.shape, bool)
+        if ratio.shape[1] > LEAST:
+            near[:] = False
+            np.put_along_axis(near, np.argpartition(ratio, LEAST - 1, 1)[:, :LEAST], True, 1)
+        return near, near | (ratio <= self.probe)
+
+    def near_lists_for(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Query and list of every list to read first."""
+        return np.nonzero(self._near_and_all(x)[0])
+
+    def other_lists_for(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Query and list of every list to read then."""
+        near, every = self._near_and_all(x)
+        return np.nonzero(every & ~near)
 
 
 def _whole(column: pa.ChunkedArray) -> pa.Array:
@@ -208,20 +226,42 @@ def _exact(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return total
 
 
+def _nearest_of_all(held, k: int):
+    """The best candidates of one task for each of the queries ``held``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q = held.value
+        scores, best = np.full((len(q), 0), -np.inf), np.zeros((len(q), 0, q.shape[1]))
+        for batch in batches:
+            x = _matrix(batch.column("v"))
+            for low in range(0, len(x), 4096):
+                part = x[low : low + 4096]
+                s = q @ part.T
+                top = np.argpartition(-s, k, 1)[:, : k + 1] if s.shape[1] > k + 1 else np.tile(np.arange(s.shape[1]), (len(q), 1))
+                scores, best = np.concatenate([scores, np.take_along_axis(s, top, 1)], 1), np.concatenate([best, part[top]], 1)
+                top = np.argsort(-scores, 1, kind="stable")[:, : k + 1]
+                scores, best = np.take_along_axis(scores, top, 1), np.take_along_axis(best, top[:, :, None], 1)
+        asked = np.repeat(np.arange(len(q), dtype=np.int32), scores.shape[1])
+        offsets = pa.array(np.arange(len(asked) + 1, dtype=np.int32) * q.shape[1])
+        yield pa.RecordBatch.from_arrays([pa.array(asked), pa.array(scores.ravel()), pa.ListArray.from_arrays(offsets, pa.array(best.ravel()))], ["asked", "score", "v"])
+
+    return run
+
+
 def _nearest_in_list(k: int):
-    """The best candidates of one chunk for the queries that read it."""
+    """The best candidates of one chunk for the queries that read it, without those worse than a query's ``bound``."""
     most = k + 4  # a few more than needed: products of whole blocks may differ in their last bits
 
     def run(_: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
         asked, ids, scores, lists = [], [], [], _whole(right.column("ids"))
         if left.num_rows and right.num_rows:
             x, q = _matrix(_whole(right.column("v"))), _matrix(_whole(left.column("v")))
-            first = np.asarray(right.column("first"))
+            first, bounds = np.asarray(right.column("first")), np.asarray(left.column("bound"))
             for low in range(0, len(q), 512):
                 part = q[low : low + 512]
                 s = part @ x.T
-                best = np.argpartition(-s, most - 1, 1)[:, :most] if s.shape[1] > most else np.tile(np.arange(s.shape[1]), (len(part), 1))
-                edge = np.take_along_axis(s, best, 1).min(1)
+                edge = bounds[low : low + 512]
+                if s.shape[1] > most and np.isinf(edge).any():
+                    edge = np.maximum(edge, np.partition(s, -most, 1)[:, -most])
                 row, col = np.nonzero(s >= edge[:, None] - 1e-9)
                 value = _exact(part[row], x[col])
                 order = np.lexsort((first[col], -value, row))
@@ -267,6 +307,9 @@ def nearest_neighbours(vectors: DataFrame, queries: Column | str, *, id: str = "
     share = max(1, total["n"] // (lists * SAMPLE))
     sample = classes.where(F.pmod(F.xxhash64("key"), F.lit(share)) == 0).select("key", "v").toArrow().sort_by("key")
     graph = _graph(_matrix(_whole(sample.column("v"))), lists, total["longest"] or 1.0)
+    asking = rows.where("asks").select("key", "id").distinct()
+    asked = rows.where("asks").groupBy("key").agg(F.any_value("v").alias("v"))
+    graph.probe = _fitted(graph, classes, asked, k)
     held = spark.sparkContext.broadcast(graph)
     chunks = max(1, -(-total["n"] // (len(graph.centre) * CHUNK)))
 
@@ -274,15 +317,20 @@ def nearest_neighbours(vectors: DataFrame, queries: Column | str, *, id: str = "
     index = classes.select("key", "v", F.col("ids")[0].alias("first"), "ids")
     index = index.mapInArrow(_place(held, "lists_of"), T.StructType([*where.fields, *index.schema.fields]))
     index = index.withColumn("chunk", F.pmod(F.xxhash64("key"), F.lit(chunks)).cast("int")).withColumn("slot", _groups(F.lit(chunks), "slot"))
-    asking = rows.where("asks").select("key", "id").distinct()
-    asked = rows.where("asks").groupBy("key").agg(F.any_value("v").alias("v"))
-    routed = asked.mapInArrow(_place(held, "lists_for"), T.StructType([*where.fields, *asked.schema.fields]))
-    found = _search(routed, index, chunks, k)
+    asked = asked.withColumn("bound", F.lit(float("-inf")))
+    kind = T.StructType([*where.fields, *asked.schema.fields])
+    need = k + 1
+    near = _best(_hits(asked.mapInArrow(_place(held, "near_lists_for"), kind), index, chunks, k), k)
+    full = near.where(F.size("best") >= need).select(F.col("qkey").alias("key"), F.col("best")[need - 1]["score"].alias("full"))
+    bounded = asked.join(full, "key", "left").select("key", "v", F.coalesce("full", "bound").alias("bound"))
+    others = _hits(bounded.mapInArrow(_place(held, "other_lists_for"), kind), index, chunks, k)
+    found = _best(others.unionByName(near.select("qkey", F.explode("best").alias("b")).select("qkey", "b.score", "b.id")), k)
 
-    need = F.lit(k + 1)
     short = asked.join(found.where(F.size("best") >= need).select(F.col("qkey").alias("key")), "key", "left_anti")
-    every = short.withColumn("list", F.explode(F.sequence(F.lit(0), F.lit(len(graph.centre) - 1)))).select("list", "key", "v")
-    best = found.where(F.size("best") >= need).unionByName(_search(every, index, chunks, k))
+    best = found
+    if len(graph.centre) > LEAST and not short.isEmpty():  # else all lists are read already
+        every = short.withColumn("list", F.explode(F.sequence(F.lit(0), F.lit(len(graph.centre) - 1))))
+        best = found.where(F.size("best") >= need).unionByName(_best(_hits(every, index, chunks, k), k))
     out = asking.join(best.withColumnRenamed("qkey", "key"), "key")
     others = F.slice(F.filter("best", lambda b: b["id"] != F.col("id")), 1, k)
     ranked = out.select(F.col("id").alias("query_id"), F.posexplode(others).alias("place", "hit"))
@@ -296,13 +344,42 @@ def _graph(sample: np.ndarray, lists: int, longest: float) -> Graph:
     return Graph.build(centre, longest)
 
 
-def _search(routed: DataFrame, index: DataFrame, chunks: int, k: int) -> DataFrame:
-    """For each query key the ``k + 1`` best (score, id), best first."""
+def _fitted(graph: Graph, classes: DataFrame, asked: DataFrame, k: int) -> float:
+    """The distance ratio with which the lists read hold a share of ``TARGET`` of the true neighbours of sampled queries."""
+    if len(graph.centre) <= LEAST:
+        return float("inf")
+    some = asked.orderBy(F.xxhash64("key")).limit(TRIED).toArrow()
+    if not some.num_rows:
+        return float("inf")
+    q = _matrix(_whole(some.column("v")))
+    held = classes.sparkSession.sparkContext.broadcast(q)
+    near = classes.select("v").mapInArrow(_nearest_of_all(held, k), "asked int, score double, v array<double>")
+    order = Window.partitionBy("asked").orderBy(F.desc("score"))
+    near = near.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1).select("asked", "v").toArrow()
+    of, x = np.asarray(near.column("asked")), _matrix(_whole(near.column("v")))
+    other = (x != q[of]).any(1)
+    of, x = of[other], x[other]
+    if not len(x):
+        return float("inf")
+    ratio, least = graph.ratios(q), np.full(len(x), np.inf)
+    for low in range(0, len(x), 512):
+        row, lists = graph.lists_of(x[low : low + 512])
+        np.minimum.at(least, row + low, ratio[of[row + low], lists])
+    return float(np.quantile(least, TARGET, method="higher")) * (1 + 1e-6)
+
+
+def _hits(routed: DataFrame, index: DataFrame, chunks: int, k: int) -> DataFrame:
+    """For each query key and list the best ids with their scores; an id may come from several lists."""
     routed = routed.select("*", _groups(F.lit(chunks), "chunk")).withColumn("slot", F.pmod(F.xxhash64("key"), F.lit(chunks)).cast("int"))
     by = ["list", "chunk", "slot"]
     hits = routed.groupBy(by).cogroup(index.groupBy(by)).applyInArrow(_nearest_in_list(k), "qkey string, key string, score double, ids array<bigint>")
     once = hits.groupBy("qkey", "key").agg(F.max("score").alias("score"), F.any_value("ids").alias("ids"))
-    flat = once.select("qkey", "score", F.explode("ids").alias("id"))
+    return once.select("qkey", "score", F.explode("ids").alias("id"))
+
+
+def _best(hits: DataFrame, k: int) -> DataFrame:
+    """For each query key the ``k + 1`` best (score, id), best first."""
+    flat = hits.groupBy("qkey", "id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("qkey").orderBy(F.desc("score"), "id")
     top = flat.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
     best = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("minus"), "id", "score")))

@@ -73,6 +73,18 @@ def test_neighbours(spark):
     assert posting_lists.nearest_neighbours(vectors.limit(0), "vec_id % 20 = 0").count() == 0
 
 
+def test_neighbours_in_many_lists_without_clusters(spark, monkeypatch):
+    monkeypatch.setattr(posting_lists, "LIST_SIZE", 16)
+    x = np.random.default_rng(4).normal(size=(6000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    graph = posting_lists._graph(x, 375, 1.0)
+    assert len(graph.centre) > 300 and len(graph.lists_of(x)[0]) > 1.2 * len(x)
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    got = posting_lists.nearest_neighbours(vectors, "vec_id % 60 = 0").collect()
+    right = sum(r["vec_id"] in np.argsort(-np.where(np.arange(6000) == r["query_id"], -9, x @ x[r["query_id"]]))[:20] for r in got)
+    assert len(got) == 2000 and right / 2000 >= 0.97
+
+
 def test_graph_search_finds_near_centroids():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(20_000, 32))
