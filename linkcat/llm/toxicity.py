@@ -3,10 +3,11 @@
 A word is the sum of hashed embeddings of itself and of its first 4, 6 and 8 bytes. Filters of several widths slide over
 the words, their maxima over the text go through a rectifier, and a logistic layer gives the score. Training starts the
 first embedding coordinate at the association of its bucket with the label and then moves everything by Adam; only the
-windows that hold a maximum get a gradient. A last part of the training rows calibrates the score and the thresholds by
-language.
+windows that hold a maximum get a gradient. A last part of the training rows calibrates the score.
 
 The classifier is fitted on at most about ``SAMPLE`` labelled rows, taken by a hash of the id; scoring reads every text whole.
+The thresholds, of all and by language, come from the scores of all labelled rows that are not held out, counted on Spark
+in ``STEPS`` steps.
 
 Defined results: null and empty texts and texts without words get the score of an empty text; rows stay as they are,
 repeated ones included; a null id is never held out of scoring; without both labels to learn from every score is 0; an
@@ -29,6 +30,8 @@ from linkcat.llm.registry import query, table
 SAMPLE = 4_000
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 16, 16, 8, (1, 2, 3)
 PREFIXES = (4, 6, 8)
+#: Steps of the score in which rows are counted for the thresholds, and toxic rows that a language needs for its own.
+STEPS, ENOUGH = 10_000, 10
 EPOCHS, BATCH, RATE = 4, 128, 0.003
 _PAD = max(WIDTHS) - 1
 
@@ -120,7 +123,7 @@ def _association(ids: np.ndarray, first: np.ndarray, y: np.ndarray, part: np.nda
 
 
 def train(texts: pa.Array, y: np.ndarray, langs: list[str | None], seed: int = 7) -> Model:
-    """Fit, calibrate and set thresholds; every fourth row is for calibration only."""
+    """Fit, calibrate and set first thresholds; every fourth row is for calibration only."""
     rng = np.random.default_rng(seed)
     k = len(WIDTHS) * FILTERS
     model = Model(rng.normal(0, 0.05, (BUCKETS + 1, DIM)).astype(np.float32), [rng.normal(0, 0.3 / w, (w, DIM, FILTERS)).astype(np.float32) for w in WIDTHS],
@@ -199,7 +202,7 @@ def train(texts: pa.Array, y: np.ndarray, langs: list[str | None], seed: int = 7
     spoken = np.array([str(langs[i]) for i in rest])
     for lang in sorted(set(spoken)):
         mine = spoken == lang
-        if y[rest][mine].sum() >= 10:
+        if y[rest][mine].sum() >= ENOUGH:
             model.thresholds[lang] = _threshold(scores[mine], y[rest][mine], model.threshold)
     return model
 
@@ -230,22 +233,51 @@ def _threshold(scores: np.ndarray, y: np.ndarray, default: float) -> float:
     return float(np.clip((scores[order[cut]] + low) / 2, 0.05, 0.95))
 
 
+def _threshold_of_counts(step: np.ndarray, n: np.ndarray, hits: np.ndarray, default: float) -> float:
+    """As ``_threshold``, from the numbers of rows and of hits in each step of the score."""
+    if not 0 < hits.sum() < n.sum():
+        return default
+    step, of = np.unique(step, return_inverse=True)
+    n, hits = (np.bincount(of, weights=x)[::-1] for x in (n, hits))
+    step = np.append(step[::-1], -1)
+    cut = int(np.argmax(2 * np.cumsum(hits) / (np.cumsum(n) + hits.sum())))
+    return float(np.clip((step[cut] + step[cut + 1] + 1) / 2 / STEPS, 0.05, 0.95))
+
+
+def _set_thresholds(model: Model, rows: DataFrame, labels: DataFrame) -> None:
+    """Thresholds from all ``rows`` (id, text, lang) that have ``labels`` (label_id, y)."""
+    scored = score(rows, model).select("row.id", "row.lang", F.floor(F.col("score") * STEPS).alias("step"))  # before the join, so that no text is shuffled
+    found = scored.join(labels, F.col("id") == F.col("label_id"))
+    counts = found.groupBy("lang", "step").agg(F.count("*").alias("n"), F.sum("y").alias("hits")).toArrow()
+    step, n, hits = (np.asarray(counts.column(c)).astype(np.float64) for c in ("step", "n", "hits"))
+    model.threshold, model.thresholds = _threshold_of_counts(step, n, hits, model.threshold), {}
+    spoken = np.array(counts.column("lang").to_pylist(), object)
+    for lang in sorted({x for x in spoken if x is not None}):
+        mine = spoken == lang
+        if hits[mine].sum() >= ENOUGH:
+            model.thresholds[lang] = _threshold_of_counts(step[mine], n[mine], hits[mine], model.threshold)
+
+
 def is_held_out(id: Column) -> Column:
     """Rows whose labels no model may see."""
     return F.coalesce(F.crc32(id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "text", lang: str = "lang", label: str = "toxic", sample: int = SAMPLE) -> Model:
-    """A model from at most about ``sample`` labelled rows that are not held out."""
+    """A model from at most about ``sample`` labelled rows that are not held out, with thresholds from all of those."""
     usable = labels.where(labels[label].isin(0, 1) & labels[id].isNotNull() & ~is_held_out(labels[id])).select(labels[id].alias("label_id"), labels[label].alias("y"))
     share = max(1, -(-usable.count() // sample))
-    usable = usable.where(F.pmod(F.xxhash64("label_id"), F.lit(share)) == 0)
-    rows = docs.join(F.broadcast(usable), docs[id] == usable["label_id"])  # about ``sample`` rows
+    some = usable.where(F.pmod(F.xxhash64("label_id"), F.lit(share)) == 0)
+    rows = docs.join(F.broadcast(some), docs[id] == some["label_id"])  # about ``sample`` rows
     spoken = docs[lang].cast("string") if lang in docs.columns else F.lit(None).cast("string")
     found = rows.select("label_id", docs[text].alias("text"), spoken.alias("lang"), "y").toArrow()
     found = found.sort_by([("label_id", "ascending"), ("text", "ascending")])
     texts = found.column("text").combine_chunks()
-    return train(texts if isinstance(texts, pa.Array) else texts.combine_chunks(), np.asarray(found.column("y")).astype(np.float64), found.column("lang").to_pylist())
+    model = train(texts if isinstance(texts, pa.Array) else texts.combine_chunks(), np.asarray(found.column("y")).astype(np.float64), found.column("lang").to_pylist())
+    if model.scale[0]:  # else there was nothing to learn from
+        seen = docs.where(docs[id].isNotNull() & ~is_held_out(docs[id])).select(docs[id].alias("id"), docs[text].alias("text"), spoken.alias("lang"))
+        _set_thresholds(model, seen, usable)
+    return model
 
 
 def score(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:

@@ -53,6 +53,20 @@ def test_toxicity_on_held_out_rows_and_odd_texts(spark):
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
+def test_thresholds_come_from_all_labelled_rows(spark):
+    rows = labelled()
+    docs = spark.createDataFrame([(d, t, lang) for d, t, lang, _ in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(d, y) for d, _, _, y in rows], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels, sample=150)
+    assert set(model.thresholds) == {"en", "de"}
+    scored = toxicity.score(docs, model).select("row.*", "score", toxicity.is_held_out(F.col("row.doc_id")).alias("held")).where("not held").collect()
+    truth = {d: y for d, _, _, y in rows}
+    for lang, limit in model.thresholds.items():
+        mine = [(r["score"], truth[r["doc_id"]]) for r in scored if r["lang"] == lang]
+        f1 = lambda t: 2 * sum(y for s, y in mine if s >= t) / (sum(s >= t for s, _ in mine) + sum(y for _, y in mine))  # noqa: E731, B023
+        assert f1(limit) >= max(f1(t) for t in np.arange(0.05, 0.951, 0.001)) - 0.005
+
+
 def test_toxicity_gradients_do_not_cross_texts():
     a, b = toxicity.features(pa.array(["x y", None, "idiot z"])), toxicity.features(pa.array(["x y"]))
     model = toxicity.train(pa.array([t for _, t, _, _ in labelled(400)]), np.array([float(y) for *_, y in labelled(400)]), [lang for _, _, lang, _ in labelled(400)])
