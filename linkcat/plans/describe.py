@@ -225,6 +225,26 @@ def parsed_headers(spark, sf):
         F.col("h.transfer_encoding.content_size").alias("transfer_size"))
 
 
+@query("""
+SELECT page_id, (['text/html; charset=utf-8','application/json','text/x-python','image/png','application/pdf'])
+    [page_id % 5 + 1] AS encoding_format,
+  CASE WHEN page_id % 6 <> 0 AND page_id % 4 <> 1 THEN octet_length(encode(html)) END AS content_size,
+  strftime(DATE '2014-01-01' + CAST(page_id % 3000 AS INTEGER), '%Y-%m-%d') || 'T10:20:30.000Z' AS date_modified,
+  CASE WHEN page_id % 4 = 1 THEN 'gzip' END AS transfer_format,
+  CASE WHEN page_id % 4 = 1 AND page_id % 6 <> 0 THEN octet_length(encode(html)) END AS transfer_size
+FROM pages""")
+def parsed_headers_of_all(spark, sf):
+    """Response headers read, those of repositories by the URL of their tarball."""
+    specs = views.page_specs(spark, sf)
+    asked = F.coalesce(urls.repo_address(F.col("id"))["tarball_url"], F.col("id"))
+    specs = specs.select(F.col("spec_ord").alias("page_id"), asked.alias("url"))
+    parsed = views.responses(spark, sf).join(specs, "url").withColumn("h", headers.parse_headers(F.col("headers")))
+    return parsed.select(
+        "page_id", "h.encoding_format", "h.content_size", headers.iso_millis(F.col("h.date_modified")).alias("date_modified"),
+        F.col("h.transfer_encoding.encoding_format").alias("transfer_format"),
+        F.col("h.transfer_encoding.content_size").alias("transfer_size"))
+
+
 @query("""
 SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'https://catalog.example' END AS context FROM pages""")
 def link_contexts(spark, sf):
