@@ -28,11 +28,12 @@ from pyspark.sql.window import Window
 
 from linkcat.llm import text as tx
 from linkcat.llm.registry import query, table
+from linkcat.llm.scan import bounded
 from linkcat.session import durable
 
 SCALE = 1_000_000_000
-#: Groups of a table that is broadcast; more are joined by shuffling.
-BROADCAST_ROWS = 100_000
+#: Rows of counts that a task adds up before it hands them on.
+MERGE_ROWS = 1_500_000
 #: Letters (after lower-casing) and everything beyond ASCII.
 TERMS = ((np.arange(256) >= 0x61) & (np.arange(256) <= 0x7A)) | (np.arange(256) >= 0x80)
 
@@ -74,7 +75,28 @@ def _runs(*sorted_keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Weighted counts of terms, added up over the slices of a task until their table grows too large."""
+    held, rows = [], 0
+    for batch in _slice_counts(batches):
+        held.append(batch)
+        rows += batch.num_rows
+        if rows > MERGE_ROWS:
+            merged = _merged(held)
+            held, rows = [merged], merged.num_rows
+            if rows > MERGE_ROWS // 2:
+                yield merged
+                held, rows = [], 0
+    if held:
+        yield _merged(held)
+
+
+def _merged(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    whole = pa.Table.from_batches(batches).group_by(["lang", "source", "term"]).aggregate([("count", "sum"), ("docs", "sum")])
+    return whole.rename_columns(["lang", "source", "term", "count", "docs"]).combine_chunks().to_batches()[0]
+
+
+def _slice_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Weighted counts of terms: of the copies in each source, summed over the texts of a slice."""
     for batch in batches:
         langs, texts, copies = (batch.column(i) for i in range(3))
@@ -118,17 +140,14 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def kept_terms(docs: DataFrame, *, least: int = 10, **columns) -> DataFrame:
     """The terms in ``least`` documents of a language or more: ``lang``, ``term``, ``count``, ``held`` (array of source and count)."""
-    found = collapse(docs, **columns).mapInArrow(_count, "lang string, source string, term string, count long, docs long")
-    found = found.groupBy("lang", "source", "term").agg(F.sum("count").alias("count"), F.sum("docs").alias("docs"))
+    found = collapse(docs, **columns).mapInArrow(_counted, "lang string, source string, term string, count long, docs long")
+    # Tasks have added up what they can, so one exchange serves both groupings.
+    found = found.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("count").alias("count"), F.sum("docs").alias("docs"))
     return found.groupBy("lang", "term").agg(
         F.sum("docs").alias("docs"), F.sum("count").alias("count"), F.collect_list(F.struct("source", "count")).alias("held"),
     ).where(F.col("docs") >= least).select("lang", "term", "count", "held")
 
 
-def _bounded(groups: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(groups) if rows <= BROADCAST_ROWS else groups
-
-
 def divergence(docs: DataFrame, *, least: int = 10, top: int = 10, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """``lang``, ``source``, ``part``, ``item``, ``value``, ``rank``: all pairs of a language's sources, and each source's ``top`` terms."""
     kept = durable(kept_terms(docs, least=least, text=text, lang=lang, source=source))
@@ -140,7 +159,7 @@ def divergence(docs: DataFrame, *, least: int = 10, top: int = 10, text: str = "
     groups = occurring.join(sizes, ["lang", "source"], "left").join(langs, "lang", "left").fillna(0, ["N", "held", "V", "N_all"])
     groups = durable(groups.withColumn("p0", F.when(F.col("V") > 0, share(F.lit(0), F.col("N"), F.col("V")))))
     n = groups.count()
-    known = _bounded(groups.select("lang", "source", "N", "N_all", "V", "p0"), n)
+    known = bounded(groups.select("lang", "source", "N", "N_all", "V", "p0"), n)
     shares = entries.join(known, ["lang", "source"]).select(
         "lang", "source", "term", "p0", share(F.col("count"), F.col("N"), F.col("V")).alias("p"), share(F.col("all"), F.col("N_all"), F.col("V")).alias("q"))
     shares = durable(shares)
@@ -155,12 +174,12 @@ def _pairs(shares: DataFrame, groups: DataFrame, n: int) -> DataFrame:
     """``lang``, ``source``, ``item`` (the other source) and the summed difference, both ways round."""
     a = groups.select("lang", F.col("source").alias("a"), F.col("p0").alias("a0"), F.col("held").alias("a_held"), "V")
     b = groups.select("lang", F.col("source").alias("b"), F.col("p0").alias("b0"), F.col("held").alias("b_held"))
-    both = a.join(_bounded(b, n), "lang")
+    both = a.join(bounded(b, n), "lang")
     zero = difference("a0", "b0")
     base = both.where("a < b").select("lang", "a", "b", ((F.col("V") - F.col("a_held") - F.col("b_held")) * zero).alias("value"))
     # Terms of one source against the other's constant, once for each different share.
     alike = shares.groupBy("lang", "source", "p").agg(F.count("*").alias("k")).withColumnRenamed("source", "a")
-    others = _bounded(b.select("lang", "b", "b0"), n)
+    others = bounded(b.select("lang", "b", "b0"), n)
     alone = alike.join(others, "lang").where("a <> b").select(
         "lang", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), (F.col("k") * difference("p", "b0")).alias("value"))
     left, right = (shares.select("lang", "term", F.col("source").alias(s), F.col("p").alias(f"{s}p"), F.col("p0").alias(f"{s}0")) for s in "ab")
