@@ -19,6 +19,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,8 @@ from linkcat.session import durable
 
 HEAD = 400_000
 SAMPLE = 40_000
+#: Bytes of pre-tokens that are encoded at once, and list entries after which a batch of frequencies is handed on.
+ENCODE_BYTES, ENTRIES = 1 << 17, 1 << 16
 #: The pre-token rule of the byte-level BPE (a fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -97,31 +100,65 @@ def _counted(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = PreTokenizer(path)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(split.pieces(batch.column(0).to_pylist()), pa.int32())], ["token", "pieces"])
+            tokens = batch.column(0)
+            _, offsets = tx.buffers(tokens)
+            for low, high in tx.slices(offsets, ENCODE_BYTES):
+                part = tokens.slice(low, high - low)
+                yield pa.RecordBatch.from_arrays([part, pa.array(split.pieces(part.to_pylist()), pa.int32())], ["token", "pieces"])
 
     return run
 
 
-def _frequencies(path: str, head: Callable[[], dict[str, int]]):
+def _keys(tokens: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of each string."""
+    data, at = tx.buffers(tokens)
+    wide = data.astype(np.uint64)
+    return tuple(tx.run_hashes(wide, at[:-1], at[1:], powers) for powers in (tx._BYTES, tx._SECOND))
+
+
+class Head:
+    """Pieces of frequent pre-tokens by the two hashes of their strings, the first one sorted."""
+
+    def __init__(self, tokens: pa.Array, pieces: np.ndarray):
+        first, second = _keys(tokens)
+        order = np.argsort(first)
+        self.first, self.second, self.pieces = first[order], second[order], pieces[order].astype(np.int32)
+
+    def find(self, tokens: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Which strings are frequent, and the pieces of those (0 for others)."""
+        if not len(self.first) or not len(tokens):
+            return np.zeros(len(tokens), bool), np.zeros(len(tokens), np.int64)
+        first, second = _keys(tokens)
+        at = np.minimum(np.searchsorted(self.first, first), len(self.first) - 1)
+        there = (self.first[at] == first) & (self.second[at] == second)
+        return there, np.where(there, self.pieces[at], 0).astype(np.int64)
+
+
+def _frequencies(path: str, head: Callable[[], Head]):
     """Each document with the tokens of its head pre-tokens, and the frequencies of the others."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, known = PreTokenizer(path), head()
+
+        def out(part: pa.RecordBatch, total: list[int], tokens: list[str], counts: list[int], ends: list[int]) -> pa.RecordBatch:
+            found, n, at = pa.array(tokens, pa.string()), np.array(counts, np.int64), np.array(ends)
+            frequent, pieces = known.find(found)
+            sums = np.concatenate([[0], np.cumsum(n * pieces)])[at]
+            rare = pa.StructArray.from_arrays([found.filter(pa.array(~frequent)), pa.array(n[~frequent], pa.int32())], ["token", "n"])
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(~frequent)])[at], pa.int32()), rare)
+            return pa.RecordBatch.from_arrays([*part.columns, pa.array(np.array(total, np.int64) + np.diff(sums)), lists], ["id", "key", "n_bytes", "base", "rare"])
+
         for part, texts in _texts(batches, ["id", "key", "n_bytes"]):
-            base, tokens, counts, ends = [], [], [], [0]
-            for text in texts:
-                found, total = split(text)
-                for token, n in Counter(found).items():
-                    pieces = known.get(token)
-                    if pieces is None:
-                        tokens.append(token)
-                        counts.append(n)
-                    else:
-                        total += n * pieces
-                base.append(total)
+            low, total, tokens, counts, ends = 0, [], [], [], [0]
+            for i, text in enumerate(texts):
+                found, special = split(text)
+                seen = Counter(found)
+                total.append(special)
+                tokens.extend(seen)
+                counts.extend(seen.values())
                 ends.append(len(tokens))
-            rare = pa.StructArray.from_arrays([pa.array(tokens, pa.string()), pa.array(counts, pa.int32())], ["token", "n"])
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rare)
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(base, pa.int64()), lists], ["id", "key", "n_bytes", "base", "rare"])
+                if len(tokens) > ENTRIES or i + 1 == len(texts):
+                    yield out(part.slice(low, i + 1 - low), total, tokens, counts, ends)
+                    low, total, tokens, counts, ends = i + 1, [], [], [], [0]
 
     return run
 
@@ -135,7 +172,9 @@ def token_counts(docs: DataFrame, path: str, *, id: str = "doc_id", text: str =
     sample = docs.where(F.pmod(F.xxhash64("id", "key"), F.lit(share)) == 0).select("text")
     seen = sample.mapInArrow(_sampled(path), "token string, n long").groupBy("token").agg(F.sum("n").alias("n")).where("n > 1")
     top = seen.orderBy(F.desc("n"), "token").limit(HEAD).select("token")
-    head = spark.sparkContext.broadcast({r["token"]: r["pieces"] for r in top.mapInArrow(_counted(path), "token string, pieces int").collect()})
+    few = top.mapInArrow(_counted(path), "token string, pieces int").toArrow()
+    tokens = few.column("token").combine_chunks().cast(pa.large_string())
+    head = spark.sparkContext.broadcast(Head(tokens, few.column("pieces").to_numpy()))
 
     kept = durable(docs.mapInArrow(_frequencies(path, lambda: head.value), "id " + docs.schema["id"].dataType.simpleString() + ", key long, n_bytes long, base long, rare array<struct<token string, n int>>"))
     rare = kept.select("id", "key", F.explode("rare").alias("r")).select("id", "key", "r.token", "r.n")
