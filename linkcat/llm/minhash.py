@@ -5,9 +5,11 @@ is the smallest ``pi(sigma(shingle) + k)``, that is ``pi`` shifted circularly by
 a link counts once the Jaccard similarity of the two full shingle sets confirms it.
 
 Equal sets are one class from the start. In every bucket (equal band) the member that collides most is compared with
-all others; what then still lies in different components of one bucket is compared too, unless they share none of their
-rarest elements, which rules similarity out. So no pair of a bucket is left open, and members of one component are never
-paired again.
+all others. Buckets that still hold several components are taken up in rounds: the smallest set of a bucket, its hub, is
+compared with all others, and a pair of which one is not similar to the hub can only be similar if both share elements
+outside it, as the hub's elements alone are too few. So members meet again only in smaller buckets, those of their rarest
+elements outside the hub. A bucket in which all but ``FEW`` members are one component is settled by comparing these with the
+others. So no pair of a bucket is left open, and a round makes rows in proportion to its members, not to their pairs.
 
 With 30 bands of 4 rows a pair of similarity 0.8 shares no band with a probability of 1.4e-7.
 
@@ -34,6 +36,8 @@ from linkcat.llm.registry import query, table
 from linkcat.session import durable
 
 BANDS, ROWS = 30, 4
+#: Members outside a bucket's largest component that are compared with all others; and rounds after which any number is.
+FEW, ROUNDS = 4, 8
 _CHUNK = 1 << 15
 U32 = np.uint32
 
@@ -151,43 +155,96 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "left", "right").mapInArrow(_similar(percent), "a long, b long")
 
 
-def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each element of the sets."""
+def _against_hub(percent: int):
+    """Each member against its hub: whether they are similar, its elements outside the hub, and how many of these it may share none of at most.
+
+    A member of ``n`` elements, ``k`` of them the hub's, needs ``a`` elements in common with a set as large as the hub or
+    larger, so at least ``a - k`` outside the hub, and one in any case.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = (tx.buffers(batch.column(name)) for name in ("left", "right"))
+            ok, prefix, rests = np.zeros(batch.num_rows, bool), np.zeros(batch.num_rows, np.int64), []
+            for i in range(batch.num_rows):
+                a, b = (np.frombuffer(data[at[i] : at[i + 1]].tobytes(), np.uint64) for data, at in (left, right))
+                there = b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a
+                common = int(there.sum())
+                ok[i] = 100 * common >= percent * (len(a) + len(b) - common)
+                rest = a[~there]
+                needed = max(-(-percent * (len(a) + len(b)) // (100 + percent)) - common, 1)
+                prefix[i] = len(rest) - needed + 1
+                rests.append(rest.tobytes() if prefix[i] > 0 else b"")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("bucket"), batch.column("id"), batch.column("hub"), pa.array(ok), pa.array(prefix), pa.array(rests, pa.binary())],
+                ["bucket", "id", "hub", "ok", "prefix", "elements"])
+
+    return run
+
+
+def _outside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each element outside the hub."""
     for batch in batches:
         data, at = tx.buffers(batch.column("elements"))
-        ids = np.repeat(np.asarray(batch.column("id")), np.diff(at) // 8)
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.frombuffer(data.tobytes(), np.int64))], ["id", "x"])
+        size = np.diff(at) // 8
+        again = [pa.array(np.repeat(np.asarray(batch.column(c)), size)) for c in ("bucket", "id", "prefix")]
+        yield pa.RecordBatch.from_arrays([*again, pa.array(np.frombuffer(data.tobytes(), np.int64))], ["bucket", "id", "prefix", "x"])
 
 
-def _open_pairs(grouped: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs of bucket members in different components that may still be similar.
+def _placed(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members with their component."""
+    return members.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
 
-    A set of ``n`` elements that is similar to one of its bucket, of ``least`` elements or more, has at least ``a`` elements
-    in common with it, so among its ``n - a + 1`` rarest elements there is one that is also among the other's rarest. Pairs are
-    made on these elements only, and for each element only with sets outside its largest component.
-    """
-    parts = grouped.groupBy("band", "component").agg(F.count("*").alias("k"), F.min("n").alias("least"))
-    mixed = parts.groupBy("band").agg(F.count("*").alias("parts"), F.min("least").alias("least")).where("parts > 1")
-    open_ = grouped.join(mixed.select("band", "least"), "band").groupBy("rep").agg(
-        F.any_value("n").alias("n"), F.any_value("component").alias("component"), F.min("least").alias("least"))
-    common = F.greatest(F.ceil(percent * F.col("n") / 100), F.ceil(percent * (F.col("n") + F.col("least")) / (100 + percent)))
-    open_ = durable(open_.select(F.col("rep").alias("id"), "n", "component", (F.col("n") - common + 1).alias("prefix")))
-    here = sets.join(open_.select("id"), "id", "left_semi").mapInArrow(_elements, "id long, x long")
-    frequency = here.groupBy("x").agg(F.count("*").alias("f"))
-    order = Window.partitionBy("id").orderBy("f", "x")
-    ranked = here.join(frequency, "x").withColumn("place", F.row_number().over(order))
-    rare = durable(ranked.join(open_, "id").where("place <= prefix and f > 1").select("x", "id", "n", "component"))
-    # Elements of the same sets make the same pairs (those around one changed word do), so one of them is enough.
-    same = rare.groupBy("x").agg(F.count("*").alias("k"), F.bit_xor(F.xxhash64("id")).alias("g"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("h"))
-    rare = rare.join(same.where("k > 1").groupBy("k", "g", "h").agg(F.min("x").alias("x")).select("x"), "x")
-    shares = rare.groupBy("x", "component").agg(F.count("*").alias("k")).groupBy("x").agg(
-        F.max_by("component", "k").alias("most"), F.count("*").alias("parts")).where("parts > 1")
-    able = rare.join(shares.select("x", "most"), "x")
+
+def _mixed(members: DataFrame) -> DataFrame:
+    """The buckets that span components: ``most``, the largest one, ``others``, members outside it, and the ``hub``."""
+    parts = members.groupBy("bucket", "component").agg(F.count("*").alias("k"), F.min(F.struct("n", "id")).alias("least"))
+    return parts.groupBy("bucket").agg(
+        F.max_by("component", F.struct("k", "component")).alias("most"), (F.sum("k") - F.max("k")).alias("others"),
+        F.count("*").alias("parts"), F.min("least")["id"].alias("hub")).where("parts > 1").drop("parts")
+
+
+def _pairs_of_few(members: DataFrame, buckets: DataFrame) -> DataFrame:
+    """The members outside the largest component of a bucket with all members of other components."""
+    able = members.join(buckets.select("bucket", "most"), "bucket")
     a, b = able.where("component <> most").alias("a"), able.alias("b")
-    sizes = F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent
     once = (F.col("b.component") == F.col("b.most")) | (F.col("a.id") < F.col("b.id"))
-    pairs = a.join(b, (F.col("a.x") == F.col("b.x")) & (F.col("a.component") != F.col("b.component")) & sizes & once)
-    return pairs.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
+    pairs = a.join(b, (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.component") != F.col("b.component")) & once)
+    return pairs.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b"), F.least("a.n", "b.n").alias("s"), F.greatest("a.n", "b.n").alias("t"))
+
+
+def _rest_of_links(members: DataFrame, links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All links, those of members that ``links`` leaves in different components of a bucket included."""
+    found, sizes = components(links), members.select("id", "n").distinct()
+    members = _placed(members, found)
+    # Buckets with the same hub are one from the first round on.
+    first = durable(_mixed(members))
+    members = durable(members.join(first.select("bucket", "hub"), "bucket").select(F.col("hub").alias("bucket"), "id", "n", "component").distinct())
+    for turn in range(ROUNDS + 1):
+        buckets = durable(_mixed(members))
+        few = F.lit(turn == ROUNDS) | (F.col("others") <= FEW) if turn else F.lit(False)
+        pairs = _pairs_of_few(members, buckets.where(few)).where(100 * F.col("s") >= percent * F.col("t")).select("a", "b").distinct()
+        new = _confirm(pairs, sets, percent) if turn else None
+        large = members.join(buckets.where(~few).select("bucket", "hub"), "bucket").where("id <> hub")
+        both = large.select("bucket", "id", "hub").join(sets.select("id", F.col("elements").alias("left")), "id")
+        both = both.join(sets.select(F.col("id").alias("hub"), F.col("elements").alias("right")), "hub")
+        held = durable(both.select("bucket", "id", "hub", "left", "right").mapInArrow(
+            _against_hub(percent), "bucket long, id long, hub long, ok boolean, prefix long, elements binary"))
+        similar = held.where("ok").select(F.col("hub").alias("a"), F.col("id").alias("b"))
+        new = similar if new is None else new.unionByName(similar)
+        links = durable(links.unionByName(new).distinct())
+        if held.isEmpty():
+            return links
+        here = held.mapInArrow(_outside, "bucket long, id long, prefix long, x long")
+        counted = here.join(here.groupBy("bucket", "x").agg(F.count("*").alias("f")), ["bucket", "x"])
+        place = F.row_number().over(Window.partitionBy("bucket", "id").orderBy("f", "x"))
+        rare = durable(counted.withColumn("place", place).where("place <= prefix and f > 1").select(F.xxhash64("bucket", "x").alias("bucket"), "id"))
+        # Elements of the same sets make the same buckets (those around one changed word do), so one of them is enough.
+        same = rare.groupBy("bucket").agg(F.count("*").alias("k"), F.bit_xor(F.xxhash64("id")).alias("g"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("h"))
+        rare = rare.join(same.where("k > 1").groupBy("k", "g", "h").agg(F.min("bucket").alias("bucket")).select("bucket"), "bucket")
+        # Later rounds find few links, so the components after the first one serve them all; the rest is paired once too often at worst.
+        found = found if turn else components(links)
+        members = durable(_placed(rare.join(sizes, "id"), found).select("bucket", "id", "n", "component"))
+    return links
 
 
 def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text", width: int = 4, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -216,13 +273,8 @@ def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     nominated = durable(nominated)
     links = durable(_confirm(nominated, sets, percent))
 
-    grouped = members.join(components(links).withColumnRenamed("id", "rep"), "rep", "left").select(
-        "band", "rep", "n", F.coalesce("component", "rep").alias("component"))
-    rest = _open_pairs(grouped, sets, percent)
-    done = nominated.unionByName(nominated.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    more = _confirm(rest.join(done, ["a", "b"], "left_anti"), sets, percent)
-
-    found = components(links.unionByName(more))
+    buckets = members.select(F.col("band").alias("bucket"), F.col("rep").alias("id"), "n")
+    found = components(_rest_of_links(buckets, links, sets, percent))
     placed = classes.select("set_id", "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
         "set_id", F.coalesce("component", "rep").alias("component"))
     known = F.col("id").isNotNull()
