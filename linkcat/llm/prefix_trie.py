@@ -132,7 +132,9 @@ def trie(steps: DataFrame, conversations: DataFrame) -> DataFrame:
     inner = walked.groupBy(*KEY).agg(
         F.count("*").alias("n_convs"), F.min("conv_id").alias("conv_id"), F.any_value("words").alias("words"),
         F.any_value(F.col("k1").bitwiseXOR(F.col("x1"))).alias("p1"), F.any_value(F.col("k2").bitwiseXOR(F.col("x2"))).alias("p2"))
-    nodes = durable(root.unionByName(inner).withColumn("id", F.monotonically_increasing_id()))
+    # Ids follow the conversations, so that the tour mostly goes on among neighbouring ids.
+    ranged = root.unionByName(inner).repartitionByRange("conv_id", "depth").sortWithinPartitions("conv_id", "depth")
+    nodes = durable(ranged.withColumn("id", F.monotonically_increasing_id()))
 
     top = nodes.where("depth = 0").select("id", "conv_id").first()
     above = nodes.where("depth > 0").select((F.col("depth") + 1).alias("depth"), F.col("k1").alias("p1"), F.col("k2").alias("p2"), F.col("id").alias("parent"), F.col("conv_id").alias("parent_conv_id"))

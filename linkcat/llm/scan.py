@@ -21,6 +21,8 @@ from linkcat.session import durable
 
 #: Items of a list that one task may rank; longer lists are shortened first.
 LAST = 4_096
+#: Items with neighbouring ids among which a task follows the list.
+RUN = 200_000
 #: Groups of a table that is broadcast; more are joined by shuffling.
 BROADCAST_ROWS = 100_000
 
@@ -119,15 +121,58 @@ def _rank_few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(places, pa.int64())], ["id", "place"])
 
 
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Follow the list inside runs of ``RUN`` items: each item's first one before it in the run, and the way from there.
+
+    The first items of such chains also get the chain's next item and its whole length.
+    """
+    def chains(table: pa.Table) -> pa.RecordBatch:
+        ids = table.column("id").to_numpy()
+        then = table.column("next").fill_null(-1).to_numpy()
+        step = table.column("step").to_numpy().copy()
+        order = np.argsort(ids)
+        at = order[np.minimum(np.searchsorted(ids[order], then), len(ids) - 1)]
+        inside = (then >= 0) & (ids[at] == then)
+        head, away = np.arange(len(ids)), np.zeros(len(ids), np.int64)
+        head[at[inside]] = np.flatnonzero(inside)
+        away[at[inside]] = step[inside]
+        while True:
+            further = head[head]
+            if (further == head).all():
+                break
+            head, away = further, away + away[head]
+        tails = np.flatnonzero(~inside)
+        last, whole = np.full(len(ids), -1, np.int64), np.zeros(len(ids), np.int64)
+        last[head[tails]], whole[head[tails]] = then[tails], away[tails] + step[tails]
+        first = head == np.arange(len(ids))
+        return pa.RecordBatch.from_arrays([
+            pa.array(ids), pa.array(ids[head]), pa.array(away), pa.array(last, mask=~first | (last < 0)), pa.array(whole, mask=~first)],
+            ["id", "before", "away", "next", "step"])
+
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= RUN:
+            yield chains(pa.Table.from_batches(held))
+            held, rows = [], 0
+    if rows:
+        yield chains(pa.Table.from_batches(held))
+
+
 def list_ranks(items: DataFrame, last: int = LAST) -> DataFrame:
-    """``id`` and ``place`` (from 0) of the items of one linked list with columns ``id`` and ``next`` (null at its end).
+    """``id`` and ``place`` (from 0) of the items of one linked list with columns ``id`` (0 or more) and ``next`` (null at its end).
 
-    A round takes out the items whose random number is smaller than that of both their neighbours, about a third, and
+    First the list is followed inside runs of items with neighbouring ids, which leaves the first item of each chain. Then a
+    round takes out the items whose random number is smaller than that of both their neighbours, about a third, and
     lengthens the steps over them; no two neighbours go at once. The few items that are left at last are ranked in one task,
-    and then each round's items find their places behind their predecessors. All rounds together cost a few times one join of the list.
+    and then each round's items find their places behind their predecessors. All rounds together cost a few times one join of
+    the list, and ids that follow the list's order make them cheap.
     """
-    items = durable(items.select("id", "next", F.lit(1).cast("long").alias("step")))
-    rounds = []
+    items = items.select("id", "next", F.lit(1).cast("long").alias("step"))
+    chains = durable(items.repartitionByRange("id").sortWithinPartitions("id").mapInArrow(_contract, "id long, before long, away long, next long, step long"))
+    rounds = [chains.where("id <> before").select("id", "before", "away")]
+    items = chains.where("id = before").select("id", "next", "step")
     while items.count() > last:
         draw = lambda c: F.xxhash64(F.lit(len(rounds)), c)  # noqa: E731, B023
         before = items.select(F.col("id").alias("before"), F.col("next").alias("id"), F.col("step").alias("away"))
@@ -141,6 +186,6 @@ def list_ranks(items: DataFrame, last: int = LAST) -> DataFrame:
     for i, out in enumerate(reversed(rounds)):
         placed = out.join(ranked.withColumnRenamed("id", "before"), "before").select("id", (F.col("place") + F.col("away")).alias("place"))
         ranked = ranked.unionByName(placed)
-        if i % 3 == 2 or i + 1 == len(rounds):
+        if i % 3 == 2:
             ranked = durable(ranked)
     return ranked

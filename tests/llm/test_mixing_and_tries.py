@@ -39,7 +39,8 @@ def test_running_of_nothing(spark):
 
 
 @pytest.mark.parametrize("n,last", [(1, 4), (5, 4), (700, 40)])
-def test_list_ranks(spark, n, last):
+def test_list_ranks(spark, monkeypatch, n, last):
+    monkeypatch.setattr(scan, "RUN", 30)
     ids = list(range(100, 100 + n))
     random.Random(n).shuffle(ids)
     links = spark.createDataFrame(list(zip(ids, [*ids[1:], None], strict=True)), "id long, next long").repartition(4)
@@ -220,7 +221,8 @@ def build(spark, rows):
 def test_trie(spark, monkeypatch):
     rows = conversations()
     monkeypatch.setattr(prefix_trie, "PIECE", 7)
-    monkeypatch.setattr(prefix_trie, "list_ranks", lambda arcs: scan.list_ranks(arcs, 300))
+    monkeypatch.setattr(scan, "RUN", 50)
+    monkeypatch.setattr(prefix_trie, "list_ranks", lambda arcs: scan.list_ranks(arcs, 60))
     assert sorted(map(tuple, build(spark, rows).collect()), key=str) == shared(rows)
 
 
