@@ -162,8 +162,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "
     rated = labels.where(labels[rating].isNotNull() & labels[id].isNotNull() & ~is_held_out(labels[id])).select(labels[id].alias("label_id"), labels[rating].cast("double").alias("y"))
     share = max(1, -(-rated.count() // sample))
     rated = rated.where(F.pmod(F.xxhash64("label_id"), F.lit(share)) == 0)
-    rows = docs.join(F.broadcast(rated), docs[id] == rated["label_id"])  # about ``sample`` rows
-    found = rows.select("label_id", docs[text].alias("text"), "y").toArrow().sort_by([("label_id", "ascending"), ("text", "ascending"), ("y", "ascending")])
+    texts = docs.select(docs[id].alias("label_id"), docs[text].alias("text"))
+    rows = texts.join(F.broadcast(rated), "label_id")  # about ``sample`` rows
+    found = rows.select("label_id", "text", "y").toArrow().sort_by([("label_id", "ascending"), ("text", "ascending"), ("y", "ascending")])
     texts = found.column("text")
     return train(pa.concat_arrays(texts.chunks) if texts.num_chunks else pa.array([], pa.string()), np.asarray(found.column("y")))
 

@@ -17,6 +17,8 @@ empty table gives an empty result; languages without enough examples use the thr
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -263,17 +265,31 @@ def is_held_out(id: Column) -> Column:
     return F.coalesce(F.crc32(id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def _train_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pickled model of a sample that comes as one partition."""
+    held = list(batches)
+    if sum(b.num_rows for b in held):
+        found = pa.Table.from_batches(held).sort_by([("label_id", "ascending"), ("text", "ascending")]).combine_chunks()
+        texts = found.column("text")
+        model = train(texts.chunk(0), np.asarray(found.column("y")).astype(np.float64), found.column("lang").to_pylist())
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+
+def _trained(rows: DataFrame) -> Model:
+    """A model of a bounded sample, worked out in one task; only the weights come to the driver."""
+    found = rows.repartition(1).mapInArrow(_train_one, "model binary").first()
+    return pickle.loads(found["model"]) if found else train(pa.array([], pa.string()), np.zeros(0), [])
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "text", lang: str = "lang", label: str = "toxic", sample: int = SAMPLE) -> Model:
     """A model from at most about ``sample`` labelled rows that are not held out, with thresholds from all of those."""
     usable = labels.where(labels[label].isin(0, 1) & labels[id].isNotNull() & ~is_held_out(labels[id])).select(labels[id].alias("label_id"), labels[label].alias("y"))
     share = max(1, -(-usable.count() // sample))
     some = usable.where(F.pmod(F.xxhash64("label_id"), F.lit(share)) == 0)
-    rows = docs.join(F.broadcast(some), docs[id] == some["label_id"])  # about ``sample`` rows
     spoken = docs[lang].cast("string") if lang in docs.columns else F.lit(None).cast("string")
-    found = rows.select("label_id", docs[text].alias("text"), spoken.alias("lang"), "y").toArrow()
-    found = found.sort_by([("label_id", "ascending"), ("text", "ascending")])
-    texts = found.column("text").combine_chunks()
-    model = train(texts if isinstance(texts, pa.Array) else texts.combine_chunks(), np.asarray(found.column("y")).astype(np.float64), found.column("lang").to_pylist())
+    texts = docs.select(docs[id].alias("label_id"), docs[text].alias("text"), spoken.alias("lang"))
+    rows = texts.join(F.broadcast(some), "label_id")  # about ``sample`` rows
+    model = _trained(rows.select("label_id", "text", "lang", "y"))
     if model.scale[0]:  # else there was nothing to learn from
         seen = docs.where(docs[id].isNotNull() & ~is_held_out(docs[id])).select(docs[id].alias("id"), docs[text].alias("text"), spoken.alias("lang"))
         _set_thresholds(model, seen, usable)
