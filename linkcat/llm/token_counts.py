@@ -18,6 +18,7 @@ from __future__ import annotations
 import unicodedata
 from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -68,7 +69,15 @@ class PreTokenizer:
 
     def pieces(self, tokens: list[str]) -> list[int]:
         """The number of pieces of each pre-token."""
-        return [len(e.ids) for e in self.tokenizer.encode_batch(tokens, add_special_tokens=False)]
+        # One by one: a batch would start threads beside the task's own and keep all encodings until its end.
+        encode = self.tokenizer.encode
+        return [len(encode(t, add_special_tokens=False).ids) for t in tokens]
+
+
+@lru_cache(1)
+def pre_tokenizer(path: str) -> PreTokenizer:
+    """The pre-tokenizer of a file, loaded once in a worker however many tasks it runs."""
+    return PreTokenizer(path)
 
 
 def _texts(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
@@ -81,13 +90,13 @@ def _texts(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tupl
 
 def _sampled(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, seen = PreTokenizer(path), Counter()
+        split, seen = pre_tokenizer(path), Counter()
         def out() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["token", "n"])
         for _, texts in _texts(batches, []):
             for text in texts:
                 seen.update(split(text)[0])
-            if len(seen) > 200_000:
+            if len(seen) > 100_000:
                 yield out()
                 seen = Counter()
         yield out()
@@ -98,7 +107,7 @@ def _sampled(path: str):
 def _counted(path: str):
     """Pieces of distinct pre-tokens."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = PreTokenizer(path)
+        split = pre_tokenizer(path)
         for batch in batches:
             tokens = batch.column(0)
             _, offsets = tx.buffers(tokens)
@@ -137,7 +146,7 @@ class Head:
 def _frequencies(path: str, head: Callable[[], Head]):
     """Each document with the tokens of its head pre-tokens, and the frequencies of the others."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, known = PreTokenizer(path), head()
+        split, known = pre_tokenizer(path), head()
 
         def out(part: pa.RecordBatch, total: list[int], tokens: list[str], counts: list[int], ends: list[int]) -> pa.RecordBatch:
             found, n, at = pa.array(tokens, pa.string()), np.array(counts, np.int64), np.array(ends)
