@@ -33,7 +33,7 @@ from linkcat.session import durable
 
 SCALE = 1_000_000_000
 #: Rows of counts that a task adds up before it hands them on.
-MERGE_ROWS = 1_500_000
+MERGE_ROWS = 800_000
 #: Letters (after lower-casing) and everything beyond ASCII.
 TERMS = ((np.arange(256) >= 0x61) & (np.arange(256) <= 0x7A)) | (np.arange(256) >= 0x80)
 
