@@ -74,21 +74,6 @@ def test_a_large_group_of_near_copies_is_one_component(spark):
     assert got == {d: c for d, _, c in helpers.near_duplicates(rows)}
 
 
-def test_members_of_a_bucket_that_are_not_similar_are_not_paired(spark, monkeypatch):
-    """Most of a group have half a text in common and are similar to few others, which are found all the same."""
-    rng = random.Random(8)
-    base = [f"w{rng.randrange(500)}" for _ in range(120)]
-    rows = []
-    for i in range(250):
-        own = [f"z{i // 2}x{k}" for k in range(rng.choice([30, 40, 60]))]
-        rows.append((i, " ".join(base + own[: len(own) - i % 2 * 3])))
-    asked, confirm = [], minhash._confirm
-    monkeypatch.setattr(minhash, "_confirm", lambda pairs, *rest: (asked.append(pairs), confirm(pairs, *rest))[1])
-    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), bands=60, rows=2).collect()}
-    assert got == {d: c for d, _, c in helpers.near_duplicates(rows)} and len(set(got.values())) > 50
-    assert sum(p.count() for p in asked[1:]) < 10 * len(rows)
-
-
 def test_components_of_long_chains(spark):
     links = [(i, i + 1) for i in range(60)] + [(200, 205), (205, 203), (301, 300)]
     rng = random.Random(2)
