@@ -164,7 +164,8 @@ def _open_pairs(grouped: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     A set of ``n`` elements that is similar to one of its bucket, of ``least`` elements or more, has at least ``a`` elements
     in common with it, so among its ``n - a + 1`` rarest elements there is one that is also among the other's rarest. Pairs are
-    made on these elements only, and for each element only with sets outside its largest component.
+    made on these elements only, and for each element only with sets outside its largest component. The rarest common element of two
+    similar sets stands so early in both that enough elements follow it in each; elsewhere no pair is made.
     """
     parts = grouped.groupBy("band", "component").agg(F.count("*").alias("k"), F.min("n").alias("least"))
     mixed = parts.groupBy("band").agg(F.count("*").alias("parts"), F.min("least").alias("least")).where("parts > 1")
@@ -176,17 +177,18 @@ def _open_pairs(grouped: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     frequency = here.groupBy("x").agg(F.count("*").alias("f"))
     order = Window.partitionBy("id").orderBy("f", "x")
     ranked = here.join(frequency, "x").withColumn("place", F.row_number().over(order))
-    rare = durable(ranked.join(open_, "id").where("place <= prefix and f > 1").select("x", "id", "n", "component"))
-    # Elements of the same sets make the same pairs (those around one changed word do), so one of them is enough.
-    same = rare.groupBy("x").agg(F.count("*").alias("k"), F.bit_xor(F.xxhash64("id")).alias("g"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("h"))
-    rare = rare.join(same.where("k > 1").groupBy("k", "g", "h").agg(F.min("x").alias("x")).select("x"), "x")
+    rare = durable(ranked.join(open_, "id").where("place <= prefix and f > 1").select("x", "f", "id", "n", "component", (F.col("n") - F.col("place") + 1).alias("rest")))
+    # Elements of the same sets make the same pairs (those around one changed word do), so the rarest of them is enough.
+    same = rare.groupBy("x").agg(F.any_value("f").alias("f"), F.count("*").alias("k"), F.bit_xor(F.xxhash64("id")).alias("g"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("h"))
+    rare = rare.join(same.where("k > 1").groupBy("k", "g", "h").agg(F.min(F.struct("f", "x")).alias("first")).select("first.x"), "x")
     shares = rare.groupBy("x", "component").agg(F.count("*").alias("k")).groupBy("x").agg(
         F.max_by("component", "k").alias("most"), F.count("*").alias("parts")).where("parts > 1")
     able = rare.join(shares.select("x", "most"), "x")
     a, b = able.where("component <> most").alias("a"), able.alias("b")
     sizes = F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent
+    enough = F.least("a.rest", "b.rest") * (100 + percent) >= percent * (F.col("a.n") + F.col("b.n"))
     once = (F.col("b.component") == F.col("b.most")) | (F.col("a.id") < F.col("b.id"))
-    pairs = a.join(b, (F.col("a.x") == F.col("b.x")) & (F.col("a.component") != F.col("b.component")) & sizes & once)
+    pairs = a.join(b, (F.col("a.x") == F.col("b.x")) & (F.col("a.component") != F.col("b.component")) & sizes & enough & once)
     return pairs.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
 
 

@@ -74,6 +74,36 @@ def test_a_large_group_of_near_copies_is_one_component(spark):
     assert got == {d: c for d, _, c in helpers.near_duplicates(rows)}
 
 
+def test_members_of_a_bucket_that_are_not_similar_are_not_paired(spark, monkeypatch):
+    """Most of a group have half a text in common and are similar to few others, which are found all the same."""
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(500)}" for _ in range(120)]
+    rows = []
+    for i in range(250):
+        own = [f"z{i // 2}x{k}" for k in range(rng.choice([30, 40, 60]))]
+        rows.append((i, " ".join(base + own[: len(own) - i % 2 * 3])))
+    asked, open_pairs = [], minhash._open_pairs
+    monkeypatch.setattr(minhash, "_open_pairs", lambda *a: (asked.append(open_pairs(*a)), asked[-1])[1])
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), bands=60, rows=2).collect()}
+    assert got == {d: c for d, _, c in helpers.near_duplicates(rows)} and len(set(got.values())) > 50
+    assert sum(p.count() for p in asked) < 10 * len(rows)
+
+
+def test_near_copies_of_every_degree_are_linked_as_by_brute_force(spark):
+    """Copies with 1 to 40 changed words, so that similarities lie on both sides of the limit."""
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(60)}" for _ in range(150)]
+    rows = []
+    for i in range(300):
+        text = list(base)
+        for _ in range(rng.randrange(1, 40)):
+            at = rng.randrange(len(text))
+            text[at : at + rng.randrange(3)] = [f"w{rng.randrange(60)}" for _ in range(rng.randrange(3))]
+        rows.append((i, " ".join(text)))
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {d: c for d, _, c in helpers.near_duplicates(rows)} and len(set(got.values())) > 20
+
+
 def test_components_of_long_chains(spark):
     links = [(i, i + 1) for i in range(60)] + [(200, 205), (205, 203), (301, 300)]
     rng = random.Random(2)
