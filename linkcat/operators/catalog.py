@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkcat.config import DEFAULT, Catalog
 from linkcat.functions import urls
-from linkcat.operators import graph, media, nodes
+from linkcat.operators import bodies, graph, media, nodes
 from linkcat.operators.documents import validate_documents
 from linkcat.operators.versions import only_documents, resolve_ranges
 from linkcat.session import durable
@@ -22,7 +22,8 @@ class Published(NamedTuple):
     """The catalog after publishing, an outcome per submission, and the new maintainers.
 
     ``added`` and ``replaced`` (documents whose unversioned row goes) are the change alone, for a store that
-    is not rewritten. ``media`` and ``files`` say what was archived for the added documents, if digests were given.
+    is not rewritten. ``media`` and ``files`` say what was archived for the added documents, if digests were given, and
+    ``conflicts`` which paths have digests that contradict each other, so that nothing was archived for them.
     """
 
     catalog: DataFrame
@@ -32,6 +33,7 @@ class Published(NamedTuple):
     replaced: DataFrame
     media: DataFrame | None = None
     files: DataFrame | None = None
+    conflicts: DataFrame | None = None
 
 
 def with_keys(submissions: DataFrame, catalog: Catalog = DEFAULT) -> DataFrame:
@@ -137,7 +139,18 @@ def publish(
         return Published(after, outcomes, grants, added, replaced)
     found = nodes.media_nodes(accepted_rows.select("submission_id", *KEY, "body"))
     return Published(after, outcomes, grants, added, replaced,
-                     media.archive(found, digested).drop("submission_id"), media.archived_files(found, digested).drop("submission_id", "path"))
+                     media.archive(found, digested).drop("submission_id"), media.archived_files(found, digested).drop("submission_id", "path"),
+                     media.split_duplicates(digested.select(*media.file_keys(found, digested), "path", *media.DIGESTS), media.file_keys(found, digested))[1])
+
+
+def with_archive(docs: DataFrame, files: DataFrame, digested: DataFrame, uploaded_at: Column | None = None) -> DataFrame:
+    """Documents ``(doc_id, version, body, ...)`` with what archiving found out written into their media nodes.
+
+    ``files`` and ``digested`` (see ``media.archive``) may name the ``doc_id`` and ``version`` that a path belongs to.
+    """
+    keys = [c for c in KEY if c in docs.columns]
+    found = nodes.media_nodes(docs.select(*keys, "body"))
+    return bodies.set_entries(docs, bodies.archived_entries(found, files, digested, uploaded_at), keys)
 
 
 def unpublish(stored: DataFrame, removals: DataFrame) -> DataFrame:
@@ -182,6 +195,6 @@ def get(stored: DataFrame, requests: DataFrame, catalog: Catalog = DEFAULT) -> t
 
 
 def show(stored: DataFrame, requests: DataFrame, profile: str = "compacted", catalog: Catalog = DEFAULT) -> DataFrame:
-    """Requested documents in one of the JSON-LD forms."""
+    """Requested documents in one of the JSON-LD forms; the compacted one of whole documents is the profile ``document``."""
     found, _ = get(stored, requests, catalog)
     return graph.as_profile(found.select("request", "doc_id", "version", "body"), profile, catalog)

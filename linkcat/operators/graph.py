@@ -7,6 +7,7 @@ document's own row, so turning documents into statements needs no shuffle.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Sequence
 from functools import reduce
@@ -17,27 +18,82 @@ from pyspark.sql import functions as F
 from linkcat.config import DEFAULT, RDF_TYPE, XSD, Catalog
 from linkcat.functions import digest
 from linkcat.functions.mime import literal_map
-from linkcat.operators.nodes import as_array, as_object, node_iri, text_at, walk_values
+from linkcat.operators.nodes import (
+    AT, NIL, Scope, as_array, as_object, cell_label, let, node_iri, own_label, text_at, walk_values)
 from linkcat.session import durable
 
 STATEMENT = ("subject", "predicate", "object", "object_kind", "datatype", "lang")
-UNSUPPORTED_KEYS = ("@list", "@set", "@reverse", "@nest", "@included")
+UNSUPPORTED_KEYS = ("@nest", "@included")
+RDF = "http://www.w3.org/1999/02/22-rdf-syntax-ns#"
+TERMS = "map<string,struct<iri:string,kind:string,container:string,back:boolean,lang:string>>"
+#: What the reading below does not cover, in the JSON text of a document, with its name.
+UNSUPPORTED = (
+    *((f'"{k}":', f"uses {k}") for k in UNSUPPORTED_KEYS),
+    (r'"@container":"@(?:language|index|id|type|graph)"', "indexed container"),
+    (r'"[^"@][^"]*":"@(?:id|type|value|list|set|graph|language|reverse|context)"', "keyword under another name"),
+)
+
+
+def definitions(context: Column) -> Column:
+    """Term definitions of one context object, by term; a term of a null definition has no IRI."""
+    text = lambda v, key: text_at(v, f"$['{key}']")
+    return F.transform_values(context, lambda k, v: F.struct(
+        F.coalesce(text(v, "@reverse"), text(v, "@id"), v.try_cast("string"), F.when(as_object(v).isNotNull(), k)).alias("iri"),
+        text(v, "@type").alias("kind"), text(v, "@container").alias("container"),
+        text(v, "@reverse").isNotNull().alias("back"), text(v, "@language").alias("lang")))
+
+
+def enter_context(named: dict[str, dict]):
+    """The terms after a context: an object, a name, a list of both, or null, which forgets all terms.
+
+    ``named`` are the contexts that documents may name, objects by name; they travel inside the plan, so they are meant to be few.
+    The catalog's own context and unknown names define no terms of their own.
+    """
+    known = F.create_map(*[x for name, context in named.items() for x in (F.lit(name), F.parse_json(F.lit(json.dumps(context.get("@context", context)))))]) if named else None
+
+    def add(terms: Column, context: Column) -> Column:
+        found = as_object(context)
+        if known is not None:
+            found = F.coalesce(found, as_object(F.try_element_at(known, context.try_cast("string"))))
+        merged = let(definitions(found), lambda new: F.when(new.isNull(), terms).otherwise(
+            F.map_concat(F.map_filter(terms, lambda k, _: ~F.map_contains_key(new, k)), new)))
+        return F.when(F.is_variant_null(context), F.create_map().cast(TERMS)).otherwise(merged)
+
+    return lambda terms, context: F.aggregate(F.coalesce(as_array(context), F.array(context)), terms, add)
+
+
+def _term(terms: Column, name: Column | str, part: str) -> Column:
+    return F.try_element_at(terms, F.lit(name) if isinstance(name, str) else name)[part]
 
 
-def context_object(body: Column) -> Column:
-    """Inline part of a document's context as a map, else NULL."""
-    context = F.try_variant_get(body, "$['@context']", "variant")
-    in_list = F.get(F.filter(as_array(context), lambda c: as_object(c).isNotNull()), 0)
-    return F.coalesce(as_object(context), as_object(in_list))
+def expand_term(terms: Column, name: Column, catalog: Catalog = DEFAULT) -> Column:
+    """IRI of a term or CURIE under the terms in scope and the catalog's own context."""
+    name = F.coalesce(_term(terms, name, "iri"), name)
+    prefix = F.split_part(name, F.lit(":"), F.lit(1))
+    origin = F.coalesce(_term(terms, prefix, "iri"), F.try_element_at(literal_map(catalog.context_prefixes), prefix))
+    local = F.substring(name, F.length(prefix) + 2, F.length(name))
+    return (
+        F.when(~name.contains(":"), F.concat(F.coalesce(_term(terms, "@vocab", "iri"), F.lit(catalog.vocab)), name))
+        .when(local.startswith("//") | origin.isNull() | (prefix == "_"), name)
+        .otherwise(F.concat(origin, local))
+    )
 
 
-def context_terms(body: Column) -> Column:
-    """Inline term definitions as ``map<term, struct(iri, is_ref)>``."""
-    defined = context_object(body)
-    return F.transform_values(defined, lambda _, v: F.struct(
-        F.coalesce(text_at(v, "$['@id']"), v.try_cast("string")).alias("iri"),
-        F.coalesce(text_at(v, "$['@type']") == "@id", F.lit(False)).alias("is_ref"),
-    ))
+def resolve_id(terms: Column, ref: Column, catalog: Catalog = DEFAULT) -> Column:
+    """Absolute form of an id under the terms in scope."""
+    prefix = F.split_part(ref, F.lit(":"), F.lit(1))
+    own = F.when(~ref.startswith("_:"), _term(terms, prefix, "iri"))
+    base = _term(terms, "@base", "iri")
+    local = F.substring(ref, F.length(prefix) + 2, F.length(ref))
+    return F.when(own.isNotNull() & ref.contains(":") & ~local.startswith("//"), F.concat(own, local)).when(
+        base.isNotNull() & ~ref.contains(":"), F.concat(base, ref)).otherwise(node_iri(ref, catalog))
+
+
+def in_scope(catalog: Catalog = DEFAULT, named: dict[str, dict] | None = None, **more) -> Scope:
+    """How a walk reads contexts."""
+    return Scope(
+        enter_context(named or {}), lambda terms, ref: resolve_id(terms, ref, catalog),
+        lambda terms, prop: F.coalesce(_term(terms, prop, "container") == "@list", F.lit(False)), **more)
 
 
 def _lacks_context() -> Column:
@@ -46,13 +102,14 @@ def _lacks_context() -> Column:
 
 def _unsupported_reason() -> Column:
     """Feature of a body that is outside the supported subset, else NULL."""
-    contexts = as_array(F.try_variant_get("body", "$['@context']", "variant"))
-    several = F.size(F.filter(contexts, lambda c: as_object(c).isNotNull())) > 1
     text = F.to_json("body")
-    quoted = [F.when(text.contains(f'"{k}":'), F.lit(f"uses {k}")) for k in UNSUPPORTED_KEYS]
-    nested = F.when(
-        F.regexp_count(text, F.lit('"@context":')) > 1, F.lit("nested context"))
-    return F.coalesce(*quoted, nested, F.when(several, F.lit("several inline contexts")))
+    return F.coalesce(*[F.when(text.rlike(pattern), F.lit(reason)) for pattern, reason in UNSUPPORTED])
+
+
+def scoped_docs(docs: DataFrame) -> DataFrame:
+    """Documents ready for a walk in scope; the body of one that uses unsupported features is left out."""
+    outside = F.to_json("body").rlike("|".join(pattern for pattern, _ in UNSUPPORTED))
+    return docs.withColumn("body", F.when(~outside, F.col("body"))).withColumn("terms", F.create_map().cast(TERMS))
 
 
 def unsupported(docs: DataFrame) -> DataFrame:
@@ -107,35 +164,35 @@ def double_lexical(value: Column) -> Column:
     return F.concat(F.when(value < 0, F.lit("-")).otherwise(F.lit("")), mantissa, F.lit("E"), exponent.cast("string"))
 
 
-def expand(docs: DataFrame, catalog: Catalog = DEFAULT) -> DataFrame:
+def expand(docs: DataFrame, catalog: Catalog = DEFAULT, named: dict[str, dict] | None = None) -> DataFrame:
     """Statements of each document, one per occurrence, with absolute IRIs.
 
-    Documents that use unsupported features give none instead of wrong ones; ``split_supported`` names them.
+    Contexts hold inside the object that has them; ``named`` are those that documents give by name. A list is its cells, each
+    with a first item and the rest. Documents that use unsupported features give none instead of wrong ones; ``split_supported`` names them.
     """
-    docs = docs.filter(_unsupported_reason().isNull())
-    keep = [c for c in docs.columns if c != "body"]
-    with_terms = docs.withColumn("_terms", context_terms(F.col("body")))
-    values = walk_values(with_terms, stop=lambda entries, _: F.map_contains_key(entries, "@value"))
-    prop, value = F.col("prop"), F.col("value")
+    keep = [c for c in docs.columns if c not in ("body", "terms")]
+    values = walk_values(scoped_docs(docs), stop=is_value_object, scope=in_scope(catalog, named))
+    prop, value, terms = F.col("prop"), F.col("value"), F.col("terms")
     rows = values.filter(
-        F.col("owner").isNotNull() & ((prop == "@type") | ~prop.startswith("@")))
+        F.col("owner").isNotNull() & (prop.isin("@type", "@list") | ~prop.startswith("@")))
 
-    term = F.try_element_at("_terms", prop)
-    predicate = F.when(prop == "@type", F.lit(RDF_TYPE)).otherwise(
-        expand_name(F.coalesce(term["iri"], prop), catalog))
-    is_ref = F.coalesce(term["is_ref"], F.lit(False)) | prop.isin(*catalog.iri_properties)
+    term = lambda part: _term(terms, prop, part)
     is_value = F.col("stopped")
-    is_node = F.col("is_object") & ~is_value
+    is_node = (F.col("is_object") & ~is_value) | F.col("is_list")
+    is_ref = F.coalesce(term("kind") == "@id", F.lit(False)) | prop.isin(*catalog.iri_properties)
     scalar = F.when(is_value, F.try_variant_get(value, "$['@value']", "variant")).otherwise(value)
     kind = F.when(is_node, F.lit("OBJECT")).otherwise(F.schema_of_variant(scalar))
     rows = rows.withColumn("_variant", scalar).withColumn("_kind", kind).filter("_kind <> 'VOID'")
     kind, string = F.col("_kind"), F.col("_variant").try_cast("string")
-    ref = F.when(is_node, node_iri(F.col("id"), catalog)).when(
-        is_ref & ~is_value & (kind == "STRING"), node_iri(string, catalog))
-    type_name = F.when(prop == "@type", expand_name(
-        F.coalesce(F.try_element_at("_terms", string)["iri"], string), catalog))
-    declared = F.when(is_value, expand_name(text_at(value, "$['@type']"), catalog))
-    rows = rows.withColumn("_iri", F.coalesce(type_name, ref)).withColumn("_declared", declared).withColumn(
+    named_ref = ~is_value & (kind == "STRING")
+    iri = F.when(is_node, F.col("id")).when(
+        (prop == "@type") | (named_ref & (term("kind") == "@vocab")), expand_term(terms, string, catalog)).when(
+        is_ref & named_ref, resolve_id(terms, own_label(string), catalog))
+    coerced = F.when(~term("kind").startswith("@"), expand_term(terms, term("kind"), catalog))
+    declared = F.when(is_value, expand_term(terms, text_at(value, "$['@type']"), catalog)).otherwise(coerced)
+    language = F.when(is_value, text_at(value, "$['@language']")).when(
+        (kind == "STRING") & coerced.isNull(), F.coalesce(term("lang"), _term(terms, "@language", "iri")))
+    rows = rows.withColumn("_iri", iri).withColumn("_declared", declared).withColumn("_lang", language).withColumn(
         "_number", F.when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"), F.col("_variant").try_cast("double")))
     iri, declared, number = F.col("_iri"), F.col("_declared"), F.col("_number")
     # A number without a fraction is an integer however it was written.
@@ -148,21 +205,39 @@ def expand(docs: DataFrame, catalog: Catalog = DEFAULT) -> DataFrame:
     )
     literal = F.when(fractional, number.cast("string")).when(
         number.isNotNull() & whole, number.cast("bigint").cast("string")).otherwise(string)
-    return rows.select(
-        *keep,
-        node_iri(F.col("owner"), catalog).alias("subject"),
-        predicate.alias("predicate"),
-        F.coalesce(iri, literal).alias("object"),
-        F.when(iri.startswith("_:"), F.lit("blank")).when(iri.isNotNull(), F.lit("iri"))
-        .when(fractional, F.lit("number")).otherwise(F.lit("literal")).alias("object_kind"),
-        F.when(iri.isNull(), datatype).alias("datatype"),
-        F.when(is_value, text_at(value, "$['@language']")).alias("lang"),
-    )
-
 
-def statements(docs: DataFrame, catalog: Catalog = DEFAULT) -> DataFrame:
+    # A list's item stands where its cell is; a single one has no position of its own.
+    single = F.element_at("path", -1) == "@list"
+    cell = F.concat(F.lit("_:c"), F.col("label"), F.when(single, F.lit(".0")).otherwise(F.lit("")))
+    subject = F.when(prop == "@list", cell).otherwise(F.col("owner"))
+    predicate = F.when(prop == "@type", F.lit(RDF_TYPE)).when(prop == "@list", F.lit(RDF + "first")).otherwise(expand_term(terms, prop, catalog))
+    back = F.col("back") != F.coalesce(term("back"), F.lit(False))
+    kind_of = lambda c: F.when(c.startswith("_:"), F.lit("blank")).otherwise(F.lit("iri"))
+    fields = lambda s, p, o, k, d, l: F.struct(*[c.alias(n) for n, c in zip(STATEMENT, (s, p, o, k, d, l))])
+    none = F.lit(None).cast("string")
+    said = fields(
+        subject, predicate, F.coalesce(iri, literal),
+        F.when(iri.isNotNull(), kind_of(iri)).when(fractional, F.lit("number")).otherwise(F.lit("literal")),
+        F.when(iri.isNull(), datatype), F.when(iri.isNull(), F.col("_lang")))
+    about = fields(iri, predicate, subject, kind_of(subject), none, none)
+    main = F.when(~back, said).when(iri.isNotNull(), about)
+    items = F.try_variant_get(value, "$['@list']", "variant")
+    n = F.size(F.coalesce(as_array(items), F.array(items)))
+    after = lambda i: F.when(i + 1 < n, cell_label(F.col("label"), i + 1)).otherwise(F.lit(NIL))
+    rest = F.transform(F.sequence(F.lit(0), n - 1), lambda i: fields(
+        cell_label(F.col("label"), i), F.lit(RDF + "rest"), after(i), kind_of(after(i)), none, none))
+    all_ = F.when(F.col("is_list") & (n > 0), F.concat(F.array(main), rest)).otherwise(F.array(main))
+    return rows.select(*keep, F.explode(all_).alias("_s")).filter("_s is not null").select(*keep, "_s.*")
+
+
+def is_value_object(entries: Column, _: Column) -> Column:
+    """Whether an object stands for a literal."""
+    return F.map_contains_key(entries, "@value")
+
+
+def statements(docs: DataFrame, catalog: Catalog = DEFAULT, named: dict[str, dict] | None = None) -> DataFrame:
     """Statements of each document as a set."""
-    return expand(docs, catalog).distinct()
+    return expand(docs, catalog, named).distinct()
 
 
 def compact_iri(iri: Column, catalog: Catalog = DEFAULT, vocab: bool = True) -> Column:
@@ -215,7 +290,9 @@ def escape_iri(iri: Column) -> Column:
 
 def nquad_line() -> Column:
     """N-Quads line of a statement."""
-    name = lambda c: F.when(c.startswith("_:"), F.regexp_replace(c, r"[^\w:]", "_")).otherwise(
+    # Labels with characters that a line does not allow are written in hexadecimal, as are those that look so.
+    odd = lambda c: F.concat(F.lit("_:h"), F.hex(F.substring(c, F.lit(3), F.length(c)).cast("binary")))
+    name = lambda c: F.when(c.rlike(r"^_:(?!h)\w+([\w.]*\w)?$"), c).when(c.startswith("_:"), odd(c)).otherwise(
         F.concat(F.lit("<"), escape_iri(c), F.lit(">")))
     tail = (
         F.when(F.col("lang").isNotNull(), F.concat(F.lit("@"), "lang"))
@@ -310,8 +387,10 @@ def render_nodes(rows: DataFrame, doc_keys: Sequence[str], expanded: bool) -> Da
 
 
 def as_profile(docs: DataFrame, profile: str = "compacted", catalog: Catalog = DEFAULT) -> DataFrame:
-    """Documents in one of the JSON-LD forms, one row per node (per line when normalized)."""
+    """Documents in one of the JSON-LD forms, one row per node (per line when normalized, per document for ``document``)."""
     keep = [c for c in docs.columns if c != "body"]
+    if profile == "document":
+        return compact_documents(docs, catalog)
     if profile == "normalized":
         return to_quads(docs, catalog)
     if profile == "expanded":
@@ -321,6 +400,110 @@ def as_profile(docs: DataFrame, profile: str = "compacted", catalog: Catalog = D
     raise ValueError(f"unknown profile: {profile}")
 
 
+#: Between the compacted and the written form of a key in a step of a place; and before a key that reads backwards.
+WRITTEN, BACKWARDS = "\u0002", "\u0003"
+
+
+def json_string(text: Column) -> Column:
+    """A string as JSON, NULL of NULL."""
+    quoted = F.to_json(F.array(text))
+    return F.when(text.isNotNull(), F.substring(quoted, F.lit(2), F.length(quoted) - 2))
+
+
+def _json_object(**entries: Column) -> Column:
+    """JSON object of the entries that are not NULL; ``at_x`` is the key ``@x``."""
+    pairs = [F.concat(F.lit(f'"{key.replace("at_", "@")}":'), text) for key, text in entries.items()]
+    return F.concat(F.lit("{"), F.array_join(F.array_compact(F.array(*pairs)), ","), F.lit("}"))
+
+
+def _compact_key(terms: Column, key: Column, catalog: Catalog) -> Column:
+    """Step of a key: its name under the catalog's context, then the key as written, so that all steps stay different."""
+    name = F.when(key.startswith("@"), key).otherwise(compact_iri(expand_term(terms, key, catalog), catalog))
+    back = F.when(F.coalesce(_term(terms, key, "back"), F.lit(False)), F.lit(BACKWARDS)).otherwise(F.lit(""))
+    return F.concat(back, name, F.lit(WRITTEN), key)
+
+
+def _compact_text(catalog: Catalog) -> Column:
+    """JSON of a scalar or a value object under the catalog's own context; objects and lists begin empty."""
+    prop, value, terms = F.col("prop"), F.col("value"), F.col("terms")
+    string = F.when(F.schema_of_variant(value) == "STRING", value.try_cast("string"))
+    short = lambda iri, vocab=True: json_string(compact_iri(iri, catalog, vocab))
+    kind = _term(terms, prop, "kind")
+    as_node = lambda iri: F.when(F.col("name").isin(*catalog.iri_properties), iri).otherwise(_json_object(at_id=iri))
+    ref = F.coalesce(kind == "@id", F.lit(False)) | prop.isin(*catalog.iri_properties)
+    language = F.coalesce(_term(terms, prop, "lang"), _term(terms, "@language", "iri"))
+    typed = lambda t: short(expand_term(terms, t, catalog))
+    datatype, tag = text_at(value, "$['@type']"), text_at(value, "$['@language']")
+    bare = F.to_json(F.try_variant_get(value, "$['@value']", "variant"))
+    literal = F.when(datatype.isNull() & tag.isNull(), bare).otherwise(
+        _json_object(at_language=json_string(tag), at_type=typed(datatype), at_value=bare))
+    plain = F.to_json(value)
+    return (
+        F.when(F.col("stopped"), literal)
+        .when(F.col("is_list"), F.lit('{"@list":[]}')).when(F.col("is_object"), F.lit("{}"))
+        .when((prop == "@id") & string.isNotNull(), short(resolve_id(terms, string, catalog), False))
+        .when((prop == "@type") & string.isNotNull(), typed(string))
+        .when(prop.startswith("@") & (prop != "@list"), plain)
+        .when(ref & string.isNotNull(), as_node(short(resolve_id(terms, string, catalog), False)))
+        .when((kind == "@vocab") & string.isNotNull(), as_node(short(expand_term(terms, string, catalog))))
+        .when(~kind.startswith("@"), _json_object(at_type=typed(kind), at_value=plain))
+        .when(string.isNotNull() & language.isNotNull(), _json_object(at_language=json_string(language), at_value=plain))
+        .otherwise(plain)
+    )
+
+
+def _node_text(kids: Column, name: Column, catalog: Catalog) -> Column:
+    """JSON object of entries (name, place, text), sorted; one that is nothing but an id is the id where a property asks for one."""
+    def entry(key: Column) -> Column:
+        texts = F.transform(F.filter(kids, lambda k: k["name"] == key), lambda k: k["text"])
+        alone = (F.size(texts) == 1) & ~key.isin("@list", "@graph")
+        return F.concat(json_string(key), F.lit(":"), F.when(alone, F.get(texts, 0)).otherwise(F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]"))))
+
+    whole = F.concat(F.lit("{"), F.array_join(F.transform(F.array_distinct(F.transform(kids, lambda k: k["name"])), entry), ","), F.lit("}"))
+    only_id = (F.size(kids) == 1) & (F.get(kids, 0)["name"] == "@id") & name.isin(*catalog.iri_properties)
+    return F.when(only_id, F.get(kids, 0)["text"]).otherwise(whole)
+
+
+def compact_documents(docs: DataFrame, catalog: Catalog = DEFAULT, named: dict[str, dict] | None = None) -> DataFrame:
+    """Each document as one JSON text under the catalog's own context: ``document`` in place of the body.
+
+    Names are read by the contexts around them and written anew. Nesting stays as it is written, so a node that stands twice is shown
+    twice, and a reference is an ``@id`` however the node it names goes on; arrays keep their order, an array of one is its
+    element, and what is null or an empty array is left out. Entries are sorted by name; blank labels that were not
+    written are not shown.
+
+    The tree is put together from its values bottom-up, one pass a level; all passes run on one exchange by document.
+    """
+    keep = [c for c in docs.columns if c not in ("body", "terms")]
+    scope = in_scope(catalog, named, name=lambda terms, key: _compact_key(terms, key, catalog))
+    values = walk_values(scoped_docs(docs), stop=is_value_object, scope=scope).filter(~F.is_variant_null("value"))
+    step = lambda s: F.when(s.startswith(BACKWARDS), F.array(F.lit("@reverse" + WRITTEN + "@reverse"), F.substring(s, F.lit(2), F.length(s)))).otherwise(F.array(s))
+    values = values.withColumn("place", F.flatten(F.transform("place", step)))
+    at = lambda place: F.array_max(F.transform(place, lambda s, i: F.when(~s.startswith(AT), i + 1)))
+    above = lambda place: F.slice(place, 1, at(place) - 1)
+    name = lambda place: F.split_part(F.element_at(place, at(place)), F.lit(WRITTEN), F.lit(1))
+    # The root has neither a name nor anything above it.
+    inner = F.size("place") > 0
+    slots = values.withColumn("name", F.when(inner, name(F.col("place")))).withColumn("above", F.when(inner, above(F.col("place"))))
+    slots = durable(slots.select(*keep, "place", "above", "name", _compact_text(catalog).alias("text")))
+    deepest = slots.agg(F.max(F.size("above"))).first()[0]
+    rows = slots.repartition(*[F.col(k) for k in keep])
+    for level in range(-1 if deepest is None else deepest, -1, -1):
+        here = F.coalesce(F.size("above") == level, F.lit(False))
+        own = lambda c: F.max(F.when(~here, F.col(c)))  # noqa: B023
+        rows = rows.groupBy(*keep, F.when(here, F.col("above")).otherwise(F.col("place")).alias("at")).agg(
+            own("text").alias("text"), own("above").alias("above"), own("name").alias("name"),
+            F.array_sort(F.collect_list(F.when(here, F.struct("name", "place", "text")))).alias("kids"))
+        # What stands below @reverse has no row of its own above it.
+        absent = F.col("text").isNull() & (F.size("place") > 0)
+        rows = rows.withColumnRenamed("at", "place").withColumn("name", F.when(absent, name(F.col("place"))).otherwise(F.col("name"))).withColumn(
+            "above", F.when(absent, above(F.col("place"))).otherwise(F.col("above")))
+        rows = rows.select(*keep, "place", "above", "name", F.when(F.size("kids") > 0, _node_text(F.col("kids"), F.coalesce("name", F.lit("")), catalog)).otherwise(F.col("text")).alias("text"))
+    head = F.lit('{"@context":' + json.dumps(catalog.context))
+    text = F.when(F.col("text") == "{}", F.concat(head, F.lit("}"))).otherwise(F.concat(head, F.lit(","), F.substring("text", F.lit(2), F.length("text"))))
+    return rows.filter(F.size("place") == 0).select(*keep, text.alias("document"))
+
+
 def without_context(docs: DataFrame) -> DataFrame:
     """Documents that carry no context and so are no JSON-LD: rejects."""
     return docs.filter(_lacks_context()).withColumn("reason", F.lit("no context"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from linkcat.config import DEFAULT, Catalog
 from linkcat.functions import digest, headers, mime, urls
-from linkcat.operators.nodes import as_object, part_list, text_at
+from linkcat.operators.nodes import as_array, as_object, part_list, text_at
 from linkcat.operators.vocab import RANGES, family_of
 
 MAX_FILE_BYTES = 1 << 30
@@ -37,15 +37,17 @@ def media_url(value: Column) -> Column:
 
 
 def media_files(media: DataFrame) -> DataFrame:
-    """Files each media node names: its own, or one row per part of a bundle."""
+    """Files each media node names: its own, or one row per part of a bundle, with the part's path inside the node."""
     value = F.col("value")
     own = text_at(value, "$.filePath")
-    part = lambda p: F.struct(
+    listed = as_array(F.try_variant_get(value, "$.hasPart", "variant")).isNotNull()
+    step = lambda i: F.when(listed, F.array(F.lit("hasPart"), i.cast("string"))).otherwise(F.array(F.lit("hasPart")))
+    part = lambda p, i: F.struct(
         text_at(p, "$.filePath").alias("file_path"),
-        media_type(text_at(p, "$['@type']"), F.lit("hasPart")).alias("file_type"), F.lit(True).alias("is_part"))
+        media_type(text_at(p, "$['@type']"), F.lit("hasPart")).alias("file_type"), F.lit(True).alias("is_part"), step(i).alias("part_path"))
     whole = F.array(F.struct(
         own.alias("file_path"), media_type(F.col("type"), F.col("prop")).alias("file_type"),
-        F.lit(False).alias("is_part")))
+        F.lit(False).alias("is_part"), F.array().cast("array<string>").alias("part_path")))
     files = F.when(own.isNotNull(), whole).otherwise(
         F.filter(F.transform(part_list(as_object(value)), part), lambda f: f["file_path"].isNotNull()))
     return media.withColumn("_f", F.explode(files)).select("*", "_f.*").drop("_f")
@@ -60,12 +62,15 @@ def file_keys(media: DataFrame, files: DataFrame) -> list[str]:
 
 
 def split_duplicates(files: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Files that are the only ones of their owner and path, and the others as rejects with a reason.
+    """Files of which their owner and path say one thing only, and the others as rejects with a reason.
 
-    The hidden columns of a file travel as one struct, so a row is never mixed from two files.
+    A file listed again with the same columns is the same file. The hidden columns of a file travel as one struct, so a row is
+    never mixed from two files.
     """
     others = [c for c in files.columns if c not in (*keys, "path")]
-    grouped = files.groupBy(*keys, "path").agg(F.count("*").alias("_n"), F.any_value(F.struct(*others)).alias("_file"))
+    file = F.struct(*others)
+    grouped = files.groupBy(*keys, "path").agg(
+        F.when(F.min(file).eqNullSafe(F.max(file)), 1).otherwise(2).alias("_n"), F.any_value(file).alias("_file"))
     rejects = grouped.filter("_n > 1").select(*keys, "path", F.lit("listed more than once").alias("reason"))
     return grouped.filter("_n = 1").select(*keys, "path", "_file.*"), rejects
 
@@ -163,6 +168,7 @@ def archive(media: DataFrame, digested: DataFrame, uploaded_at: Column | None =
         (is_media & mime.is_gzip_encoded(by_path)).alias("gzip_encoded"),
         F.when(family_of(F.col("type")) == "software", F.lit("downloadUrl")).otherwise(F.lit("contentUrl"))
         .alias("url_property"),
+        F.col("declared").isNotNull().alias("format_declared"),
         digest.address(sha1).alias("address"),
         F.when(is_media, uploaded_at if uploaded_at is not None else F.current_timestamp()).alias("upload_date"),
     )

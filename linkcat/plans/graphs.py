@@ -174,6 +174,59 @@ def expanded_nodes(spark, sf):
     return graph.as_profile(views.order_docs(spark, sf), "expanded").filter("id like '%/customer'")
 
 
+_LIST = "http://www.w3.org/1999/02/22-rdf-syntax-ns#"
+
+
+def _scoped() -> str:
+    """SQL of the statements of orders with contexts of their own."""
+    root, kid, cust, clerk, src = (f"'{B}' || doc{x}" for x in ("", " || '/kid'", " || '/customer'", " || '/clerk'", " || '/src'"))
+    cells = ("'_:csteps.@list.0'", "'_:csteps.@list.1'")
+    rows = [
+        (root, S + "step", cells[0], "blank"), (cells[0], _LIST + "first", "'take ' || k", "literal"), (cells[0], _LIST + "rest", cells[1], "blank"),
+        (cells[1], _LIST + "first", "'_:bsteps.@list.1'", "blank"), ("'_:bsteps.@list.1'", S + "name", "'send'", "literal"), (cells[1], _LIST + "rest", f"'{_LIST}nil'", "iri"),
+        (kid, S + "isPartOf", root, "iri"), (root, S + "keywords", "o_orderpriority", "literal"), (root, S + "keywords", "'status ' || o_orderstatus", "literal"),
+        (root, S + "about", cust, "iri"), (cust, "http://xmlns.com/foaf/0.1/nick", "'Customer ' || o_custkey", "literal"),
+        (root, S + "author", clerk, "iri"), (clerk, "http://xmlns.com/foaf/0.1/name", "o_orderpriority", "literal"),
+        (src, S + "mentions", root, "iri"), (root, S + "notes", f"'{_LIST}nil'", "iri")]
+    return " UNION ALL ".join(f"SELECT doc AS doc_id, {s} AS subject, '{p}' AS predicate, {o} AS object, '{kind}' AS object_kind FROM o" for s, p, o, kind in rows)
+
+
+@query(f"WITH o AS ({ORDERS}) " + _scoped())
+def scoped_statements(spark, sf):
+    """Statements of orders with nested contexts, lists, sets, reverse properties and a context by name."""
+    return graph.expand(views.scoped_docs(spark, sf), named=views.NAMED).select("doc_id", "subject", "predicate", "object", "object_kind")
+
+
+def _json(text: str) -> str:
+    return "'\"' || " + text + " || '\"'"
+
+
+_SRC = """'{"@id":"ldr:' || doc || '/src","@type":"Code","encoding":{"hasPart":[{"filePath":"src/' || k || '.h"},{"filePath":"src/' || k
+  || '.c"}]},"programmingLanguage":{"name":"c"}}'"""
+_APP = """'{"@id":"ldr:' || doc || '/app","@type":"SoftwareApplication","filePath":"app/' || k || '.zip"}'"""
+
+
+@query(f"""WITH o AS ({ORDERS})
+SELECT doc AS doc_id, '{{"@context":"{DEFAULT.context}","@id":"ldr:' || doc || '","@type":"Dataset","about":{{"@id":"ldr:' || doc || '/customer","name":"Customer '
+  || o_custkey || '"}},"author":{{"@id":"ldr:' || doc || '/customer","@type":"Person","name":"Customer ' || o_custkey || '"}},"description":' || {_json('o_orderpriority')}
+  || ',"distribution":{{"filePath":"data/' || k || '.csv"}},"hasPart":' || CASE WHEN k % 3 = 0 THEN '[' || {_SRC} || ',' || {_APP} || ']' ELSE {_SRC} END
+  || ',"isAccessibleForFree":' || CASE WHEN k % 2 = 0 THEN 'true' ELSE 'false' END
+  || ',"license":"http://creativecommons.org/publicdomain/zero/1.0/","name":"order ' || k || '","position":' || k || ',"price":' || CAST(o_totalprice AS VARCHAR)
+  || ',"version":"1.' || (k % 7) || '.' || (k % 5) || '"}}' AS document FROM o""")
+def compacted_documents(spark, sf):
+    """Every order document as one compacted JSON text."""
+    return graph.as_profile(views.order_docs(spark, sf).select("doc_id", "body"), "document")
+
+
+@query(f"""WITH o AS ({ORDERS})
+SELECT doc AS doc_id, '{{"@context":"{DEFAULT.context}","@id":"ldr:' || doc || '","@reverse":{{"isPartOf":{{"@id":"ldr:' || doc || '/kid"}},"mentions":{{"@id":"ldr:' || doc
+  || '/src"}}}},"about":{{"@id":"ldr:' || doc || '/customer","foaf:nick":"Customer ' || o_custkey || '"}},"author":{{"@id":"ldr:' || doc || '/clerk","foaf:name":' || {_json('o_orderpriority')}
+  || '}},"keywords":[' || {_json('o_orderpriority')} || ',' || {_json("'status ' || o_orderstatus")} || '],"notes":{{"@list":[]}},"step":{{"@list":["take ' || k || '",{{"name":"send"}}]}}}}' AS document FROM o""")
+def compacted_scopes(spark, sf):
+    """Orders with contexts of their own, compacted under the catalog's context."""
+    return graph.compact_documents(views.scoped_docs(spark, sf), named=views.NAMED)
+
+
 @query(f"""WITH o AS ({ORDERS}) SELECT doc AS doc_id, 'no context' AS reason FROM o WHERE k % 9 = 4""")
 def contextless_documents(spark, sf):
     """Order documents without a context."""

@@ -283,3 +283,20 @@ def searchable(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select(
         text("d", n).alias("doc_id"), F.lit("1.0.0").alias("version"), F.lit("Article").alias("type"),
         F.col("source").alias("name"), F.col("lang").alias("keywords"), F.col("text").alias("description"))
+
+
+PEOPLE = "https://people.example"
+#: Contexts that documents name.
+NAMED = {PEOPLE: {"@context": {"called": "foaf:name"}}}
+
+
+def scoped_docs(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as documents with contexts of their own, lists, sets, reverse properties and a context by name."""
+    doc, q = order_doc_id(), lambda *parts: F.concat(F.lit('"'), text(*parts), F.lit('"'))
+    context = (f'["{CONTEXT}", {{"kids": {{"@reverse": "isPartOf"}}, "steps": {{"@id": "schema:step", "@container": "@list"}}}}]')
+    body = text(
+        '{"@context": ', context, ', "@id": ', q(doc), ', "steps": [', q("take ", F.col("o_orderkey")), ', {"name": "send"}], "kids": {"@id": ', q(doc, "/kid"),
+        '}, "keywords": {"@set": [', q(F.col("o_orderpriority")), ', ', q("status ", F.col("o_orderstatus")), ']}, "about": {"@context": {"name": "foaf:nick"}, "@id": ', q(doc, "/customer"),
+        ', "name": ', q("Customer ", F.col("o_custkey")), f'}}, "author": {{"@context": "{PEOPLE}", "@id": ', q(doc, "/clerk"), ', "called": ', q(F.col("o_orderpriority")),
+        '}, "@reverse": {"mentions": {"@id": ', q(doc, "/src"), '}}, "notes": {"@list": []}}')
+    return table(spark, sf, "orders").select(doc.alias("doc_id"), F.parse_json(body).alias("body"))

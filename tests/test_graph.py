@@ -95,13 +95,14 @@ def test_flatten_merges_nodes(docs):
 
 
 def test_rejects(docs):
-    texts = ['{"@id": "a"}', '{"@context": "https://catalog.example", "x": {"@list": [1]}}',
-             '{"@context": "https://catalog.example", "x": {"@context": {"a": "b"}}}', SHOW]
+    texts = ['{"@id": "a"}', '{"@context": "https://catalog.example", "x": {"@nest": [1]}}',
+             '{"@context": {"tag": {"@id": "schema:tag", "@container": "@language"}}, "@id": "b"}', SHOW, '{"@context": {"id": "@id"}, "id": "c"}']
     assert [r["doc_id"] for r in graph.without_context(docs(*texts)).collect()] == ["d0"]
-    assert sorted((r["doc_id"], r["reason"]) for r in graph.unsupported(docs(*texts)).collect()) == [("d1", "uses @list"), ("d2", "nested context")]
+    assert sorted((r["doc_id"], r["reason"]) for r in graph.unsupported(docs(*texts)).collect()) == [("d1", "uses @nest"), ("d2", "indexed container"), ("d4", "keyword under another name")]
     supported, refused = graph.split_supported(docs(*texts))
     assert rows(supported, "doc_id") == [("d3",)]
-    assert rows(refused, "doc_id", "reason") == [("d0", "no context"), ("d1", "uses @list"), ("d2", "nested context")]
+    assert rows(refused, "doc_id", "reason") == [("d0", "no context"), ("d1", "uses @nest"), ("d2", "indexed container"), ("d4", "keyword under another name")]
+    assert graph.expand(docs(*texts)).filter("doc_id in ('d1', 'd2', 'd4')").count() == 0
     assert {r["doc_id"] for r in graph.as_profile(supported, "expanded").collect()} == {"d3"}
 
 
@@ -138,3 +139,70 @@ def test_closure_with_cycle(spark):
     assert rows(vocab.with_family(typed, closure), "type", "family") == rows(
         typed.withColumn("family", vocab.family_of(F.col("type"))), "type", "family")
     assert rows(vocab.is_subclass(typed, closure, "CreativeWork"), "type") == [("DataDownload",), ("Dataset",), ("MobileApplication",)]
+
+
+RICH = json.dumps({
+    "@context": ["https://catalog.example", {
+        "ex": "http://ex.example/", "kids": {"@reverse": "isPartOf"}, "steps": {"@id": "ex:steps", "@container": "@list"},
+        "made": {"@id": "ex:made", "@type": "xsd:date"}, "@language": "en"}],
+    "@id": "a", "steps": [1, {"name": {"@value": "n"}}], "kids": [{"@id": "k1"}, {"@id": "k2"}], "made": "2014-01-01",
+    "about": {"@context": {"name": "ex:label", "@language": None}, "name": "inner"}, "name": "outer",
+    "author": {"@context": "https://people.example", "@id": "p:ann", "called": "Ann"},
+    "set": {"@set": ["p", {"@value": "q"}]}, "@reverse": {"mentions": {"@id": "m", "name": {"@value": "M"}}}, "none": {"@list": []}, "nested": {"@list": [[1], []]}})
+PEOPLE = {"https://people.example": {"@context": {"p": "http://people.example/", "called": "foaf:name"}}}
+C, E, O, R = "https://catalog.example/", "http://ex.example/", "http://schema.org/", "http://www.w3.org/1999/02/22-rdf-syntax-ns#"
+
+
+def test_contexts_lists_sets_and_reverse(docs):
+    got = rows(graph.expand(docs(RICH), named=PEOPLE), "subject", "predicate", F.coalesce("object", F.lit("")), F.coalesce("datatype", "lang", F.lit("")))
+    integer = "http://www.w3.org/2001/XMLSchema#integer"
+    assert got == sorted([
+        (C + "a", E + "steps", "_:csteps.@list.0", ""), ("_:csteps.@list.0", R + "first", "1", integer), ("_:csteps.@list.0", R + "rest", "_:csteps.@list.1", ""),
+        ("_:csteps.@list.1", R + "first", "_:bsteps.@list.1", ""), ("_:bsteps.@list.1", O + "name", "n", ""), ("_:csteps.@list.1", R + "rest", R + "nil", ""),
+        (C + "k1", O + "isPartOf", C + "a", ""), (C + "k2", O + "isPartOf", C + "a", ""), (C + "a", E + "made", "2014-01-01", "http://www.w3.org/2001/XMLSchema#date"),
+        (C + "a", O + "about", "_:babout", ""), ("_:babout", E + "label", "inner", ""), (C + "a", O + "name", "outer", "en"),
+        (C + "a", O + "author", "http://people.example/ann", ""), ("http://people.example/ann", "http://xmlns.com/foaf/0.1/name", "Ann", "en"),
+        (C + "a", O + "set", "p", "en"), (C + "a", O + "set", "q", ""), (C + "m", O + "mentions", C + "a", ""), (C + "m", O + "name", "M", ""),
+        (C + "a", O + "none", R + "nil", ""), (C + "a", O + "nested", "_:cnested.@list.0", ""), ("_:cnested.@list.0", R + "first", "_:cnested.@list.0.@list.0", ""),
+        ("_:cnested.@list.0.@list.0", R + "first", "1", integer), ("_:cnested.@list.0.@list.0", R + "rest", R + "nil", ""),
+        ("_:cnested.@list.0", R + "rest", "_:cnested.@list.1", ""), ("_:cnested.@list.1", R + "first", R + "nil", ""), ("_:cnested.@list.1", R + "rest", R + "nil", "")])
+
+
+def test_scopes_are_the_same_at_any_level_split(docs, monkeypatch):
+    whole = rows(graph.expand(docs(RICH), named=PEOPLE), "subject", "predicate", "object")
+    walk = graph.walk_values
+    monkeypatch.setattr(graph, "walk_values", lambda *a, **k: walk(*a, **k, levels=0))
+    assert rows(graph.expand(docs(RICH), named=PEOPLE), "subject", "predicate", "object") == whole
+
+
+def test_labels_of_different_places_are_different(docs):
+    text = json.dumps({"@context": "https://catalog.example", "@id": "x", "a.b": {"name": "one"}, "a": {"b": {"name": "two"}, "name": "a"},
+                       "c": {"@id": "_:ba", "name": "own"}, "d%2Eb": {"name": "three"}, "e": {"@id": "_:uba", "name": "other"}})
+    named = graph.expand(docs(text)).filter(F.col("predicate").endswith("name")).groupBy("subject").agg(F.collect_list("object").alias("o"))
+    assert sorted(r["o"] for r in named.collect()) == [["a"], ["one"], ["other"], ["own"], ["three"], ["two"]]
+    lines = [r["line"] for r in graph.expand(docs(text)).select(graph.nquad_line().alias("line")).collect()]
+    assert len({x.split()[0] for x in lines if x.startswith("_:") and "name" in x}) == 6
+
+
+def test_whole_documents_are_compacted(docs):
+    got = [json.loads(r["document"]) for r in graph.compact_documents(docs(SHOW, MANIFEST, RICH, '{"@context": {}, "p": [[], {}], "q": null}'), named=PEOPLE).orderBy("doc_id").collect()]
+    assert got[0] == {"@context": "https://catalog.example", "@id": "ldr:piers", "name": "harbour"}
+    want = json.loads(MANIFEST)
+    want["@id"] = "ldr:tides"
+    for part in want["hasPart"]:
+        part["@id"] = "ldr:" + part["@id"]
+    assert got[1] == want
+    assert got[2] == {
+        "@context": "https://catalog.example", "@id": "ldr:a", E + "steps": {"@list": [1, {"name": "n"}]}, E + "made": {"@type": "xsd:date", "@value": "2014-01-01"},
+        "about": {E + "label": "inner"}, "name": {"@language": "en", "@value": "outer"}, "author": {"@id": "http://people.example/ann", "foaf:name": {"@language": "en", "@value": "Ann"}},
+        "set": [{"@language": "en", "@value": "p"}, "q"], "@reverse": {"isPartOf": [{"@id": "ldr:k1"}, {"@id": "ldr:k2"}], "mentions": {"@id": "ldr:m", "name": "M"}},
+        "none": {"@list": []}, "nested": {"@list": [{"@list": [1]}, {"@list": []}]}}
+    assert got[3] == {"@context": "https://catalog.example", "p": {}}
+
+
+def test_a_compacted_document_says_what_the_body_says(docs):
+    bodies = docs(RICH, MANIFEST)
+    again = graph.compact_documents(bodies, named=PEOPLE).select("doc_id", F.parse_json("document").alias("body"))
+    lines = lambda d, **k: rows(graph.label_blank_nodes(graph.statements(d, **k), ["doc_id"]).select("doc_id", graph.nquad_line().alias("line")), "doc_id", "line")
+    assert lines(again) == lines(bodies, named=PEOPLE)
+    assert rows(graph.compact_documents(again), "document") == rows(graph.compact_documents(bodies, named=PEOPLE), "document")
