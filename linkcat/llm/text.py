@@ -6,6 +6,8 @@ word rules of the operators treat every byte of a non-ASCII character as a word
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -146,6 +148,16 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
+def give_back() -> None:
+    """Return freed memory to the system, as a worker outlives the task that needed it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not the C library that has it
+        pass
+
+
 def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of rows of at most ``limit`` bytes of text; a longer text is a range of its own."""
     low, n = 0, len(offsets) - 1
@@ -181,5 +193,6 @@ def add_columns(docs: DataFrame, fields: str, fn: Callable[[], Callable[[pa.Arra
             for low, high in slices(offsets, limit):
                 found = work(texts.slice(low, high - low))
                 yield pa.RecordBatch.from_arrays([rows.slice(low, high - low), *(found[f.name] for f in added.fields)], ["row", *added.names])
+        give_back()
 
     return nested.mapInArrow(run, schema)

@@ -272,7 +272,10 @@ def _train_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = pa.Table.from_batches(held).sort_by([("label_id", "ascending"), ("text", "ascending")]).combine_chunks()
         texts = found.column("text")
         model = train(texts.chunk(0), np.asarray(found.column("y")).astype(np.float64), found.column("lang").to_pylist())
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+        trained = pickle.dumps(model)
+        del found, texts, model, held
+        tx.give_back()  # the worker goes on with other tasks
+        yield pa.RecordBatch.from_arrays([pa.array([trained], pa.binary())], ["model"])
 
 
 def _trained(rows: DataFrame) -> Model:
