@@ -1,59 +1,57 @@
 import datetime
 import json
+import random
 
+import pytest
 from linkcat.operators import documents, ids, paths, resources
 from linkcat.sources import readers
 from pyspark.sql import functions as F
 
 T0 = datetime.datetime(2019, 3, 2, 4, 5, 6)
-TREE = [("JSONLD", 90), ("wells.csv", 41), ("pump/valve.go", 12), ("pump/motor.go", 23), ("tools/check.pl", 8), ("README.md", 5), ("LICENSE", 33)]
+#: Extensions with the class, media type and language that the layout rules give their files.
+SORTS = {"tsv": ("Dataset", "text/tab-separated-values", None), "ttl": ("Dataset", "text/turtle", None), "rs": ("Code", "text/x-rust", "rust"),
+         "jl": ("Code", "text/x-julia", "julia"), "gif": ("ImageObject", "image/gif", None), "jar": (None, "application/java-archive", None)}
+
+
+def tree(seed):
+    """Random paths with sizes: up to three levels of folders, names that differ, all extensions."""
+    rng = random.Random(seed)
+    folders = ["", *(f"f{i}/" for i in range(3)), *(f"f{i}/g{j}/" for i in range(2) for j in range(2)), "f0/g1/h/"]
+    return [(f"{rng.choice(folders)}n{k}.{rng.choice(sorted(SORTS))}", rng.randrange(1, 9999)) for k in range(60)]
+
+
+TREE = [("pump/JSONLD", 7), ("pump/a.rs", 3), ("pump/b.rs", 4), ("LICENSE", 33), ("wells.csv", 6), ("JSONLD", 2)]
 
 
 def listing(spark, rows=TREE):
     return spark.createDataFrame([(p, n, T0) for p, n in rows], "path string, length bigint, mtime timestamp")
 
 
-def test_golden_paths(spark):
-    files = listing(spark)
-    every = paths.exclude_manifests(paths.with_directories(files))
-    matches = paths.prune_parent_dirs(paths.match_specs(every, [("**/*.csv", None), ("pump", "Code")]))
-    described = resources.describe_files(matches, files)
-    got = {r["base"]: r for r in described.resources.collect()}
-    assert set(got) == {"wells", "pump"}
-    data, src = got["wells"], got["pump"]
-    assert (data["type"], data["family"], data["file_path"], data["content_size"], data["encoding_format"]) == (
-        "Dataset", "dataset", "wells.csv", 41, "text/csv")
-    assert (src["type"], src["programming_language"], src["encoding_format"], src["file_path"]) == (
-        "Code", ["go"], "application/x-gtar", None)
-    assert sorted((r["file_path"], r["content_size"]) for r in described.parts.collect()) == [("pump/motor.go", 23), ("pump/valve.go", 12)]
+def sort_of(path):
+    return SORTS[path.rsplit(".", 1)[1]]
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_described_files_follow_the_layout_rules(spark, seed):
+    rows = tree(seed)
+    folder = "f0/" if seed == 3 else "f1/g0/"
+    files = listing(spark, rows)
+    outside = [(p, n) for p, n in rows if not p.startswith(folder) and p.endswith((".ttl", ".gif"))]
+    specs = [(p, None) for p, _ in outside] + [(folder.rstrip("/"), "Code")]
+    described = resources.describe_files(paths.match_specs(paths.with_directories(files), specs), files)
+    got = {r["ref"]: r for r in described.resources.collect()}
+    assert set(got) == {p for p, _ in outside} | {folder}
+    for path, size in outside:
+        r = got[path]
+        assert (r["type"], r["encoding_format"], r["content_size"], r["file_path"], r["base"]) == (*sort_of(path)[:2], size, path, path.split("/")[-1].split(".")[0])
+    inside = [(p, n) for p, n in rows if p.startswith(folder)]
+    whole = got[folder]
+    assert (whole["type"], whole["file_path"], whole["encoding_format"]) == ("Code", None, "application/x-gtar")
+    assert sorted(whole["programming_language"]) == sorted({sort_of(p)[2] for p, _ in inside} - {None})
+    assert sorted((r["file_path"], r["content_size"]) for r in described.parts.collect()) == sorted(inside)
     assert described.rejects.count() == 0
 
 
-def test_golden_json(spark):
-    files = listing(spark)
-    matches = paths.match_specs(paths.with_directories(files), [("wells.csv", None), ("pump", "Code"), ("tools/check.pl", "SoftwareApplication")])
-    described = resources.describe_files(matches, files, "cw", "Linux 1", "x64")
-    named = ids.assign_unique_ids(described.resources, ["spec_ord", "ref"]).withColumn("doc_id", F.lit("cw"))
-    heads = spark.createDataFrame([("cw", "", "", "A doc", "MIT", "a, b", "bob", "b@x.example", "", None)],
-                                  "doc_id string, type string, version string, description string, license string, keywords string, "
-                                  "name string, email string, based_on string, code_repository string")
-    parts = described.parts.withColumnRenamed("bundle", "ref").withColumn("doc_id", F.lit("cw"))
-    lines = documents.document_lines(documents.assemble_document(heads), named, parts)
-    doc = json.loads("\n".join(r["line"] for r in lines.orderBy("doc_id", "pos", "sub").collect()))
-    when = "2019-03-02T04:05:06.000Z"
-    assert doc["@type"] == "CreativeWork" and doc["version"] == "0.0.0" and doc["license"] == {"name": "MIT"}
-    assert doc["keywords"] == ["a", "b"] and doc["accountablePerson"]["email"] == "mailto:b@x.example"
-    by_id = {p["@id"]: p for p in doc["hasPart"]}
-    assert by_id["cw/wells"] == {"@id": "cw/wells", "@type": "Dataset", "distribution": {
-        "@type": "DataDownload", "filePath": "wells.csv", "encodingFormat": "text/csv", "contentSize": 41, "dateModified": when}}
-    assert by_id["cw/pump"] == {"@id": "cw/pump", "@type": "Code", "programmingLanguage": {"name": "go"}, "encoding": {
-        "@type": "MediaObject", "encodingFormat": "application/x-gtar", "dateModified": when, "hasPart": [
-            {"@type": "MediaObject", "filePath": "pump/motor.go", "contentSize": 23, "dateModified": when},
-            {"@type": "MediaObject", "filePath": "pump/valve.go", "contentSize": 12, "dateModified": when}]}}
-    assert by_id["cw/check"] == {"@id": "cw/check", "@type": "SoftwareApplication", "fileFormat": "text/x-perl", "filePath": "tools/check.pl",
-                                "fileSize": 8, "dateModified": when, "operatingSystem": "Linux 1", "processorRequirements": "x64"}
-
-
 def test_directory_of_software_is_rejected(spark):
     files = listing(spark)
     matches = paths.match_specs(paths.with_directories(files), [("pump", "MobileApplication"), ("LICENSE", None)])
