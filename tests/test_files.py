@@ -3,7 +3,7 @@ import json
 import random
 
 import pytest
-from linkcat.operators import documents, ids, paths, resources
+from linkcat.operators import paths, resources
 from linkcat.sources import readers
 from pyspark.sql import functions as F
 
