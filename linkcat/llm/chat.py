@@ -1,8 +1,10 @@
 """Chat formatting with Spark expressions only: from rows of turns to one text a conversation, and back.
 
-A turn opens a block or, after a turn of its role, goes on with it; the characters before each text follow from that. The
-turn structs are collected and sorted, and an array aggregation merges adjacent turns of one role into a block and
-concatenates all. Sums of lengths run over the rows, so the work stays linear in the length of a conversation. The template is
+The turn structs of a conversation are collected and sorted. An array aggregation then folds them in order: its state
+holds the role of the open block and the characters written so far, so a turn of that role is merged into the block and any
+other turn closes it and opens the next; each turn leaves its piece of the output and its place. The pieces are joined
+once. The fold goes over slices of ``SLICE`` turns and collects each slice's pieces apart, so appending to arrays stays cheap for
+long conversations. The template is
 
     ``<|turn|>role<|text|>text<|end|>`` for a block, with ``<|next|>`` between the merged turns of a block.
 
@@ -20,10 +22,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from linkcat.llm.registry import query, table
 
+#: Turns that one inner fold takes.
+SLICE = 256
 TURN, TEXT, END, NEXT, RAW = "<|turn|>", "<|text|>", "<|end|>", "<|next|>", "<|raw|>"
 
 
@@ -39,20 +42,42 @@ def unescape(value: Column) -> Column:
     return F.replace(value, F.lit(RAW), F.lit("<|"))
 
 
+_PIECES = "array<struct<role:string,piece:string,start:bigint,size:bigint>>"
+
+
+def _nothing(kind: str) -> Column:
+    return F.array().cast(kind)
+
+
+def _state(role: Column, at: Column, pieces: Column, done: Column) -> Column:
+    """What the fold carries: role of the open block, characters so far, pieces of this slice and those of the slices before."""
+    return F.struct(role.alias("role"), at.alias("at"), pieces.alias("pieces"), done.alias("done"))
+
+
+def _fold_turn(state: Column, turn: Column) -> Column:
+    """Merge a turn into the open block if it has that block's role, else close the block and open another."""
+    close = F.when(state["role"].isNull(), F.lit("")).otherwise(F.lit(END))
+    head = F.when(state["role"] == turn["role"], F.lit(NEXT)).otherwise(F.concat(close, F.lit(TURN), turn["name"], F.lit(TEXT)))
+    start, size = state["at"] + F.length(head), F.length(turn["text"]).cast("long")
+    piece = F.struct(turn["role"].alias("role"), F.concat(head, turn["text"]).alias("piece"), start.alias("start"), size.alias("size"))
+    return _state(turn["role"], start + size, F.array_append(state["pieces"], piece), state["done"])
+
+
+def _fold_slice(state: Column, turns: Column) -> Column:
+    return F.aggregate(turns, state, _fold_turn, lambda s: _state(s["role"], s["at"], _nothing(_PIECES), F.array_append(s["done"], s["pieces"])))
+
+
 def format_chats(turns: DataFrame, *, id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", learn: str = "assistant") -> DataFrame:
     """``conv_id``, ``formatted`` and ``loss_spans`` (array of start and length, in characters of ``formatted``) of each conversation."""
     rows = turns.select(turns[id].alias("conv_id"), turns[turn].alias("turn"), F.coalesce(turns[role], F.lit("")).alias("role"), F.coalesce(turns[text], F.lit("")).alias("text"))
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    before = F.lag("role").over(order)
-    opening = F.concat(F.when(before.isNull(), F.lit("")).otherwise(F.lit(END)), F.lit(TURN), escape(F.col("role")), F.lit(TEXT))
-    head = F.when(before == F.col("role"), F.lit(NEXT)).otherwise(opening)
-    size = F.length(escape(F.col("text"))).cast("long")
-    end = F.sum(F.length("head") + F.col("size")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    placed = rows.withColumn("head", head).withColumn("size", size).withColumn("start", end - F.col("size"))
-    collected = placed.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text", "start", "size", "head"))).alias("ts"))
-    formatted = F.concat(F.array_join(F.transform("ts", lambda t: F.concat(t["head"], escape(t["text"]))), ""), F.lit(END))
-    spans = F.transform(F.filter("ts", lambda t: t["role"] == learn), lambda t: F.struct(t["start"].alias("start"), t["size"].alias("length")))
-    return collected.select("conv_id", formatted.alias("formatted"), spans.alias("loss_spans"))
+    collected = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("sorted"))
+    ready = collected.select("conv_id", F.transform("sorted", lambda t: F.struct(t["role"].alias("role"), escape(t["role"]).alias("name"), escape(t["text"]).alias("text"))).alias("ts"))
+    slices = F.transform(F.sequence(F.lit(0), F.floor((F.size("ts") - 1) / SLICE).cast("int")), lambda i: F.slice("ts", i * SLICE + 1, SLICE))
+    folded = F.aggregate(slices, _state(F.lit(None).cast("string"), F.lit(0).cast("long"), _nothing(_PIECES), _nothing(f"array<{_PIECES}>")), _fold_slice, lambda s: F.flatten(s["done"]))
+    pieces = ready.select("conv_id", folded.alias("pieces"))
+    formatted = F.concat(F.array_join(F.transform("pieces", lambda p: p["piece"]), ""), F.lit(END))
+    spans = F.transform(F.filter("pieces", lambda p: p["role"] == learn), lambda p: F.struct(p["start"].alias("start"), p["size"].alias("length")))
+    return pieces.select("conv_id", formatted.alias("formatted"), spans.alias("loss_spans"))
 
 
 def read_chats(chats: DataFrame) -> DataFrame:

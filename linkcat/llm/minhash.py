@@ -235,9 +235,20 @@ def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
 
 
 def keep_first(docs: DataFrame, *, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` less those of documents that are not the smallest id of their group; columns as they were."""
+    """The rows of ``docs`` less those of documents that are not the smallest id of their group; columns as they were.
+
+    Rows that repeat an id and its text are one document, of which one row stays (texts told apart by 128 bits of hash), whatever
+    their other columns. Rows of one id with different texts stay or go together. Rows with a null id all stay, as do empty and null
+    texts of different ids; an empty table gives an empty one; other columns are handed on, whatever their names.
+    """
     gone = near_duplicates(docs, id=id, text=text, **options).where("not kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs[id].cast("long") == gone["gone_id"], "left_anti")
+    left = docs.join(gone, docs[id].cast("long") == gone["gone_id"], "left_anti")
+    said = [docs[id].cast("long").alias("id"), F.xxhash64(docs[text]).alias("g"), F.xxhash64(F.lit(1), docs[text]).alias("h")]
+    if docs.select(*said).where("id is not null").groupBy("id", "g", "h").count().where("count > 1").isEmpty():
+        return left  # no row is repeated, so whole rows need not be shuffled to find that out
+    known = left.where(left[id].isNotNull()).select(F.struct("*").alias("row"))
+    key = [F.col("row")[id].cast("long").alias("id"), F.xxhash64(F.col("row")[text]).alias("g"), F.xxhash64(F.lit(1), F.col("row")[text]).alias("h")]
+    return known.select("row", *key).dropDuplicates(["id", "g", "h"]).select("row.*").unionByName(left.where(left[id].isNull()))
 
 
 #: Words by DuckDB's regular expressions; sets as lists; links from all pairs that share a shingle.

@@ -36,6 +36,16 @@ def test_stages(spark, tmp_path):
     assert sorted(r["doc_id"] for r in last) == sorted(d for d, _ in seen[4]) and all(r["round_trip"] for r in last)
 
 
+def test_near_duplicates_keep_one_row_of_a_document(spark):
+    long = "one two three four five six seven eight nine ten eleven twelve"
+    told = [(2, long, "x"), (2, long, "y"), (1, long, "x"), (1, long, "x"), (3, None, "x"), (3, None, "z"), (4, "", "x"), (None, long, "x"), (None, long, "x"), (5, "other words", "x"), (5, "two texts", "x")]
+    docs = spark.createDataFrame(told, "doc_id long, text string, g string")
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+    assert got.columns == docs.columns
+    assert sorted(map(str, rows(got))) == sorted(map(str, [(1, long), (3, None), (4, ""), (None, long), (None, long), (5, "other words"), (5, "two texts")]))
+    assert corpus_pipeline.drop_near_duplicates(spark, docs.limit(0), SF).count() == 0
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query(spark, name):
     db = duckdb.connect()

@@ -128,6 +128,12 @@ def test_chats(spark):
         assert masked[c] == "".join(t for r, t in want if r == "assistant")
     text = {r["conv_id"]: r["formatted"] for r in chats.collect()}
     assert text[5] == "<|turn|>assistant<|text|>a<|next|>a<|next|>b<|next|>b<|end|>" and text[4] == "<|turn|>assistant<|text|><|end|>"
+    long = spark.range(3 * chat.SLICE + 7).select(F.lit(9).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 5 < 3, "assistant").otherwise("user").alias("role"), F.concat(F.lit("<|"), "id").alias("text"))
+    told = chat.format_chats(long)
+    n = 3 * chat.SLICE + 7
+    assert [tuple(t) for t in chat.read_chats(told).first()["turns"]] == [("assistant" if i % 5 < 3 else "user", f"<|{i}") for i in range(n)]
+    assert chat.masked_text(told).first()["masked"] == "".join(f"<|{i}" for i in range(n) if i % 5 < 3)
+    assert told.first()["formatted"].count(chat.TURN) == len([i for i in range(n) if i % 5 in (0, 3)])
     assert chat.format_chats(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
 
