@@ -5,8 +5,9 @@
 * A graph links every centroid with its nearest ones; a batched best-first search over it finds the centroids near a vector.
 * Every vector is indexed: in the list of its nearest centroid, and, if it lies near a boundary, in those of other
   centroids that are hardly farther and not nearly the same as one already taken.
-* A query reads all lists whose centroid is at most so many times as far as its nearest centroid. The ratio is fitted: with
-  it, a share of ``TARGET`` of the true neighbours of ``TRIED`` sampled queries, found by brute force in blocks, is read.
+* A query walks the same graph: from its nearest centroids it opens one centroid after another that is at most so many times as
+  far as the nearest, and reads the lists of all it has opened. The ratio is fitted: with it, the walk reads a share of ``TARGET``
+  of the true neighbours of ``TRIED`` sampled queries, found by brute force in blocks.
 * The nearest ``LEAST`` lists are read first; the other lists give only what is no worse than the best ``k + 1`` of these.
 
 Inner products are searched as distances: a vector gets one more coordinate that brings all to the same length, a
@@ -14,8 +15,8 @@ query gets 0 there. Equal vectors are indexed once, with their ``k + 1`` smalles
 this loses nothing, since no other id of an equal vector can be among a query's nearest. Long lists are dealt
 out in chunks, so no task holds a whole list of unbounded size. Queries that get fewer than ``k`` candidates read all lists.
 
-Defined results: vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do those
-whose length differs from that of the smallest id's vector; rows with a null id take no part; rows that repeat id and
+Defined results: vectors that are null, empty, zero, or hold null or non-finite components take no part; vectors of
+different lengths have no inner product, so each length is indexed and searched as a table of its own; rows with a null id take no part; rows that repeat id and
 vector count once; ties go to the smaller id; fewer rows than ``k`` give all candidates; an empty table gives an empty result;
 other columns are not read.
 """
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,11 +39,15 @@ from linkcat.session import durable
 
 #: Vectors a list should hold, most lists, and vectors of the sample for each list.
 LIST_SIZE, LISTS, SAMPLE = 256, 16_384, 16
+#: Bytes of that sample at most: the sample and the centroids go through the driver.
+SAMPLE_BYTES = 1 << 27
 NEIGHBOURS, BEAM = 32, 128
 #: Boundary vectors: most copies, how much farther their other centroids may be, and how far apart, as shares of the vector's distances.
 COPIES, NEAR, APART = 6, 1.12, 0.7
 #: Lists that a query reads at least; the share of true neighbours to be read, the queries to fit that on, and a distance under which none is told apart.
 LEAST, TARGET, TRIED, FLOOR = 8, 0.99, 256, 0.05
+#: How much farther than the fitted ratio a walk goes.
+WALK = 1.1
 #: A chunk of a list has about so many vectors.
 CHUNK = 8_192
 
@@ -170,18 +176,46 @@ class Graph:
         row, col = np.nonzero(keep)
         return row, ids[row, col]
 
-    def ratios(self, x: np.ndarray) -> np.ndarray:
-        """For each query how many times as far as its nearest centroid every centroid is."""
-        d = np.sqrt(_distances(self.embed(x, True), self.centre))
-        return d / np.maximum(d.min(1, keepdims=True), FLOOR)
+    def reach(self, x: np.ndarray, probe: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query, centroid and ratio (to the distance of the nearest) of all centroids that a walk over the graph opens.
+
+        The walk starts at the centroids nearest to a query and goes on from each whose ratio is at most ``WALK`` times ``probe``,
+        so that it gets around gaps; those up to ``probe`` and the nearest ``LEAST`` are the result.
+        """
+        q = self.embed(x, True)
+        first, d = self.nearest(q, LEAST)
+        scale = np.maximum(d[:, :1], FLOOR)
+        ratio = np.full((len(q), len(self.centre)), np.inf, np.float32)
+        row, place = np.nonzero(first >= 0)
+        col = first[row, place]
+        ratio[row, col] = d[row, place] / scale[row, 0]
+        seen = np.isfinite(ratio)
+        start = seen.copy()
+        while len(row) and self.near.shape[1]:
+            fresh = np.zeros_like(seen)
+            for low in range(0, len(row), 32_768):
+                of, at = row[low : low + 32_768], col[low : low + 32_768]
+                fresh[of[:, None], self.near[at]] = True
+            fresh &= ~seen
+            seen |= fresh
+            row, col = np.nonzero(fresh)
+            for low in range(0, len(row), 32_768):
+                of, at = row[low : low + 32_768], col[low : low + 32_768]
+                diff = self.centre[at] - q[of]
+                ratio[of, at] = np.sqrt(np.einsum("ij,ij->i", diff, diff)) / scale[of, 0]
+            on = ratio[row, col] <= WALK * probe
+            row, col = row[on], col[on]
+        row, col = np.nonzero(start | (ratio <= probe) & np.isfinite(ratio))
+        return row, col, ratio[row, col]
 
     def _near_and_all(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        ratio = self.ratios(x)
-        near = np.ones(ratio.shape, bool)
-        if ratio.shape[1] > LEAST:
-            near[:] = False
-            np.put_along_axis(near, np.argpartition(ratio, LEAST - 1, 1)[:, :LEAST], True, 1)
-        return near, near | (ratio <= self.probe)
+        row, col, ratio = self.reach(x, self.probe)
+        order = np.lexsort((ratio, row))
+        rank = np.arange(len(row)) - np.searchsorted(row[order], row[order])
+        every, near = np.zeros((len(x), len(self.centre)), bool), np.zeros((len(x), len(self.centre)), bool)
+        every[row, col] = True
+        near[row[order][rank < LEAST], col[order][rank < LEAST]] = True
+        return near, every
 
     def near_lists_for(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Query and list of every list to read first."""
@@ -208,7 +242,7 @@ def _place(held, how: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         graph: Graph = held.value
         for batch in batches:
-            size = max(1, 32_000_000 // max(1, len(graph.centre)) // 4)
+            size = max(1, 4_000_000 // max(1, len(graph.centre)))
             for low in range(0, batch.num_rows, min(size, 2048)):
                 part = batch.slice(low, min(size, 2048))
                 row, lists = getattr(graph, how)(_matrix(part.column("v")))
@@ -255,6 +289,7 @@ def _nearest_in_list(k: int):
         asked, ids, scores, lists = [], [], [], _whole(right.column("ids"))
         if left.num_rows and right.num_rows:
             x, q = _matrix(_whole(right.column("v"))), _matrix(_whole(left.column("v")))
+            longest = np.linalg.norm(x, axis=1).max()
             first, bounds = np.asarray(right.column("first")), np.asarray(left.column("bound"))
             for low in range(0, len(q), 512):
                 part = q[low : low + 512]
@@ -262,7 +297,8 @@ def _nearest_in_list(k: int):
                 edge = bounds[low : low + 512]
                 if s.shape[1] > most and np.isinf(edge).any():
                     edge = np.maximum(edge, np.partition(s, -most, 1)[:, -most])
-                row, col = np.nonzero(s >= edge[:, None] - 1e-9)
+                slack = 1e-9 * np.linalg.norm(part, axis=1) * longest
+                row, col = np.nonzero(s >= (edge - slack)[:, None])
                 value = _exact(part[row], x[col])
                 order = np.lexsort((first[col], -value, row))
                 row, col, value = row[order], col[order], value[order]
@@ -296,15 +332,23 @@ def nearest_neighbours(vectors: DataFrame, queries: Column | str, *, id: str = "
     marked = F.expr(queries) if isinstance(queries, str) else queries
     rows = vectors.select(vectors[id].cast("long").alias("id"), vectors[vector].cast("array<double>").alias("v"), F.coalesce(marked, F.lit(False)).alias("asks"))
     rows = rows.where(F.col("id").isNotNull() & _usable(F.col("v")))
-    size = rows.agg(F.min_by(F.size("v"), "id").alias("size")).first()["size"]
-    rows = rows.where(F.size("v") == (size or 0)).withColumn("key", F.concat_ws("-", F.hex(F.xxhash64("v")), F.hex(F.xxhash64(F.lit(1), "v"))))
+    lengths = rows.where("asks").select(F.size("v").alias("size")).distinct().orderBy("size").collect()
+    found = [_search(rows.where(F.size("v") == r["size"]), r["size"], k) for r in lengths]
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+
+
+def _search(rows: DataFrame, size: int, k: int) -> DataFrame:
+    """The neighbours among vectors of one length: ``rows`` of id, v and asks."""
+    spark = rows.sparkSession
+    rows = rows.withColumn("key", F.concat_ws("-", F.hex(F.xxhash64("v")), F.hex(F.xxhash64(F.lit(1), "v"))))
     order = Window.partitionBy("key").orderBy("id")
     few = rows.select("key", "id", "v").distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
     classes = durable(few.groupBy("key").agg(F.any_value("v").alias("v"), F.array_sort(F.collect_list("id")).alias("ids")))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, e: s + e * e))
     total = classes.agg(F.count("*").alias("n"), F.max(norm).alias("longest")).first()
-    lists = int(min(LISTS, max(1, total["n"] // LIST_SIZE)))
-    share = max(1, total["n"] // (lists * SAMPLE))
+    most = max(1, SAMPLE_BYTES // (8 * size))
+    lists = int(min(LISTS, max(1, total["n"] // LIST_SIZE), max(1, most // 4)))
+    share = max(1, total["n"] // (lists * SAMPLE), -(-total["n"] // most))
     sample = classes.where(F.pmod(F.xxhash64("key"), F.lit(share)) == 0).select("key", "v").toArrow().sort_by("key")
     graph = _graph(_matrix(_whole(sample.column("v"))), lists, total["longest"] or 1.0)
     asking = rows.where("asks").select("key", "id").distinct()
@@ -361,11 +405,27 @@ def _fitted(graph: Graph, classes: DataFrame, asked: DataFrame, k: int) -> float
     of, x = of[other], x[other]
     if not len(x):
         return float("inf")
-    ratio, least = graph.ratios(q), np.full(len(x), np.inf)
-    for low in range(0, len(x), 512):
-        row, lists = graph.lists_of(x[low : low + 512])
-        np.minimum.at(least, row + low, ratio[of[row + low], lists])
-    return float(np.quantile(least, TARGET, method="higher")) * (1 + 1e-6)
+    lists_of = [graph.lists_of(x[low : low + 512]) for low in range(0, len(x), 512)]
+    row, lists = (np.concatenate(c) for c in zip(*((r + 512 * i, li) for i, (r, li) in enumerate(lists_of)), strict=True))
+
+    def read(probe: float) -> np.ndarray:
+        """For each true neighbour the least ratio of a list that holds it, as far as the walk gets there."""
+        ratio = np.full((len(q), len(graph.centre)), np.inf, np.float32)
+        for low in range(0, len(q), 64):
+            at, centre, far = graph.reach(q[low : low + 64], probe)
+            ratio[at + low, centre] = far
+        least = np.full(len(x), np.inf)
+        np.minimum.at(least, row, ratio[of[row], lists])
+        return least
+
+    probe, share = float("inf"), TARGET
+    least = read(probe)
+    while np.isfinite(edge := np.quantile(least, share, method="higher")):  # a narrow walk may miss what a wide one reaches, so it is tried
+        probe = float(edge) * (1 + 1e-6)
+        if share >= 1 or np.isfinite(read(probe)).mean() >= TARGET:
+            break
+        probe, share = float("inf"), (1 + share) / 2 if share < 0.9999 else 1.0
+    return probe
 
 
 def _hits(routed: DataFrame, index: DataFrame, chunks: int, k: int) -> DataFrame:

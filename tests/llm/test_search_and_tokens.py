@@ -68,6 +68,13 @@ def test_neighbours(spark):
         assert all(abs(s[i] - v) < 1e-9 for _, i, v in hits) and [h[1:] for h in hits] == sorted((h[1:] for h in hits), key=lambda h: (-h[1], h[0]))
         right += len(set(order) & {h[1] for h in hits})
     assert right / (20 * len(found)) >= 0.9
+    short = spark.createDataFrame([(-40 + i, [float(i % 7 + 1), 1.0], "c") for i in range(40)], vectors.schema)
+    two = posting_lists.nearest_neighbours(vectors.unionByName(short), "vec_id % 20 = 0").collect()
+    assert {(r["query_id"], r["rank"], r["vec_id"]) for r in two if r["query_id"] >= 0} == {(r["query_id"], r["rank"], r["vec_id"]) for r in got}
+    value = lambda i, j: float(((i + 40) % 7 + 1) * ((j + 40) % 7 + 1) + 1)
+    for c in (-40, -20):
+        want = sorted((j for j in range(-40, 0) if j != c), key=lambda j: (-value(c, j), j))[:20]
+        assert [(r["vec_id"], r["score"]) for r in sorted((r for r in two if r["query_id"] == c), key=lambda r: r["rank"])] == [(j, value(c, j)) for j in want]
     few = posting_lists.nearest_neighbours(vectors.where("vec_id < 15 or vec_id = 20"), "vec_id % 20 = 0")
     assert {(r["query_id"], r["n"]) for r in few.groupBy("query_id").agg(F.count("*").alias("n")).collect()} == {(0, 15), (20, 15)}
     assert posting_lists.nearest_neighbours(vectors.limit(0), "vec_id % 20 = 0").count() == 0
@@ -93,6 +100,15 @@ def test_graph_search_finds_near_centroids():
     ids, _ = graph.nearest(q, 8)
     best = np.argsort(posting_lists._distances(q, graph.centre), 1)[:, :8]
     assert np.mean([len(set(a) & set(b)) / 8 for a, b in zip(ids, best, strict=True)]) > 0.9
+    far = np.sqrt(posting_lists._distances(q, graph.centre))
+    far /= np.maximum(far.min(1, keepdims=True), posting_lists.FLOOR)
+    for probe in (1.05, 1.3, float("inf")):
+        row, centre, ratio = graph.reach(x[9000:9200], probe)
+        inside = far <= probe
+        walked = np.zeros_like(inside)
+        walked[row, centre] = True
+        assert (walked & inside).sum() / inside.sum() > 0.97 and np.bincount(row, minlength=200).min() >= 8
+        assert np.allclose(ratio, far[row, centre], rtol=0.2) and (walked & ~inside).sum() <= 8 * 200
 
 
 def test_urls(spark):
