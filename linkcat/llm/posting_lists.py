@@ -140,26 +140,25 @@ class Graph:
         on = np.arange(n)
         while len(on) and self.near.shape[1]:
             waiting = np.where(opened[on] | (ids[on] < 0), np.inf, dist[on])
-            at = np.argsort(waiting, 1)[:, :2]  # open the two nearest that wait
+            at = np.argsort(waiting, 1)[:, :8]  # open the nearest that wait
             good = np.isfinite(np.take_along_axis(waiting, at, 1))
             on, at, good = on[good[:, 0]], at[good[:, 0]], good[good[:, 0]]
             if not len(on):
                 break
             opened[on[:, None], at] |= good
-            new = np.where(good[:, :, None], self.near[ids[on[:, None], at]], ids[on, at[:, 0]][:, None, None]).reshape(len(on), -1)
-            fresh = ~seen[on[:, None], new]
-            seen[on[:, None], new] = True
-            diff = self.centre[new] - x[on][:, None, :]
-            nd = np.where(fresh, np.einsum("ijk,ijk->ij", diff, diff), np.inf).astype(np.float32)
-            order = np.argsort(new + np.where(fresh, 0, 1 << 30), 1, kind="stable")  # a centroid may come twice in one step
-            sorted_new = np.take_along_axis(np.where(fresh, new, -1), order, 1)
-            twice = np.zeros_like(fresh)
-            twice[:, 1:] = (sorted_new[:, 1:] == sorted_new[:, :-1]) & (sorted_new[:, 1:] >= 0)
-            back = np.zeros_like(fresh)
-            np.put_along_axis(back, order, twice, 1)
-            nd[back] = np.inf
-            all_d, all_i = np.concatenate([dist[on], nd], 1), np.concatenate([ids[on], new.astype(np.int32)], 1)
-            all_o = np.concatenate([opened[on], np.zeros_like(fresh)], 1)
+            of, place = np.nonzero(good)
+            new = self.near[ids[on[of], at[of, place]]]
+            pairs = (of.astype(np.int64)[:, None] * len(self.centre) + new)[~seen[on[of][:, None], new]]
+            of, new = np.divmod(np.unique(pairs), len(self.centre))  # distances only of centroids not met before, each once
+            if not len(of):
+                continue
+            seen[on[of], new] = True
+            diff = self.centre[new] - x[on[of]]
+            place = np.arange(len(of)) - np.searchsorted(of, of)
+            nd, ni = np.full((len(on), place.max() + 1), np.inf, np.float32), np.full((len(on), place.max() + 1), -1, np.int32)
+            nd[of, place], ni[of, place] = np.einsum("ij,ij->i", diff, diff), new
+            all_d, all_i = np.concatenate([dist[on], nd], 1), np.concatenate([ids[on], ni], 1)
+            all_o = np.concatenate([opened[on], np.zeros_like(nd, bool)], 1)
             best = np.argsort(all_d, 1, kind="stable")[:, :beam]
             dist[on], ids[on], opened[on] = (np.take_along_axis(a, best, 1) for a in (all_d, all_i, all_o))
             ids[on] = np.where(np.isfinite(dist[on]), ids[on], -1)
