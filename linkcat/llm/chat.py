@@ -2,9 +2,9 @@
 
 The turn structs of a conversation are collected and sorted. An array aggregation then folds them in order: its state
 holds the role of the open block and the characters written so far, so a turn of that role is merged into the block and any
-other turn closes it and opens the next; each turn leaves its piece of the output and its place. The pieces are joined
-once. The fold goes over slices of ``SLICE`` turns and collects each slice's pieces apart, so appending to arrays stays cheap for
-long conversations. The template is
+other turn closes it and opens the next; each turn leaves the characters before its text and its place. Spark copies the state
+of a fold at every step, so slices of ``SLICE`` turns are folded apart, each from the role before it and without texts; sums of
+their lengths then place the slices, and the texts are joined once. The template is
 
     ``<|turn|>role<|text|>text<|end|>`` for a block, with ``<|next|>`` between the merged turns of a block.
 
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from linkcat.llm.registry import query, table
 
 #: Turns that one inner fold takes.
-SLICE = 256
+SLICE = 32
 TURN, TEXT, END, NEXT, RAW = "<|turn|>", "<|text|>", "<|end|>", "<|next|>", "<|raw|>"
 
 
@@ -42,39 +42,35 @@ def unescape(value: Column) -> Column:
     return F.replace(value, F.lit(RAW), F.lit("<|"))
 
 
-_PIECES = "array<struct<role:string,piece:string,start:bigint,size:bigint>>"
-
-
-def _nothing(kind: str) -> Column:
-    return F.array().cast(kind)
-
-
-def _state(role: Column, at: Column, pieces: Column, done: Column) -> Column:
-    """What the fold carries: role of the open block, characters so far, pieces of this slice and those of the slices before."""
-    return F.struct(role.alias("role"), at.alias("at"), pieces.alias("pieces"), done.alias("done"))
+def _state(role: Column, at: Column, heads: Column) -> Column:
+    """What the fold carries: role of the open block, characters so far, and for each turn its head and the place of its text."""
+    return F.struct(role.alias("role"), at.alias("at"), heads.alias("heads"))
 
 
 def _fold_turn(state: Column, turn: Column) -> Column:
     """Merge a turn into the open block if it has that block's role, else close the block and open another."""
     close = F.when(state["role"].isNull(), F.lit("")).otherwise(F.lit(END))
     head = F.when(state["role"] == turn["role"], F.lit(NEXT)).otherwise(F.concat(close, F.lit(TURN), turn["name"], F.lit(TEXT)))
-    start, size = state["at"] + F.length(head), F.length(turn["text"]).cast("long")
-    piece = F.struct(turn["role"].alias("role"), F.concat(head, turn["text"]).alias("piece"), start.alias("start"), size.alias("size"))
-    return _state(turn["role"], start + size, F.array_append(state["pieces"], piece), state["done"])
-
-
-def _fold_slice(state: Column, turns: Column) -> Column:
-    return F.aggregate(turns, state, _fold_turn, lambda s: _state(s["role"], s["at"], _nothing(_PIECES), F.array_append(s["done"], s["pieces"])))
+    start = state["at"] + F.length(head)
+    return _state(turn["role"], start + turn["size"], F.array_append(state["heads"], F.struct(head.alias("head"), start.alias("start"))))
 
 
 def format_chats(turns: DataFrame, *, id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", learn: str = "assistant") -> DataFrame:
     """``conv_id``, ``formatted`` and ``loss_spans`` (array of start and length, in characters of ``formatted``) of each conversation."""
     rows = turns.select(turns[id].alias("conv_id"), turns[turn].alias("turn"), F.coalesce(turns[role], F.lit("")).alias("role"), F.coalesce(turns[text], F.lit("")).alias("text"))
     collected = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("sorted"))
-    ready = collected.select("conv_id", F.transform("sorted", lambda t: F.struct(t["role"].alias("role"), escape(t["role"]).alias("name"), escape(t["text"]).alias("text"))).alias("ts"))
-    slices = F.transform(F.sequence(F.lit(0), F.floor((F.size("ts") - 1) / SLICE).cast("int")), lambda i: F.slice("ts", i * SLICE + 1, SLICE))
-    folded = F.aggregate(slices, _state(F.lit(None).cast("string"), F.lit(0).cast("long"), _nothing(_PIECES), _nothing(f"array<{_PIECES}>")), _fold_slice, lambda s: F.flatten(s["done"]))
-    pieces = ready.select("conv_id", folded.alias("pieces"))
+    ready = collected.select("conv_id", F.transform("sorted", lambda t: F.struct(
+        t["role"].alias("role"), escape(t["role"]).alias("name"), escape(t["text"]).alias("text"), F.length(escape(t["text"])).cast("long").alias("size"))).alias("ts"))
+    none = F.array().cast("array<struct<head:string,start:bigint>>")
+    slices = F.transform(F.sequence(F.lit(0), F.floor((F.size("ts") - 1) / SLICE).cast("int")), lambda i: F.aggregate(
+        F.slice("ts", i * SLICE + 1, SLICE), _state(F.get("ts", i * SLICE - 1)["role"], F.lit(0).cast("long"), none), _fold_turn))
+    folded = ready.select("conv_id", "ts", slices.alias("slices"))
+    places = F.aggregate("slices", F.array(F.lit(0).cast("long")), lambda at, one: F.array_append(at, F.element_at(at, -1) + one["at"]))
+    moved = F.zip_with("slices", F.slice(places, 1, F.size("slices")), lambda one, at: F.transform(
+        one["heads"], lambda h: F.struct(h["head"].alias("head"), (h["start"] + at).alias("start"))))
+    placed = folded.select("conv_id", "ts", F.flatten(moved).alias("heads"))
+    pieces = placed.select("conv_id", F.zip_with("heads", "ts", lambda h, t: F.struct(
+        t["role"].alias("role"), F.concat(h["head"], t["text"]).alias("piece"), h["start"].alias("start"), t["size"].alias("size"))).alias("pieces"))
     formatted = F.concat(F.array_join(F.transform("pieces", lambda p: p["piece"]), ""), F.lit(END))
     spans = F.transform(F.filter("pieces", lambda p: p["role"] == learn), lambda p: F.struct(p["start"].alias("start"), p["size"].alias("length")))
     return pieces.select("conv_id", formatted.alias("formatted"), spans.alias("loss_spans"))
