@@ -140,6 +140,7 @@ def _send(width: int, buckets: int, hot: np.ndarray):
             rows = list(work(*part))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["bucket", "payload"])
+        tx.give_back()
 
     return run
 
@@ -155,46 +156,58 @@ def _sampled(width: int):
                 begin, _ = _runs(np.ones(len(start), bool), words.text[start], value)
                 value, n = np.unique(value[begin], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(value.astype(np.int64)), pa.array(n)], ["value", "n"])
+        tx.give_back()
 
     return run
 
 
-def _word_hashes(text: bytes) -> np.ndarray:
+def _word_hashes(text: memoryview) -> np.ndarray:
     """Hashes of the words of a payload, each followed by one space."""
     data = np.frombuffer(text, np.uint8)
     return tx.Words(data, np.array([0, len(data)]), np.arange(256) != 0x20).hashes()
 
 
+def _unpack(raw: bytes, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A payload as runs and windows; nothing of its words is kept.
+
+    Runs are rows of id, key, place and size, those that are known to repeat and those that travelled; windows are rows of both
+    hashes of each window of the latter.
+    """
+    count, sent = np.frombuffer(raw, np.int64, 2)
+    at, fields = 16, []
+    for kind in (np.int64, np.uint32, np.int32, np.int32):
+        values = np.frombuffer(raw, kind, count, at)
+        at += values.nbytes
+        fields.append(values.astype(np.int64))
+    runs = np.stack(fields)
+    if not sent:
+        return runs, runs[:, :0], np.zeros((2, 0), np.uint64)
+    words = _word_hashes(memoryview(raw)[at:])
+    first = np.concatenate([[0], np.cumsum(runs[3, :sent] + width - 1)])
+    windows = np.stack([tx.shingles(words, first, width, second=second)[1] for second in (False, True)])
+    return runs[:, sent:], runs[:, :sent], windows
+
+
 def _bucket(width: int):
     """The repeated windows of one bucket, as runs of window starts."""
-    def run(_: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+    def found(rows: pa.Table) -> pa.Table:
         open_ = zstandard.ZstdDecompressor()
-        fields: list[list[np.ndarray]] = [[] for _ in range(4)]
-        sent_fields: list[list[np.ndarray]] = [[] for _ in range(4)]
-        texts = []
-        for payload in rows.column("payload"):
-            raw = open_.decompress(payload.as_py())
-            count, sent = np.frombuffer(raw, np.int64, 2)
-            at = 16
-            for i, kind in enumerate((np.int64, np.uint32, np.int32, np.int32)):
-                values = np.frombuffer(raw, kind, count, at)
-                at += values.nbytes
-                sent_fields[i].append(values[:sent])
-                fields[i].append(values[sent:])
-            texts.append(raw[at:])
-        ids, keys, place, size = (np.concatenate(x).astype(np.int64) for x in sent_fields)
-        done = [np.concatenate(x).astype(np.int64) for x in fields]
-        hashes = np.concatenate([_word_hashes(part) for part in texts])
-        first = np.concatenate([[0], np.cumsum(size + width - 1)]) if len(size) else np.zeros(1, np.int64)
-        start, one = tx.shingles(hashes, first, width)
-        _, two = tx.shingles(hashes, first, width, second=True)
+        parts = [_unpack(open_.decompress(payload.as_py()), width) for payload in rows.column("payload")]
+        done, sent, windows = (np.concatenate(x, axis=1) for x in zip(*parts, strict=True))
+        del parts
+        ids, keys, place, size = sent
         of = np.repeat(np.arange(len(size)), size)
-        at = start - first[of] + place[of]
-        mask = _later(one, two, ids[of], at)
+        at = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size) + place[of]
+        mask = _later(*windows, ids[of], at)
         begin, n = _runs(mask, of)
         out = [np.concatenate([a, b]) for a, b in zip((ids[of[begin]], keys[of[begin]], at[begin], n), done, strict=True)]
         return pa.table(dict(zip(("id", "key", "start", "n"), map(pa.array, out), strict=True)))
 
+    def run(_: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        table = found(rows)
+        tx.give_back()
+        return table
+
     return run
 
 
@@ -242,6 +255,7 @@ def _cut(width: int):
                 kept = tx.binary_array(joined[bytes_of], total[at[words.first]], pa.large_string()).cast(pa.string())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("row").slice(low, high - low), pa.array(words.counts), pa.array(removed), kept], ["row", "n_words", "n_removed", "kept"])
+        tx.give_back()
 
     return run
 

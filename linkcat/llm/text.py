@@ -46,11 +46,15 @@ class _Powers:
 
     def to(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            size = max(n, 1 << 20)
+            size = max(n, 1 << 18)
             with np.errstate(over="ignore"):
                 self.up, self.down = (np.cumprod(np.concatenate([[U64(1)], np.full(size - 1, b, U64)]), dtype=U64) for b in (self.base, self.inverse))
         return self.up[:n], self.down[:n]
 
+    def forget(self) -> None:
+        """Give the powers up; they are made anew when asked for."""
+        self.up = self.down = np.ones(1, U64)
+
 
 _BYTES, _WORDS, _SECOND = _Powers(_BASE), _Powers(0xD6E8FEB86659FD93), _Powers(0xA0761D6478BD642F)
 
@@ -150,6 +154,8 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def give_back() -> None:
     """Return freed memory to the system, as a worker outlives the task that needed it."""
+    for powers in (_BYTES, _WORDS, _SECOND):
+        powers.forget()
     gc.collect()
     pa.default_memory_pool().release_unused()
     try:

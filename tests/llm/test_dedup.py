@@ -1,10 +1,14 @@
 """Near duplicates, repeated passages, benchmark passages and components against brute force."""
 
 import random
+import tracemalloc
 
 import helpers
+import numpy as np
+import pyarrow as pa
 import pytest
 from linkcat.llm import components, minhash, superkmer, wu_manber
+from linkcat.llm import text as tx
 
 SCHEMA = "doc_id long, text string, n long, kept string"
 
@@ -125,6 +129,22 @@ def test_frequent_minimisers_change_nothing(spark, docs, monkeypatch):
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, helpers.cut_repeats(docs)))
 
 
+def test_a_bucket_keeps_little_of_its_payloads():
+    """The words of one payload are in memory at a time, and nothing of a bucket's size stays in a worker."""
+    rng = np.random.default_rng(0)
+    work, rows = superkmer._pack(20, 1, np.zeros(0, np.uint64)), []
+    for part in range(16):
+        ids = np.arange(150) + 150 * part
+        data, offsets = tx.buffers(pa.array([" ".join(map(str, rng.integers(0, 10**6, 500))) for _ in ids]))
+        rows += [payload for _, payload in work(ids, ids, data, offsets)]
+    table = pa.table({"payload": pa.array(rows, pa.binary())})
+    tracemalloc.start()
+    found = superkmer._bucket(20)((), table)
+    left, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert found.num_rows == 0 and peak < 160 << 20 and left < 8 << 20
+
+
 def test_clean_leaves_texts_without_repeats(spark, docs):
     cut = superkmer.clean(frame(spark, docs))
     assert cut.columns == ["doc_id", "text", "n", "kept"]
