@@ -50,6 +50,11 @@ LEAST, TARGET, TRIED, FLOOR = 8, 0.99, 256, 0.05
 WALK = 1.1
 #: A chunk of a list has about so many vectors.
 CHUNK = 8_192
+#: Pairs of a vector and a list that are looked at together, pairs of which differences are made together, and bytes of the vectors that a
+#: batch of placed rows repeats: a worker's memory does not grow with the number of lists.
+CELLS, PAIRS, PLACED = 1 << 20, 1 << 15, 8 << 20
+#: Bytes of the queries that search a chunk together, and how many more sampled queries than were seen may read a list.
+ASKED, UNSEEN = 16 << 20, 3
 
 
 def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -87,6 +92,8 @@ class Graph:
     entry: np.ndarray
     longest: float
     probe: float = float("inf")
+    #: Into how many slots the queries of a list are dealt.
+    slots: np.ndarray | None = None
 
     @classmethod
     def build(cls, centre: np.ndarray, longest: float) -> Graph:
@@ -153,10 +160,13 @@ class Graph:
             if not len(of):
                 continue
             seen[on[of], new] = True
-            diff = self.centre[new] - x[on[of]]
             place = np.arange(len(of)) - np.searchsorted(of, of)
             nd, ni = np.full((len(on), place.max() + 1), np.inf, np.float32), np.full((len(on), place.max() + 1), -1, np.int32)
-            nd[of, place], ni[of, place] = np.einsum("ij,ij->i", diff, diff), new
+            for low in range(0, len(of), PAIRS):
+                to, centre = of[low : low + PAIRS], new[low : low + PAIRS]
+                diff = self.centre[centre] - x[on[to]]
+                nd[to, place[low : low + PAIRS]] = np.einsum("ij,ij->i", diff, diff)
+            ni[of, place] = new
             all_d, all_i = np.concatenate([dist[on], nd], 1), np.concatenate([ids[on], ni], 1)
             all_o = np.concatenate([opened[on], np.zeros_like(nd, bool)], 1)
             best = np.argsort(all_d, 1, kind="stable")[:, :beam]
@@ -192,14 +202,14 @@ class Graph:
         start = seen.copy()
         while len(row) and self.near.shape[1]:
             fresh = np.zeros_like(seen)
-            for low in range(0, len(row), 32_768):
-                of, at = row[low : low + 32_768], col[low : low + 32_768]
+            for low in range(0, len(row), PAIRS):
+                of, at = row[low : low + PAIRS], col[low : low + PAIRS]
                 fresh[of[:, None], self.near[at]] = True
             fresh &= ~seen
             seen |= fresh
             row, col = np.nonzero(fresh)
-            for low in range(0, len(row), 32_768):
-                of, at = row[low : low + 32_768], col[low : low + 32_768]
+            for low in range(0, len(row), PAIRS):
+                of, at = row[low : low + PAIRS], col[low : low + PAIRS]
                 diff = self.centre[at] - q[of]
                 ratio[of, at] = np.sqrt(np.einsum("ij,ij->i", diff, diff)) / scale[of, 0]
             on = ratio[row, col] <= WALK * probe
@@ -225,6 +235,10 @@ class Graph:
         near, every = self._near_and_all(x)
         return np.nonzero(every & ~near)
 
+    def all_lists_for(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Query and list of every list."""
+        return np.nonzero(np.ones((len(x), len(self.centre)), bool))
+
 
 def _whole(column: pa.ChunkedArray) -> pa.Array:
     """One array of a column."""
@@ -237,16 +251,19 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _place(held, how: str):
-    """Rows once for each list that they belong to or read."""
+    """Rows once for each list that they belong to or read, with the list's number of slots."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         graph: Graph = held.value
         for batch in batches:
-            size = max(1, 4_000_000 // max(1, len(graph.centre)))
-            for low in range(0, batch.num_rows, min(size, 2048)):
-                part = batch.slice(low, min(size, 2048))
-                row, lists = getattr(graph, how)(_matrix(part.column("v")))
-                out = part.take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([pa.array(lists, pa.int32()), *out.columns], ["list", *out.schema.names])
+            size = min(2048, max(1, CELLS // max(1, len(graph.centre))))
+            for low in range(0, batch.num_rows, size):
+                part = batch.slice(low, size)
+                x = _matrix(part.column("v"))
+                row, lists = getattr(graph, how)(x)
+                step = max(1, PLACED // (8 * x.shape[1]))
+                for first in range(0, len(row), step):
+                    out, where = part.take(pa.array(row[first : first + step])), lists[first : first + step]
+                    yield pa.RecordBatch.from_arrays([pa.array(where, pa.int32()), pa.array(graph.slots[where], pa.int32()), *out.columns], ["list", "slots", *out.schema.names])
 
     return run
 
@@ -297,7 +314,13 @@ def _nearest_in_list(k: int):
                 if s.shape[1] > most and np.isinf(edge).any():
                     edge = np.maximum(edge, np.partition(s, -most, 1)[:, -most])
                 slack = 1e-9 * np.linalg.norm(part, axis=1) * longest
-                row, col = np.nonzero(s >= (edge - slack)[:, None])
+                good = s >= (edge - slack)[:, None]
+                many = good.sum(1) > most
+                if many.any() and s.shape[1] > most:  # a low bound must not pair a query with a whole chunk
+                    edge = edge.copy()
+                    edge[many] = np.maximum(edge[many], np.partition(s[many], -most, 1)[:, -most])
+                    good[many] = s[many] >= (edge - slack)[many, None]
+                row, col = np.nonzero(good)
                 value = _exact(part[row], x[col])
                 order = np.lexsort((first[col], -value, row))
                 row, col, value = row[order], col[order], value[order]
@@ -352,14 +375,15 @@ def _search(rows: DataFrame, size: int, k: int) -> DataFrame:
     graph = _graph(_matrix(_whole(sample.column("v"))), lists, total["longest"] or 1.0)
     asking = rows.where("asks").select("key", "id").distinct()
     asked = rows.where("asks").groupBy("key").agg(F.any_value("v").alias("v"))
-    graph.probe = _fitted(graph, classes, asked, k)
-    held = spark.sparkContext.broadcast(graph)
+    graph.probe, shares = _fitted(graph, classes, asked, k)
     chunks = max(1, -(-total["n"] // (len(graph.centre) * CHUNK)))
+    graph.slots = np.maximum(chunks, np.ceil(shares * asked.count() / max(1, ASKED // (8 * size)))).astype(np.int32)
+    held = spark.sparkContext.broadcast(graph)
 
-    where = T.StructType([T.StructField("list", T.IntegerType())])
+    where = T.StructType([T.StructField("list", T.IntegerType()), T.StructField("slots", T.IntegerType())])
     index = classes.select("key", "v", F.col("ids")[0].alias("first"), "ids")
     index = index.mapInArrow(_place(held, "lists_of"), T.StructType([*where.fields, *index.schema.fields]))
-    index = index.withColumn("chunk", F.pmod(F.xxhash64("key"), F.lit(chunks)).cast("int")).withColumn("slot", _groups(F.lit(chunks), "slot"))
+    index = index.withColumn("chunk", F.pmod(F.xxhash64("key"), F.lit(chunks)).cast("int")).withColumn("slot", _groups(F.col("slots"), "slot"))
     asked = asked.withColumn("bound", F.lit(float("-inf")))
     kind = T.StructType([*where.fields, *asked.schema.fields])
     need = k + 1
@@ -372,7 +396,7 @@ def _search(rows: DataFrame, size: int, k: int) -> DataFrame:
     short = asked.join(found.where(F.size("best") >= need).select(F.col("qkey").alias("key")), "key", "left_anti")
     best = found
     if len(graph.centre) > LEAST and not short.isEmpty():  # else all lists are read already
-        every = short.withColumn("list", F.explode(F.sequence(F.lit(0), F.lit(len(graph.centre) - 1))))
+        every = short.mapInArrow(_place(held, "all_lists_for"), kind)
         best = found.where(F.size("best") >= need).unionByName(_best(_hits(every, index, chunks, k), k))
     out = asking.join(best.withColumnRenamed("qkey", "key"), "key")
     others = F.slice(F.filter("best", lambda b: b["id"] != F.col("id")), 1, k)
@@ -387,14 +411,26 @@ def _graph(sample: np.ndarray, lists: int, longest: float) -> Graph:
     return Graph.build(centre, longest)
 
 
-def _fitted(graph: Graph, classes: DataFrame, asked: DataFrame, k: int) -> float:
-    """The distance ratio with which the lists read hold a share of ``TARGET`` of the true neighbours of sampled queries."""
+def _fitted(graph: Graph, classes: DataFrame, asked: DataFrame, k: int) -> tuple[float, np.ndarray]:
+    """The distance ratio with which the lists read hold a share of ``TARGET`` of the true neighbours of sampled queries.
+
+    And for each list the share of queries that read it at most, as far as the sample tells.
+    """
     if len(graph.centre) <= LEAST:
-        return float("inf")
+        return float("inf"), np.ones(len(graph.centre))
     some = asked.orderBy(F.xxhash64("key")).limit(TRIED).toArrow()
     if not some.num_rows:
-        return float("inf")
+        return float("inf"), np.ones(len(graph.centre))
     q = _matrix(_whole(some.column("v")))
+    probe = _fitted_ratio(graph, classes, q, k)
+    reads = np.zeros(len(graph.centre))
+    for low in range(0, len(q), 64):
+        reads += np.bincount(graph.reach(q[low : low + 64], probe)[1], minlength=len(reads))
+    return probe, np.minimum(1, (reads + UNSEEN) / len(q))
+
+
+def _fitted_ratio(graph: Graph, classes: DataFrame, q: np.ndarray, k: int) -> float:
+    """The ratio of ``_fitted`` for the sampled queries."""
     held = classes.sparkSession.sparkContext.broadcast(q)
     near = classes.select("v").mapInArrow(_nearest_of_all(held, k), "asked int, score double, v array<double>")
     order = Window.partitionBy("asked").orderBy(F.desc("score"))
@@ -429,7 +465,7 @@ def _fitted(graph: Graph, classes: DataFrame, asked: DataFrame, k: int) -> float
 
 def _hits(routed: DataFrame, index: DataFrame, chunks: int, k: int) -> DataFrame:
     """For each query key and list the best ids with their scores; an id may come from several lists."""
-    routed = routed.select("*", _groups(F.lit(chunks), "chunk")).withColumn("slot", F.pmod(F.xxhash64("key"), F.lit(chunks)).cast("int"))
+    routed = routed.select("*", _groups(F.lit(chunks), "chunk")).withColumn("slot", F.pmod(F.xxhash64("key"), F.col("slots")).cast("int"))
     by = ["list", "chunk", "slot"]
     hits = routed.groupBy(by).cogroup(index.groupBy(by)).applyInArrow(_nearest_in_list(k), "qkey string, key string, score double, ids array<bigint>")
     once = hits.groupBy("qkey", "key").agg(F.max("score").alias("score"), F.any_value("ids").alias("ids"))

@@ -1,8 +1,10 @@
 """Nearest neighbours, token counts, SentencePiece, URLs and chats against brute force and the public libraries."""
 
 import random
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as public
 import pytest
 import sentencepiece
@@ -92,6 +94,43 @@ def test_neighbours_in_many_lists_without_clusters(spark, monkeypatch):
     assert len(got) == 2000 and right / 2000 >= 0.97
 
 
+def test_a_workers_memory_does_not_grow_with_the_lists(monkeypatch):
+    """What is placed comes in batches of bounded size, however many lists a row is in."""
+    rng = np.random.default_rng(3)
+    graph = posting_lists.Graph.build(rng.normal(size=(600, 9)).astype(np.float32), 1.0)
+    graph.slots = np.ones(600, np.int32)
+    x = rng.normal(size=(300, 8))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array(list(x))], ["key", "v"])
+    monkeypatch.setattr(posting_lists, "PLACED", 64 * 8 * 8, raising=False)
+    placed = list(posting_lists._place(SimpleNamespace(value=graph), "other_lists_for")([batch]))
+    assert max(b.num_rows for b in placed) <= 64
+    row, lists = graph.other_lists_for(x)
+    assert sorted((k, i) for b in placed for k, i in zip(b["key"].to_pylist(), b["list"].to_pylist())) == sorted(zip(row.tolist(), lists.tolist()))
+
+
+def test_queries_of_a_list_are_dealt_into_slots(spark, monkeypatch):
+    """A list that many queries read is searched by some of them at a time, with the same result."""
+    rng = np.random.default_rng(6)
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(3000, 6)))], "vec_id long, embedding array<double>").repartition(4)
+    whole = sorted(map(tuple, posting_lists.nearest_neighbours(vectors, "vec_id % 5 = 0").collect()))
+    sizes = spark.sparkContext.accumulator(0)
+    search = posting_lists._nearest_in_list
+
+    def counted(k):
+        run = search(k)
+
+        def one(key, left, right):
+            sizes.add(left.num_rows > 300)
+            return run(key, left, right)
+
+        return one
+
+    monkeypatch.setattr(posting_lists, "_nearest_in_list", counted)
+    monkeypatch.setattr(posting_lists, "ASKED", 100 * 6 * 8, raising=False)
+    assert sorted(map(tuple, posting_lists.nearest_neighbours(vectors, "vec_id % 5 = 0").collect())) == whole and sizes.value == 0
+
+
+
 def test_graph_search_finds_near_centroids():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(20_000, 32))
