@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from linkcat.config import DEFAULT, RDF_TYPE, XSD, Catalog
 from linkcat.functions import digest
@@ -177,12 +178,12 @@ def expand(docs: DataFrame, catalog: Catalog = DEFAULT, named: dict[str, dict] |
     return _statement_rows(docs, catalog, named)
 
 
-def _statement_rows(docs: DataFrame, catalog: Catalog, named: dict[str, dict] | None = None, labels: bool = False) -> DataFrame:
-    """Statements of documents read one by one, as a set with canonical ``labels`` if asked."""
+def _statement_rows(docs: DataFrame, catalog: Catalog, named: dict[str, dict] | None = None, labels: bool = False, once: bool = False) -> DataFrame:
+    """Statements of documents read one by one, as a set with canonical ``labels`` if asked, or each ``once`` for a key."""
     keep = [c for c in docs.columns if c not in ("body", "terms")]
     bodies = scoped_docs(docs).select(*keep, "body", *([F.to_json("body").alias("_text")] if labels else []))
     kind = T.StructType([*bodies.select(*keep).schema.fields, *(T.StructField(c, T.StringType()) for c in STATEMENT), T.StructField("_number", T.DoubleType())])
-    rows = bodies.mapInArrow(trees.statement_rows(catalog, named, zone_of(docs), labels), kind)
+    rows = bodies.mapInArrow(trees.statement_rows(catalog, named, zone_of(docs), labels, once), kind)
     # A double's text is made here, as casts make it.
     return rows.withColumn("object", F.coalesce("object", F.col("_number").cast("string"))).drop("_number")
 
@@ -194,7 +195,12 @@ def is_value_object(entries: Column, _: Column) -> Column:
 
 def statements(docs: DataFrame, catalog: Catalog = DEFAULT, named: dict[str, dict] | None = None) -> DataFrame:
     """Statements of each document as a set."""
-    return expand(docs, catalog, named).distinct()
+    keep = [c for c in docs.columns if c not in ("body", "terms")]
+    if not keep:
+        return expand(docs, catalog, named).distinct()
+    # Counting the documents of a key brings them together; where they are so already, nothing is moved.
+    together = docs.withColumn("_n", F.count("*").over(Window.partitionBy(*keep)))
+    return _statement_rows(together, catalog, named, once=True).drop("_n")
 
 
 def compact_iri(iri: Column, catalog: Catalog = DEFAULT, vocab: bool = True) -> Column:

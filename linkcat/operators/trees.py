@@ -986,16 +986,54 @@ def _kept(batch: pa.RecordBatch, at: list[int], left_out: tuple[str, ...]) -> tu
     return [batch.column(batch.schema.get_field_index(f.name)).take(rows) for f in fields], fields
 
 
-def statement_rows(catalog: Catalog, named: dict[str, dict] | None, zone: str, labels: bool):
-    """A function of Arrow batches that gives the statements of documents, with canonical labels if asked."""
+def _said(row: tuple) -> tuple:
+    """What makes statements the same: a number by its text."""
+    number = row[6]
+    return row[:6] if number is None else (*row[:2], java_double(float(number.value)), *row[3:6])
+
+
+class Once:
+    """Statements that the documents of one key have not made before; those of a key that several have are known by 128 bits."""
+
+    def __init__(self):
+        self.key, self.seen = None, set()
+
+    def of(self, rows: Iterator[tuple], key: tuple, documents: int) -> list[tuple]:
+        fresh = {_said(row): row for row in rows}
+        if documents == 1:
+            return list(fresh.values())
+        if key != self.key:
+            self.key, self.seen = key, set()
+        out = []
+        for said, row in fresh.items():
+            code = hashlib.blake2b(repr(said).encode(errors="surrogatepass"), digest_size=16).digest()
+            if code not in self.seen:
+                self.seen.add(code)
+                out.append(row)
+        return out
+
+
+def statement_rows(catalog: Catalog, named: dict[str, dict] | None, zone: str, labels: bool, once: bool = False):
+    """A function of Arrow batches that gives the statements of documents, with canonical labels if asked.
+
+    Or each ``once`` for a key, where batches are sorted by all columns but ``body`` and ``_n``, the number of documents of a key.
+    """
     fields = [pa.field(n, pa.string()) for n in ("subject", "predicate", "object", "object_kind", "datatype", "lang")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, reader = Names(catalog, named), Reader(zone)
+        names, reader, new = Names(catalog, named), Reader(zone), Once()
         for batch, low, high in _slices(batches):
             at, rows = [], []
+            if once:
+                keep = batch.select([n for n in batch.schema.names if n not in ("body", "_n")])
+                keys = list(zip(*(c.slice(low, high - low).to_pylist() for c in keep.columns)))
+                counts = batch.column(batch.schema.get_field_index("_n")).slice(low, high - low).to_pylist()
             for i, body in _bodies(batch, reader, low, high):
                 before = len(rows)
+                if once:
+                    rows.extend(new.of(statements(body, names), keys[i - low], counts[i - low]))
+                    at.extend([i] * (len(rows) - before))
+                    continue
                 rows.extend(labelled(body, names, _number_texts(batch.column(batch.schema.get_field_index("_text"))[i].as_py())) if labels else statements(body, names))
                 at.extend([i] * (len(rows) - before))
             if rows:
