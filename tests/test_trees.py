@@ -99,3 +99,10 @@ def test_media_are_found_once_for_all_that_archiving_writes(docs, spark, monkeyp
     changed = catalog.with_archive(given, files.drop("content"), media.checksums(files.select("path", "content")))
     plan = changed._jdf.queryExecution().optimizedPlan().toString()
     assert '"contentSize":3' in changed.select(F.to_json("body")).first()[0] and len(calls) == 1 and plan.count("run(") <= 1
+
+
+def test_statements_of_a_key_come_once(docs):
+    given = docs(*some(4, 60)).withColumn("doc_id", F.when(F.col("doc_id") > "d3", F.lit("d")).when(F.col("doc_id") > "d2", F.col("doc_id")))
+    cols = ["doc_id", "subject", "predicate", "object", "object_kind", "datatype", "lang"]
+    assert rows(graph.statements(given), *cols) == rows(graph.expand(given).distinct(), *cols)
+    assert "Aggregate" not in graph.statements(given)._jdf.queryExecution().optimizedPlan().toString()
